@@ -1,16 +1,15 @@
-"""Keep-one-row-per-key operators written as aggregations.
+"""Keep-one-row-per-key operators.
 
-Both are expressed as ``groupBy(key).agg(min(struct(order..., payload...)))`` instead
-of ``row_number() = 1``: the aggregate is combined map-side before the shuffle
-(partial SortAggregate), so a key that holds a large share of all rows is reduced
-to one row per map task before anything moves over the network.
+Both reduce a key's rows map-side before the shuffle, so a key that holds a large
+share of all rows is cut to one row per map task before anything moves over the
+network.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -19,22 +18,13 @@ def keep_best(df: DataFrame, keys: Sequence[str], desc: Sequence[str] = (),
     """One row per ``keys``: highest ``desc`` columns first, then lowest ``asc`` columns.
 
     Equivalent to ``DISTINCT ON (keys) ... ORDER BY keys, desc... DESC NULLS LAST,
-    asc... ASC NULLS LAST``.  ``desc`` columns must be numeric (they are negated).
-    Remaining columns ride along as payload.
+    asc... ASC NULLS LAST``.  Written as ``row_number() = 1``, which Catalyst plans as
+    WindowGroupLimit Partial (each map task keeps its best row per key) -> exchange ->
+    WindowGroupLimit Final, so a hot key is cut down before the shuffle.
     """
-    keys = list(keys)
-    fields, used = [], set()
-    for i, c in enumerate(desc):
-        fields += [F.col(c).isNull().alias(f"_n{i}d"), (-F.col(c)).alias(f"_k{i}d"),
-                   F.col(c).alias(c)]
-        used.add(c)
-    for i, c in enumerate(asc):
-        fields += [F.col(c).isNull().alias(f"_n{i}a"), F.col(c).alias(c)]
-        used.add(c)
-    payload = [c for c in df.columns if c not in keys and c not in used]
-    fields += [F.col(c) for c in payload]
-    best = df.groupBy(*keys).agg(F.min(F.struct(*fields)).alias("_best"))
-    return best.select(*keys, *[F.col(f"_best.{c}").alias(c) for c in df.columns if c not in keys])
+    order = [F.col(c).desc_nulls_last() for c in desc] + [F.col(c).asc_nulls_last() for c in asc]
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
 def first_by_priority(df: DataFrame, key: str, priority: str) -> DataFrame:

@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barlake.functions import pct_change, round_half_up
-from barlake.operators.joins import SERIES_MAX_ROWS, sized_broadcast
 from barlake.operators.quantile import exact_median
 from barlake.operators.series import by_ticker
 from barlake.operators.topk import top_k
@@ -63,8 +62,9 @@ def backtest_trades(silver: DataFrame, tickers: DataFrame, benchmark: str,
             .where(F.col("exit_date").isNotNull() & F.col("exit_price").isNotNull()
                    & (F.col("exit_price") > 0)))
 
-    bench = silver.where(F.col("ticker") == benchmark).select("date", "close")
-    bench = sized_broadcast(bench, SERIES_MAX_ROWS)
+    # One ticker of Silver: at most one row per calendar day, a bound that does not
+    # grow with the number of tickers or bars, so it is broadcast without a count.
+    bench = F.broadcast(silver.where(F.col("ticker") == benchmark).select("date", "close"))
     be = bench.select(F.col("date").alias("entry_date"), F.col("close").alias("_b_in"))
     bx = bench.select(F.col("date").alias("exit_date"), F.col("close").alias("_b_out"))
     t = legs.join(be, "entry_date", "left").join(bx, "exit_date", "left")

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barlake.operators.dedupe import keep_best
+from barlake.sources.files import write_bucketed_table
 
 
 def valid_bars(raw: DataFrame) -> DataFrame:
@@ -38,3 +39,13 @@ def stg_stock_prices(raw: DataFrame) -> DataFrame:
     return keep_best(valid_bars(raw), keys=["date", "ticker"], desc=["volume"],
                      asc=["open", "high", "low", "close"]) \
         .select("date", "ticker", "open", "high", "low", "close", "volume")
+
+
+def materialize(spark_silver: DataFrame, name: str, folder: str, buckets: int) -> DataFrame:
+    """Write Silver once as a table bucketed by ticker, sorted by date, and read it back.
+
+    Every Gold mart partitions by ticker and orders by date, so on this table their
+    windows and per-ticker aggregates run without a shuffle.
+    """
+    return write_bucketed_table(spark_silver, name, f"{folder.rstrip('/')}/{name}", "ticker",
+                                ("date",), buckets)

@@ -59,6 +59,20 @@ def write_tickers_csv(dim: DataFrame, path: str) -> None:
      .option("emptyValue", "").csv(path))
 
 
+def write_bucketed_table(df: DataFrame, name: str, path: str, key: str,
+                         sort_by: tuple[str, ...], buckets: int) -> DataFrame:
+    """Materialise a table hash-bucketed by ``key`` and sorted within buckets.
+
+    Readers that group, window or join by ``key`` then run without an exchange, and
+    the sort order gives tight parquet min/max statistics for range filters on
+    ``sort_by``.  The table lives in a shared folder, so it also cuts lineage: a lost
+    executor re-reads files instead of recomputing the upstream plan.
+    """
+    (df.write.mode("overwrite").bucketBy(buckets, key).sortBy(*sort_by)
+     .option("path", path).saveAsTable(name))
+    return df.sparkSession.table(name)
+
+
 def register_view(df: DataFrame, name: str) -> DataFrame:
     """K5: a Silver 'view' is a lazy DataFrame registered by name; recomputed on read."""
     df.createOrReplaceTempView(name)

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barlake.operators.joins import DIMENSION_MAX_ROWS, sized_broadcast, spread_coarse_scan
 from barlake.operators.reshape import long_to_wide
 
 # Fixed values of the mapping.
@@ -30,8 +31,24 @@ STRONG_BUY, HOLD = "Strong Buy (1)", "Hold (3)"
 STRONG_BUY_BRANDS = ["Brand#1", "Brand#10"]
 
 
+# Columns of the test tables that this mapping reads (explicit schema: no footer
+# inference on every read, and the scan only materialises these columns).
+TABLE_SCHEMAS = {
+    "lineitem": "l_suppkey bigint, l_quantity double, l_extendedprice double, "
+                "l_discount double, l_tax double, l_shipdate timestamp_ntz",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "part": "p_partkey bigint, p_brand string, p_size int, p_retailprice double",
+    "documents": "doc_id bigint, lang string, source string, n_chars bigint",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    r = spark.read
+    if name in TABLE_SCHEMAS:
+        r = r.schema(TABLE_SCHEMAS[name])
+    return r.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _supplier_region(spark: SparkSession, sf_dir: str, *supplier_cols: str) -> DataFrame:
@@ -48,9 +65,10 @@ def etf_of_region(r_name: Column) -> Column:
 
 def raw_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze ``stock_prices_raw``: Date, Ticker, Open, High, Low, Close, Volume."""
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate")
-    sr = _supplier_region(spark, sf_dir)
+    li = spread_coarse_scan(table(spark, sf_dir, "lineitem").select(
+        "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate"))
+    # supplier x region is the small side (checked), lineitem streams through
+    sr = sized_broadcast(_supplier_region(spark, sf_dir), DIMENSION_MAX_ROWS)
     base = li.join(sr, li.l_suppkey == sr.s_suppkey)
     p = F.col("l_extendedprice") / F.col("l_quantity")
     ticker = F.explode(F.array(F.concat(F.lit("S"), F.col("l_suppkey").cast("string")),
