@@ -1,0 +1,81 @@
+"""The medallion run: Bronze -> Silver table -> Gold tables -> backtest -> checks.
+
+``build_gold`` is what a scheduled job calls after new raw bars have landed:
+Silver is computed once and written as a ticker-bucketed table, every mart reads it,
+and each Gold table is fully replaced.  ``ingest`` turns landed source files into the
+ticker dimension CSV, the long raw price table and the news snapshot.  All paths are
+in shared storage (the lake root), never on a machine-local disk.
+"""
+
+from __future__ import annotations
+
+import re
+
+from pyspark.sql import DataFrame, SparkSession
+
+from barlake.plans import analysis, backtest, ingest as ing, marts, quality, silver
+from barlake.sources import files
+
+
+def _table_name(root: str, what: str) -> str:
+    return "barlake_" + what + "_" + re.sub(r"[^0-9a-zA-Z]+", "_", root)[-40:]
+
+
+def build_gold(spark: SparkSession, raw: DataFrame, tickers: DataFrame, root: str, as_of,
+               benchmark: str, buckets: int | None = None,
+               signal_start=None, signal_end=None) -> dict[str, DataFrame]:
+    """Write Silver and every Gold table under ``root``; return the written tables."""
+    root = root.rstrip("/")
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    s = silver.materialize(silver.stg_stock_prices(raw), _table_name(root, "silver"),
+                           f"{root}/silver", buckets)
+    gold = {
+        "daily_returns": marts.daily_returns(s),
+        "index_performance": marts.index_performance(s, tickers, as_of),
+        "top_movers": marts.top_movers(s, tickers, as_of),
+        "sector_top_movers": marts.sector_top_movers(s, tickers, as_of),
+        "whale_signals": marts.whale_signals(s, tickers, as_of),
+        "whale_signals_history": marts.whale_signals_history(s, tickers),
+        "sector_performance": analysis.sector_performance(s, tickers, as_of),
+    }
+    out: dict[str, DataFrame] = {"stg_stock_prices": s}
+    for name, df in gold.items():
+        files.write_table(df, f"{root}/gold/{name}")
+        out[name] = spark.read.parquet(f"{root}/gold/{name}")
+
+    trades = backtest.backtest_trades(s, tickers, benchmark, start=signal_start, end=signal_end)
+    if files.write_if_not_empty(trades, f"{root}/gold/backtest_trades"):
+        t = spark.read.parquet(f"{root}/gold/backtest_trades")
+        out["backtest_trades"] = t
+        out["backtest_summary"] = backtest.backtest_summary(t)
+        out["backtest_top_trades"] = backtest.backtest_top_trades(t)
+
+    report = quality.quality_report({**out, "tickers": tickers})
+    files.write_table(report, f"{root}/quality/report")
+    out["quality_report"] = spark.read.parquet(f"{root}/quality/report")
+    return out
+
+
+def ingest(spark: SparkSession, root: str, *, holdings: DataFrame, membership: DataFrame,
+           sector_map: DataFrame, index_rows: DataFrame, screener: DataFrame,
+           screens: tuple[str, ...], analyst_index: str, analyst_rating: str,
+           wide_prices: DataFrame, metrics: tuple[str, ...], news: DataFrame | None,
+           as_of=None) -> dict[str, DataFrame]:
+    """Landed source files -> ticker CSV (K4), long raw prices (K1), news snapshot (K2)."""
+    root = root.rstrip("/")
+    dim = ing.ticker_dimension(holdings, membership, sector_map, index_rows)
+    files.write_tickers_csv(dim, f"{root}/seeds/tickers")
+    dim = files.read_tickers_csv(spark, f"{root}/seeds/tickers")
+    volatile = ing.volatile_pick(screener, screens)
+    analyst = ing.analyst_pick(screener, analyst_index, analyst_rating)
+    universe = ing.ingest_universe(dim, volatile, analyst)
+    long = ing.long_prices(wide_prices, metrics, as_of)
+    # only tickers of the universe are kept, as the feed is asked for exactly those
+    long = long.join(universe.withColumnRenamed("ticker", "Ticker"), "Ticker", "left_semi")
+    files.write_table(long, f"{root}/bronze/stock_prices_raw")
+    out = {"tickers": dim, "universe": universe,
+           "stock_prices_raw": spark.read.parquet(f"{root}/bronze/stock_prices_raw")}
+    if news is not None:
+        snap = ing.news_snapshot(news, volatile)
+        files.write_if_not_empty(snap, f"{root}/bronze/ticker_news_raw")
+    return out

@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The workload has no stream, no event-time window, no watermark and no stateful
+operator; every "window" is an analytic window or a calendar filter, and ingestion
+replaces whole tables per run.  Nothing is re-expressed here.
+"""
