@@ -8,24 +8,39 @@ number is bounded by the value range, not by the row count).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def exact_median(df: DataFrame, group: str, value: str, out: str = "median") -> DataFrame:
-    """Interpolated median of non-NULL ``value`` per ``group`` (mean of the two middle values)."""
-    counts = (df.where(F.col(value).isNotNull())
-              .groupBy(group, value).agg(F.count(F.lit(1)).alias("_n")))
+def with_middle_values(counts: DataFrame, group: str, value: str, count: str) -> DataFrame:
+    """Add ``_lo`` / ``_hi`` to a table of (group, value, count) rows.
+
+    On the row(s) holding the lower / upper middle rank of the group's non-NULL values
+    the column carries that value, elsewhere NULL; ``max`` per group recovers them.
+    """
+    m = F.when(F.col(value).isNotNull(), F.col(count)).otherwise(F.lit(0))
     w_run = Window.partitionBy(group).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     w_all = Window.partitionBy(group)
-    c = counts.select(group, value, "_n",
-                      F.sum("_n").over(w_run).alias("_cum"),
-                      F.sum("_n").over(w_all).alias("_tot"))
+    c = counts.select("*", m.alias("_m"), F.sum(m).over(w_run).alias("_cum"),
+                      F.sum(m).over(w_all).alias("_tot"))
+    first = F.col("_cum") - F.col("_m")
+
+    def hit(rank):
+        return (F.col("_m") > 0) & (first < rank) & (rank <= F.col("_cum"))
     lo = F.floor((F.col("_tot") + 1) / 2)
     hi = F.floor(F.col("_tot") / 2) + 1
-    first = F.col("_cum") - F.col("_n")
-    hit = lambda r: (first < r) & (r <= F.col("_cum"))
-    return (c.groupBy(group)
-            .agg(F.max(F.when(hit(lo), F.col(value))).alias("_lo"),
-                 F.max(F.when(hit(hi), F.col(value))).alias("_hi"))
-            .select(group, ((F.col("_lo") + F.col("_hi")) / 2).alias(out)))
+    return c.select(*counts.columns, F.when(hit(lo), F.col(value)).alias("_lo"),
+                    F.when(hit(hi), F.col(value)).alias("_hi"))
+
+
+def median_of_middles() -> Column:
+    """Aggregate over ``with_middle_values`` rows: the interpolated median."""
+    return (F.max("_lo") + F.max("_hi")) / 2
+
+
+def exact_median(df: DataFrame, group: str, value: str, out: str = "median") -> DataFrame:
+    """Interpolated median of non-NULL ``value`` per ``group`` (mean of the two middle values)."""
+    counts = df.groupBy(group, value).agg(F.count(F.lit(1)).alias("_n"))
+    mids = with_middle_values(counts, group, value, "_n")
+    return (mids.groupBy(group).agg(median_of_middles().alias(out))
+            .where(F.col(out).isNotNull()))

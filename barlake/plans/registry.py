@@ -13,7 +13,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from barlake.plans import analysis, backtest, ingest, marts, quality, silver
+from barlake import schemas
 from barlake.session import checkpoint_dir
+from barlake.sources import files
 from barlake.sources import testdata as td
 
 # Fixed values of the registered runs.
@@ -46,7 +48,15 @@ def _silver(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _dim(spark: SparkSession, d: str) -> DataFrame:
-    return _input(spark, d, "tickers", lambda: td.tickers(spark, d))
+    """Ticker dimension derived once per application and folder and written as a small
+    table next to Silver, so marts broadcast one scan instead of re-deriving it."""
+    def build() -> DataFrame:
+        app = spark.sparkContext.applicationId
+        path = (f"{checkpoint_dir(spark)}/barlake/tickers_"
+                + hashlib.sha1(f"{app}|{d}".encode()).hexdigest()[:12])
+        files.write_table(td.tickers(spark, d), path)
+        return spark.read.schema(schemas.TICKERS).parquet(path)
+    return _input(spark, d, "tickers", build)
 
 
 def q_stg_stock_prices(spark, d):

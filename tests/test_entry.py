@@ -28,7 +28,7 @@ def test_every_query_has_an_oracle():
 
 def _norm(v):
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else repr(round(v, 9))
+        return "nan" if math.isnan(v) else repr(v)
     if isinstance(v, dt.datetime):
         return v.isoformat()
     if isinstance(v, dt.date):
