@@ -11,7 +11,8 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from barlake.plans import analysis, backtest, ingest as ing, marts, quality, silver
 from barlake.sources import files
@@ -23,12 +24,20 @@ def _table_name(root: str, what: str) -> str:
 
 def build_gold(spark: SparkSession, raw: DataFrame, tickers: DataFrame, root: str, as_of,
                benchmark: str, buckets: int | None = None,
-               signal_start=None, signal_end=None) -> dict[str, DataFrame]:
-    """Write Silver and every Gold table under ``root``; return the written tables."""
+               signal_start=None, signal_end=None,
+               metrics: dict | None = None) -> dict[str, DataFrame]:
+    """Write Silver and every Gold table under ``root``; return the written tables.
+
+    ``metrics`` (optional dict) receives the run counts (A14), collected with
+    ``observe`` during the writes that happen anyway, so no extra job is run.
+    """
     root = root.rstrip("/")
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    s = silver.materialize(silver.stg_stock_prices(raw), _table_name(root, "silver"),
-                           f"{root}/silver", buckets)
+    raw_obs, silver_obs = Observation("raw"), Observation("silver")
+    raw = raw.observe(raw_obs, F.count(F.lit(1)).alias("raw_rows"))
+    sv = silver.stg_stock_prices(raw).observe(silver_obs, F.count(F.lit(1)).alias("silver_rows"))
+    s = silver.materialize(sv, _table_name(root, "silver"), f"{root}/silver", buckets)
+    files.register_view(s, "stg_stock_prices")  # K5: Silver is also queryable by name
     gold = {
         "daily_returns": marts.daily_returns(s),
         "index_performance": marts.index_performance(s, tickers, as_of),
@@ -43,8 +52,18 @@ def build_gold(spark: SparkSession, raw: DataFrame, tickers: DataFrame, root: st
         files.write_table(df, f"{root}/gold/{name}")
         out[name] = spark.read.parquet(f"{root}/gold/{name}")
 
+    trades_obs = Observation("trades")
     trades = backtest.backtest_trades(s, tickers, benchmark, start=signal_start, end=signal_end)
-    if files.write_if_not_empty(trades, f"{root}/gold/backtest_trades"):
+    wrote = files.write_if_not_empty(trades, f"{root}/gold/backtest_trades", trades_obs,
+                                     F.count(F.lit(1)).alias("trades"))
+    if metrics is not None:
+        metrics.update(raw_obs.get)
+        metrics.update(silver_obs.get)
+        metrics.update(trades_obs.get if wrote else {"trades": 0})
+        hist = out["whale_signals_history"]  # a written Gold table, small next to Silver
+        metrics["signals"] = hist.count()
+        metrics["signal_tickers"] = hist.select("ticker").distinct().count()
+    if wrote:
         t = spark.read.parquet(f"{root}/gold/backtest_trades")
         out["backtest_trades"] = t
         out["backtest_summary"] = backtest.backtest_summary(t)

@@ -40,11 +40,15 @@ def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) ->
     w.parquet(path)
 
 
-def write_if_not_empty(df: DataFrame, path: str) -> bool:
-    """K2 / K3: replace the table only when there is something to write."""
+def write_if_not_empty(df: DataFrame, path: str, observation=None, *metrics) -> bool:
+    """K2 / K3: replace the table only when there is something to write.
+
+    ``observation`` / ``metrics``: counted during the write itself (not during the
+    emptiness probe, which stops at the first row).
+    """
     if df.isEmpty():
         return False
-    write_table(df, path)
+    write_table(df.observe(observation, *metrics) if observation is not None else df, path)
     return True
 
 
@@ -68,9 +72,15 @@ def write_bucketed_table(df: DataFrame, name: str, path: str, key: str,
     ``sort_by``.  The table lives in a shared folder, so it also cuts lineage: a lost
     executor re-reads files instead of recomputing the upstream plan.
     """
-    (df.write.mode("overwrite").bucketBy(buckets, key).sortBy(*sort_by)
-     .option("path", path).saveAsTable(name))
-    return df.sparkSession.table(name)
+    spark = df.sparkSession
+    try:
+        (df.write.mode("overwrite").bucketBy(buckets, key).sortBy(*sort_by)
+         .option("path", path).saveAsTable(name))
+        return spark.table(name)
+    except Exception:  # a session without a writable catalog: plain files, same data
+        (df.repartition(buckets, key).sortWithinPartitions(key, *sort_by)
+         .write.mode("overwrite").parquet(path))
+        return spark.read.schema(df.schema).parquet(path)
 
 
 def register_view(df: DataFrame, name: str) -> DataFrame:

@@ -3,6 +3,7 @@
 import datetime as dt
 
 from barlake.plans import pipeline
+from barlake.plans.presentation import present
 from barlake.plans.registry import AS_OF, QUERIES
 from barlake.sources import files
 from barlake.sources import testdata as td
@@ -12,8 +13,16 @@ SMOKE = "/root/testdata/sf0.001"
 
 def test_build_gold_matches_registered_queries(spark, tmp_path):
     root = str(tmp_path / "lake")
+    metrics = {}
     out = pipeline.build_gold(spark, td.raw_prices(spark, SMOKE), td.tickers(spark, SMOKE), root,
-                              AS_OF, td.BENCHMARK, buckets=4)
+                              AS_OF, td.BENCHMARK, buckets=4, metrics=metrics)
+    assert metrics["raw_rows"] == td.raw_prices(spark, SMOKE).count()
+    assert metrics["silver_rows"] == out["stg_stock_prices"].count()
+    assert metrics["trades"] == out["backtest_trades"].count()
+    assert metrics["signals"] == out["whale_signals_history"].count() > 0
+    assert spark.table("stg_stock_prices").count() == metrics["silver_rows"]
+    shown = present(out["backtest_top_trades"], "backtest_top_trades").collect()
+    assert [r.return_pct for r in shown] == sorted((r.return_pct for r in shown), reverse=True)
     for name in ("stg_stock_prices", "whale_signals_history", "top_movers", "backtest_trades",
                  "backtest_summary", "quality_report", "sector_performance"):
         want = sorted(tuple(r) for r in QUERIES[name](spark, SMOKE).collect())

@@ -58,3 +58,13 @@ def test_dedupe_idempotent_and_unique(spark):
     s2 = stg_stock_prices(back)
     assert sorted(s1.collect()) == sorted(s2.collect())
     assert s1.groupBy("date", "ticker").count().where("count > 1").count() == 0
+
+
+def test_raw_parquet_reader_maps_nan(spark, tmp_path):
+    from barlake.sources.files import read_raw_prices
+    rows = [(T, "A", 10.0, 11.0, 9.0, 10.0, 5), (T, "B", float("nan"), 11.0, 9.0, 10.0, 5)]
+    p = str(tmp_path / "raw")
+    raw(spark, rows).write.parquet(p)
+    back = read_raw_prices(spark, p)
+    assert back.where("Open is null").count() == 1
+    assert [r.ticker for r in stg_stock_prices(back).collect()] == ["A"]
