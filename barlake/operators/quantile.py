@@ -1,46 +1,70 @@
-"""Exact median per group without holding a group's values in one buffer.
+"""Exact median per group, without one task or buffer holding a group's values.
 
-Values are first counted per (group, value) with a map-side combined aggregation;
-a running sum over the distinct values then locates the middle rank(s).  The work per
-group is bounded by its number of distinct values (returns carry 4 decimals, so that
-number is bounded by the value range, not by the row count).
+Groups can be hot (the backtest has three hold periods, each a third of all trades),
+so selection is done in two levels over value counts:
+
+1. values are counted per (group, value) with map-side combine, then per coarse bin
+   (``floor(value / bin_width)``); a running sum over a group's bins finds the bins
+   that hold the middle rank(s) and the rank inside each bin;
+2. only the rows of those (at most two) bins are ranked at full resolution.
+
+Work per task is bounded by the number of bins of a group and by the number of
+distinct values in one bin, not by the group's row count.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# A target table has one row per group; a million groups is still a small broadcast.
+MAX_GROUPS_BROADCAST = 1_000_000
 
-def with_middle_values(counts: DataFrame, group: str, value: str, count: str) -> DataFrame:
-    """Add ``_lo`` / ``_hi`` to a table of (group, value, count) rows.
 
-    On the row(s) holding the lower / upper middle rank of the group's non-NULL values
-    the column carries that value, elsewhere NULL; ``max`` per group recovers them.
-    """
-    m = F.when(F.col(value).isNotNull(), F.col(count)).otherwise(F.lit(0))
-    w_run = Window.partitionBy(group).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    w_all = Window.partitionBy(group)
-    c = counts.select("*", m.alias("_m"), F.sum(m).over(w_run).alias("_cum"),
-                      F.sum(m).over(w_all).alias("_tot"))
-    first = F.col("_cum") - F.col("_m")
+def _rank_hit(first, cum, rank):
+    return (first < rank) & (rank <= cum)
 
-    def hit(rank):
-        return (F.col("_m") > 0) & (first < rank) & (rank <= F.col("_cum"))
-    lo = F.floor((F.col("_tot") + 1) / 2)
-    hi = F.floor(F.col("_tot") / 2) + 1
-    return c.select(*counts.columns, F.when(hit(lo), F.col(value)).alias("_lo"),
-                    F.when(hit(hi), F.col(value)).alias("_hi"))
 
+def median_from_counts(counts: DataFrame, group: str, value: str, count: str,
+                       bin_width: float = 1.0, out: str = "median",
+                       groups_bound: int | None = None) -> DataFrame:
+    """Interpolated median (mean of the two middle values) of non-NULL ``value`` per
+    ``group``, from rows (group, value, count) with one row per distinct value.
+
+    ``groups_bound``: a known upper bound on the number of groups.  Within the limit
+    the per-group targets are broadcast on that bound; otherwise the join is left to
+    AQE, which turns it into a broadcast at runtime when the targets turn out small.
+    """
+    c = counts.where(F.col(value).isNotNull()) \
+        .select(group, value, count, F.floor(F.col(value) / bin_width).alias("_bin"))
+
+    bins = c.groupBy(group, "_bin").agg(F.sum(count).alias("_bn"))
+    w_run = Window.partitionBy(group).orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
+    b = bins.select(group, "_bin", "_bn", F.sum("_bn").over(w_run).alias("_cum"),
+                    F.sum("_bn").over(Window.partitionBy(group)).alias("_tot"))
+    first = F.col("_cum") - F.col("_bn")
+    lo, hi = F.floor((F.col("_tot") + 1) / 2), F.floor(F.col("_tot") / 2) + 1
+    targets = b.groupBy(group).agg(
+        F.max(F.when(_rank_hit(first, F.col("_cum"), lo), F.col("_bin"))).alias("_lo_bin"),
+        F.max(F.when(_rank_hit(first, F.col("_cum"), lo), lo - first)).alias("_lo_off"),
+        F.max(F.when(_rank_hit(first, F.col("_cum"), hi), F.col("_bin"))).alias("_hi_bin"),
+        F.max(F.when(_rank_hit(first, F.col("_cum"), hi), hi - first)).alias("_hi_off"))
 
-def median_of_middles() -> Column:
-    """Aggregate over ``with_middle_values`` rows: the interpolated median."""
-    return (F.max("_lo") + F.max("_hi")) / 2
+    if groups_bound is not None and groups_bound <= MAX_GROUPS_BROADCAST:
+        targets = F.broadcast(targets)
+    cand = c.join(targets, group) \
+        .where((F.col("_bin") == F.col("_lo_bin")) | (F.col("_bin") == F.col("_hi_bin")))
+    w_bin = Window.partitionBy(group, "_bin").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    x = cand.select("*", F.sum(count).over(w_bin).alias("_c2"))
+    first2 = F.col("_c2") - F.col(count)
+    pick_lo = (F.col("_bin") == F.col("_lo_bin")) & _rank_hit(first2, F.col("_c2"), F.col("_lo_off"))
+    pick_hi = (F.col("_bin") == F.col("_hi_bin")) & _rank_hit(first2, F.col("_c2"), F.col("_hi_off"))
+    return x.groupBy(group).agg(
+        ((F.max(F.when(pick_lo, F.col(value))) + F.max(F.when(pick_hi, F.col(value)))) / 2).alias(out))
 
 
-def exact_median(df: DataFrame, group: str, value: str, out: str = "median") -> DataFrame:
-    """Interpolated median of non-NULL ``value`` per ``group`` (mean of the two middle values)."""
+def exact_median(df: DataFrame, group: str, value: str, out: str = "median",
+                 bin_width: float = 1.0, groups_bound: int | None = None) -> DataFrame:
+    """Interpolated median of non-NULL ``value`` per ``group``."""
     counts = df.groupBy(group, value).agg(F.count(F.lit(1)).alias("_n"))
-    mids = with_middle_values(counts, group, value, "_n")
-    return (mids.groupBy(group).agg(median_of_middles().alias(out))
-            .where(F.col(out).isNotNull()))
+    return median_from_counts(counts, group, value, "_n", bin_width, out, groups_bound)

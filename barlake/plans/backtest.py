@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barlake.functions import pct_change, round_half_up
-from barlake.operators.quantile import median_of_middles, with_middle_values
+from barlake.operators.quantile import median_from_counts
 from barlake.operators.series import by_ticker
 from barlake.operators.topk import top_k
 from barlake.plans.marts import spike_filter, with_volume_baseline
@@ -83,30 +83,36 @@ def backtest_trades(silver: DataFrame, tickers: DataFrame, benchmark: str,
         (ret > 0).alias("profitable"))
 
 
-def backtest_summary(trades: DataFrame) -> DataFrame:
+def backtest_summary(trades: DataFrame, holds: Sequence[int] = HOLD_PERIODS) -> DataFrame:
     """Per hold period: trades, win rate %, mean / exact median / best / worst return, mean alpha.
 
     One pass over the trades: they are combined per (hold, return) value map-side, and
-    every statistic, the exact median included, is derived from that table, whose size
-    is bounded by the number of distinct 4-decimal returns, not by the trade count.
+    every statistic, the exact median included, is derived from that table.  Each hold
+    period is a third of all trades, so the median uses the two-level selection of
+    ``operators.quantile`` instead of ranking a whole hold period in one task.
     """
     per_value = trades.groupBy("hold_days", "return_pct").agg(
         F.count(F.lit(1)).alias("_n"),
         F.sum(F.col("profitable").cast("int")).alias("_wins"),
         F.sum("alpha_pct").alias("_alpha_sum"),
         F.count("alpha_pct").alias("_alpha_n"))
-    v = with_middle_values(per_value, "hold_days", "return_pct", "_n")
     n, r = F.sum("_n"), F.col("return_pct")
-    return v.groupBy("hold_days").agg(
+    stats = per_value.groupBy("hold_days").agg(
         n.alias("n_trades"),
         round_half_up(F.sum("_wins") / n * 100, 4).alias("win_rate_pct"),
         round_half_up(F.sum(r * F.col("_n")) / F.sum(F.when(r.isNotNull(), F.col("_n"))), 4)
         .alias("avg_return_pct"),
-        round_half_up(median_of_middles(), 5).alias("median_return_pct"),
         F.max(r).alias("best_pct"),
         F.min(r).alias("worst_pct"),
         round_half_up(F.when(F.sum("_alpha_n") > 0, F.sum("_alpha_sum") / F.sum("_alpha_n")), 4)
         .alias("avg_alpha_pct"))
+    med = median_from_counts(per_value, "hold_days", "return_pct", "_n", out="_median",
+                             groups_bound=len(holds))
+    # both sides have one row per hold period
+    return stats.join(F.broadcast(med), "hold_days", "left").select(
+        "hold_days", "n_trades", "win_rate_pct", "avg_return_pct",
+        round_half_up("_median", 5).alias("median_return_pct"),
+        "best_pct", "worst_pct", "avg_alpha_pct")
 
 
 def backtest_top_trades(trades: DataFrame, n: int = 5) -> DataFrame:

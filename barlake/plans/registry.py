@@ -91,16 +91,29 @@ def q_sector_performance(spark, d):
     return analysis.sector_performance(_silver(spark, d), _dim(spark, d), AS_OF)
 
 
+def _trades(spark: SparkSession, d: str) -> DataFrame:
+    """The trade log, written once as a Gold table; the summary and top trades read it
+    (as the medallion run does), so the trade window pass is not repeated per report."""
+    def build() -> DataFrame:
+        t = backtest.backtest_trades(_silver(spark, d), _dim(spark, d), td.BENCHMARK)
+        app = spark.sparkContext.applicationId
+        path = (f"{checkpoint_dir(spark)}/barlake/trades_"
+                + hashlib.sha1(f"{app}|{d}".encode()).hexdigest()[:12])
+        files.write_table(t, path)
+        return spark.read.schema(t.schema).parquet(path)
+    return _input(spark, d, "trades", build)
+
+
 def q_backtest_trades(spark, d):
-    return backtest.backtest_trades(_silver(spark, d), _dim(spark, d), td.BENCHMARK)
+    return _trades(spark, d)
 
 
 def q_backtest_summary(spark, d):
-    return backtest.backtest_summary(q_backtest_trades(spark, d))
+    return backtest.backtest_summary(_trades(spark, d))
 
 
 def q_backtest_top_trades(spark, d):
-    return backtest.backtest_top_trades(q_backtest_trades(spark, d))
+    return backtest.backtest_top_trades(_trades(spark, d))
 
 
 def q_signals_in_range(spark, d):

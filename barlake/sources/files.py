@@ -73,13 +73,15 @@ def write_bucketed_table(df: DataFrame, name: str, path: str, key: str,
     executor re-reads files instead of recomputing the upstream plan.
     """
     spark = df.sparkSession
+    # one task per bucket (same hash as the bucket id), so each bucket is one file
+    # instead of one file per writing task and bucket
+    df = df.repartition(buckets, key)
     try:
         (df.write.mode("overwrite").bucketBy(buckets, key).sortBy(*sort_by)
          .option("path", path).saveAsTable(name))
         return spark.table(name)
     except Exception:  # a session without a writable catalog: plain files, same data
-        (df.repartition(buckets, key).sortWithinPartitions(key, *sort_by)
-         .write.mode("overwrite").parquet(path))
+        df.sortWithinPartitions(key, *sort_by).write.mode("overwrite").parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
 

@@ -103,3 +103,21 @@ def test_summary(spark):
     assert s.avg_return_pct == 4.25
     top = backtest.backtest_top_trades(spark.createDataFrame(rows, schema), 2).collect()
     assert [t.return_pct for t in top] == [10.0, 4.0]
+
+
+def test_exact_median_against_brute_force(spark):
+    import random
+    import statistics
+    rnd = random.Random(7)
+    rows = []
+    for g, n in ((1, 1), (2, 2), (3, 501), (4, 1000)):
+        rows += [(g, round(rnd.uniform(-30, 30), 4)) for _ in range(n)]
+    rows += [(4, 0.5)] * 300 + [(5, None), (5, 2.0)]
+    df = spark.createDataFrame(rows, "g int, v double")
+    got = {r.g: r.median for r in exact_median(df, "g", "v").collect()}
+    for g in (1, 2, 3, 4, 5):
+        want = statistics.median([v for k, v in rows if k == g and v is not None])
+        assert abs(got[g] - want) < 1e-9, g
+    # bins of width 0.01 put neighbouring middle values in different bins
+    got2 = {r.g: r.median for r in exact_median(df, "g", "v", bin_width=0.01).collect()}
+    assert got2 == got
