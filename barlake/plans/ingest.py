@@ -108,4 +108,7 @@ def news_snapshot(news: DataFrame, tickers: DataFrame | None = None) -> DataFram
     """Union of per-ticker news (one multi-path read), optionally restricted to a ticker list."""
     if tickers is None:
         return news
-    return news.join(tickers.select("ticker").distinct(), "ticker", "left_semi")
+    # the ticker list is a pick list: broadcast it (checked) so news is never shuffled
+    # by ticker, where one busy ticker would land in a single task
+    wanted = tickers.select("ticker").distinct()
+    return news.join(sized_broadcast(wanted, DIMENSION_MAX_ROWS), "ticker", "left_semi")
