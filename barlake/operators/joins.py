@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 # A dimension of one million tickers is a few tens of MB: safe to ship to every executor.
 DIMENSION_MAX_ROWS = 1_000_000
-# One ticker's Silver series has at most one row per calendar day.
-SERIES_MAX_ROWS = 200_000
 
 
 # id(DataFrame) -> (DataFrame, max_rows, is_small); the frame is kept so its id stays unique.

@@ -4,14 +4,13 @@ The Silver table holds exactly one row per (ticker, date), so a ticker's series
 at most one row per calendar day: its window partition is bounded by the number of
 distinct dates, whatever the data volume.  All positional operators (previous close,
 20-row rolling volume, next-day entry, N-day exit) share one spec, so Catalyst runs
-them off a single hash exchange on ``ticker`` and a single sort by date.
+them off a single hash exchange on ``ticker`` (none at all on the ticker-bucketed
+Silver table) and a single sort by date.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
 
@@ -24,17 +23,6 @@ def trailing_rows(n: int, key: str = "ticker", order: str = "date"):
     return by_ticker(key, order).rowsBetween(-n, -1)
 
 
-def prev_value(c: str, key: str = "ticker", order: str = "date") -> Column:
-    return F.lag(c).over(by_ticker(key, order))
-
-
 def trailing_sum_count(c: str, n: int, key: str = "ticker", order: str = "date") -> tuple[Column, Column]:
     w = trailing_rows(n, key, order)
     return F.sum(c).over(w), F.count(c).over(w)
-
-
-def forward_values(df: DataFrame, offsets: Sequence[int], cols: Sequence[str],
-                   key: str = "ticker", order: str = "date") -> DataFrame:
-    """Add ``{col}_f{k}`` = value k rows ahead in the ticker's series, for each offset."""
-    w = by_ticker(key, order)
-    return df.select("*", *[F.lead(c, k).over(w).alias(f"{c}_f{k}") for k in offsets for c in cols])
