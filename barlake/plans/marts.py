@@ -59,16 +59,19 @@ def index_performance(silver: DataFrame, tickers: DataFrame, as_of=None) -> Data
     px = join_dimension(up_to(silver, as_of).select("ticker", "date", "close"), tickers,
                         "index", ("name", "market"))
     px = px.withColumn("close_prev_day", F.lag("close").over(by_ticker()))
+    # fixed-width aggregation buffers only (max_by / min_by of doubles by date), so
+    # this is a hash aggregate on the ticker bucketing: no exchange, no sort
     agg = px.groupBy("ticker", "name", "market").agg(
-        F.max(F.struct("date", "close", "close_prev_day")).alias("last"),
+        F.max("date").alias("latest_date"),
+        F.max_by("close", "date").alias("close_last"),
+        F.max_by("close_prev_day", "date").alias("close_prev_day"),
         F.min_by("close", F.when(F.year("date") == F.year(a), F.col("date"))).alias("close_ytd_start"),
         F.min_by("close", "date").alias("close_2y_start"))
-    close = F.col("last.close")
+    close = F.col("close_last")
     return agg.select(
-        "ticker", "name", "market",
-        F.col("last.date").alias("latest_date"),
+        "ticker", "name", "market", "latest_date",
         round_half_up(close, 2).alias("close"),
-        round_half_up(pct_change(close, "last.close_prev_day"), 2).alias("return_1d_pct"),
+        round_half_up(pct_change(close, "close_prev_day"), 2).alias("return_1d_pct"),
         round_half_up(pct_change(close, "close_ytd_start"), 2).alias("return_ytd_pct"),
         round_half_up(pct_change(close, "close_2y_start"), 2).alias("return_2y_pct"))
 
