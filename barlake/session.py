@@ -8,18 +8,25 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
-def build_session(master: str | None = None, shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "barlake", extra: dict | None = None) -> SparkSession:
     """Session tuned for this workload.
 
-    On a cluster ``master`` is left to spark-submit.  AQE stays on so that shuffle
-    partitions are coalesced at runtime and skewed joins are split.
+    On a cluster ``master`` is left to spark-submit and so is the shuffle partition
+    count (size it to the data: it is also the default bucket count of the Silver
+    table); AQE coalesces small partitions and splits skewed joins at runtime.  For a
+    local master the partition count defaults to the number of cores.
     """
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
+    if shuffle_partitions is None and master and master.startswith("local"):
+        n = master[len("local["):-1] if master.startswith("local[") else "1"
+        if n in ("*", ""):
+            shuffle_partitions = os.cpu_count() or 8
+        else:
+            shuffle_partitions = int(n.split(",")[0])
     conf = {
-        "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -34,6 +41,8 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     }
     if master and master.startswith("local"):
         conf.setdefault("spark.driver.memory", "16g")
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
