@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from barlake.plans import pipeline
+from barlake.plans import medallion
 from barlake.plans.presentation import present
 from barlake.plans.registry import AS_OF, QUERIES
 from barlake.sources import files
@@ -14,7 +14,7 @@ SMOKE = "/root/testdata/sf0.001"
 def test_build_gold_matches_registered_queries(spark, tmp_path):
     root = str(tmp_path / "lake")
     metrics = {}
-    out = pipeline.build_gold(spark, td.raw_prices(spark, SMOKE), td.tickers(spark, SMOKE), root,
+    out = medallion.build_gold(spark, td.raw_prices(spark, SMOKE), td.tickers(spark, SMOKE), root,
                               AS_OF, td.BENCHMARK, buckets=4, metrics=metrics)
     assert metrics["raw_rows"] == td.raw_prices(spark, SMOKE).count()
     assert metrics["silver_rows"] == out["stg_stock_prices"].count()
@@ -34,7 +34,7 @@ def test_build_gold_matches_registered_queries(spark, tmp_path):
 def test_ingest_writes_dimension_csv_and_long_prices(spark, tmp_path):
     root = str(tmp_path / "lake")
     silver = QUERIES["stg_stock_prices"](spark, SMOKE)
-    out = pipeline.ingest(
+    out = medallion.ingest(
         spark, root, holdings=td.holdings(spark, SMOKE), membership=td.membership(spark, SMOKE),
         sector_map=td.sector_map(spark, SMOKE),
         index_rows=td.tickers(spark, SMOKE).where("type = 'index'"),
