@@ -121,3 +121,15 @@ def test_exact_median_against_brute_force(spark):
     # bins of width 0.01 put neighbouring middle values in different bins
     got2 = {r.g: r.median for r in exact_median(df, "g", "v", bin_width=0.01).collect()}
     assert got2 == got
+
+
+def test_signal_date_range_restricts_trades(spark):
+    vols = [100, 1000, 100, 100, 100000, 100, 100, 100, 100]
+    rows = series(spark, "A", closes=[100.0 + i for i in range(9)], volumes=vols)
+    d = dim(spark, [stock("A"), index(BENCH)])
+    s = bars(spark, rows)
+    only_second = backtest.backtest_trades(s, d, BENCH, (3,), start=day(2)).collect()
+    assert [t.signal_date for t in only_second] == [day(4)]
+    only_first = backtest.backtest_trades(s, d, BENCH, (3,), end=day(3)).collect()
+    # the exit still comes from the full price series
+    assert [(t.signal_date, t.exit_date) for t in only_first] == [(day(1), day(5))]
