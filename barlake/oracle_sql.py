@@ -222,7 +222,8 @@ def _nn(table: str, col: str) -> str:
 
 
 def _uq(table: str, cols: str, check: str = "unique") -> str:
-    cond = " AND ".join(f"{c} IS NOT NULL" for c in cols.split(","))
+    # the single-column test skips NULL keys; the combination test does not
+    cond = f"{cols} IS NOT NULL" if "," not in cols else "TRUE"
     return (f"SELECT '{table}' AS table_name, '{check}' AS check_name, '{cols}' AS column_names, "
             f"CAST((SELECT count(*) FROM (SELECT {cols} FROM {table} WHERE {cond} GROUP BY {cols} "
             f"HAVING count(*) > 1)) AS BIGINT) AS failures")
@@ -275,6 +276,7 @@ cte("ticker_dimension", """WITH prim AS (
     SELECT replace(m."Symbol", '.', '-') AS ticker, m."Security" AS name, sm.label AS sector,
            'US' AS market, 'stock' AS type, 'wikipedia_sp500' AS source, sm.etf
     FROM membership m JOIN sector_map sm ON m."GICS Sector" = sm.source_sector
+    WHERE m."Symbol" IS NOT NULL
     QUALIFY row_number() OVER (PARTITION BY sm.source_sector ORDER BY m."Symbol") <= 5)
   SELECT * FROM dim WHERE type = 'index'
   UNION ALL SELECT * FROM prim

@@ -42,7 +42,7 @@ def fund_holdings_rows(holdings: DataFrame, n: int = PER_SOURCE_N) -> DataFrame:
 
 def membership_rows(membership: DataFrame, sector_map: DataFrame, n: int = PER_SOURCE_N) -> DataFrame:
     """First n members per mapped sector in alphabetical symbol order (fallback source)."""
-    m = strip_headers(membership).join(
+    m = strip_headers(membership).where(F.col("Symbol").isNotNull()).join(
         sized_broadcast(sector_map, DIMENSION_MAX_ROWS),
         F.col("GICS Sector") == F.col("source_sector"))
     top = top_k_per_group(m, "source_sector", n, [F.col("Symbol")])

@@ -8,7 +8,6 @@ uniqueness is a grouped count with map-side combine.  Output columns:
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,8 +34,14 @@ def not_null(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
 
 
 def unique(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
-    """Q2 / Q3: key values (NULL keys ignored) that occur more than once."""
-    keyed = df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns]))
+    """Q2 / Q3: key values that occur more than once.
+
+    The single-column test ignores NULL keys; the combination test groups NULLs like any
+    other value (two rows with the same NULL-containing combination are duplicates).
+    """
+    keyed = df
+    if len(columns) == 1:
+        keyed = df.where(F.col(columns[0]).isNotNull())
     dup = keyed.groupBy(*columns).count().where(F.col("count") > 1)
     check = "unique" if len(columns) == 1 else "unique_combination_of_columns"
     return _row(dup.agg(F.count(F.lit(1)).alias("failures")), table, check, ",".join(columns))

@@ -31,3 +31,8 @@ def test_market_check(spark):
     assert [r.ticker for r in quality.unknown_markets(perf).collect()] == ["^B"]
     rep = failures(quality.must_be_empty(quality.unknown_markets(perf), "index_performance", "mk"))
     assert rep == {("index_performance", "mk", ""): 1}
+
+
+def test_unique_combination_counts_null_combinations(spark):
+    df = spark.createDataFrame([(None, "a"), (None, "a"), (1, "a"), (1, "b")], "d int, t string")
+    assert failures(quality.unique(df, "s", ["d", "t"])) == {("s", "unique_combination_of_columns", "d,t"): 1}
