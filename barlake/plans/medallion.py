@@ -32,7 +32,7 @@ def build_gold(spark: SparkSession, raw: DataFrame, tickers: DataFrame, root: st
     ``observe`` during the writes that happen anyway, so no extra job is run.
     """
     root = root.rstrip("/")
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or silver.default_buckets(spark)
     raw_obs, silver_obs = Observation("raw"), Observation("silver")
     raw = raw.observe(raw_obs, F.count(F.lit(1)).alias("raw_rows"))
     sv = silver.stg_stock_prices(raw).observe(silver_obs, F.count(F.lit(1)).alias("silver_rows"))

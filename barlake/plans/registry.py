@@ -42,8 +42,8 @@ def _silver(spark: SparkSession, d: str) -> DataFrame:
         s = silver.stg_stock_prices(td.raw_prices(spark, d))
         app = spark.sparkContext.applicationId
         name = "silver_" + hashlib.sha1(f"{app}|{d}".encode()).hexdigest()[:12]
-        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        return silver.materialize(s, name, f"{checkpoint_dir(spark)}/barlake", buckets)
+        return silver.materialize(s, name, f"{checkpoint_dir(spark)}/barlake",
+                                  silver.default_buckets(spark))
     return _input(spark, d, "silver", build)
 
 

@@ -50,3 +50,10 @@ def materialize(spark_silver: DataFrame, name: str, folder: str, buckets: int) -
     """
     return write_bucketed_table(spark_silver, name, f"{folder.rstrip('/')}/{name}", "ticker",
                                 ("ticker", "date"), buckets)
+
+
+def default_buckets(spark) -> int:
+    """Bucket count of the Silver table: the configured shuffle partition count (sized by
+    the operator for the data volume), capped at four waves of the cluster's task slots."""
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(shuffle, 4 * spark.sparkContext.defaultParallelism))
