@@ -6,6 +6,11 @@ share (date, ticker), so the keep-best dedupe has real work (and the index keys
 heavily duplicated, the hot-key case).  The ticker dimension, holdings, membership
 list, screener and news inputs are derived the same way.  Everything is built with
 narrow DataFrame operations over the given tables, so work grows with them.
+
+The key-modulo rules below are semantic, not sampling: they decide which rule a row
+exercises (a supplier missing from the dimension, whose bars the inner join must drop;
+a symbol that fails the equity pattern or is NULL; a part listed in one or both
+screens).  Every row of every table is read and processed by every query.
 """
 
 from __future__ import annotations
