@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Accepted ticker types and known market codes.
@@ -63,25 +63,59 @@ def unknown_markets(index_perf: DataFrame) -> DataFrame:
     return index_perf.where(~F.col("market").isin(list(KNOWN_MARKETS))).select("ticker", "market")
 
 
+def table_checks(df: DataFrame, table: str, not_null_cols: Sequence[str] = (),
+                 key: Sequence[str] = (), assertions: dict[str, Column] | None = None) -> DataFrame:
+    """Every check of one table from a single pass over it.
+
+    Rows are grouped by ``key`` (map-side combined) carrying NULL counts and assertion
+    hits, then folded once more: not-null failures, duplicated keys (NULL keys skipped for
+    a single column, kept for a combination) and rows hitting each assertion (rows where
+    the condition is NULL are not reported).  The table is computed once, not once per
+    check.
+    """
+    assertions = assertions or {}
+    flags = ([F.col(c).isNull().cast("bigint").alias(f"_nn{i}") for i, c in enumerate(not_null_cols)]
+             + [cond.cast("bigint").alias(f"_as{i}") for i, cond in enumerate(assertions.values())])
+    names = [f"_nn{i}" for i in range(len(not_null_cols))] + [f"_as{i}" for i in range(len(assertions))]
+    base = df.select(*[F.col(k) for k in key], *flags)
+    sums = [F.sum(n).alias(n) for n in names]
+    if key:
+        per_key = base.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), *sums)
+        dup = F.col("_n") > 1
+        if len(key) == 1:
+            dup = dup & F.col(key[0]).isNotNull()
+        agg = per_key.agg(*sums, F.sum(dup.cast("bigint")).alias("_dup"))
+    else:
+        agg = base.agg(*sums)
+    rows = [F.struct(F.lit("not_null").alias("k"), F.lit(c).alias("c"), F.col(f"_nn{i}").alias("f"))
+            for i, c in enumerate(not_null_cols)]
+    if key:
+        check = "unique" if len(key) == 1 else "unique_combination_of_columns"
+        rows.append(F.struct(F.lit(check).alias("k"), F.lit(",".join(key)).alias("c"),
+                             F.col("_dup").alias("f")))
+    rows += [F.struct(F.lit(name).alias("k"), F.lit("").alias("c"), F.col(f"_as{i}").alias("f"))
+             for i, name in enumerate(assertions)]
+    return agg.select(F.explode(F.array(*rows)).alias("x")).select(
+        F.lit(table).alias("table_name"), F.col("x.k").alias("check_name"),
+        F.col("x.c").alias("column_names"),
+        F.coalesce(F.col("x.f"), F.lit(0)).cast("bigint").alias("failures"))
+
+
 def quality_report(t: dict[str, DataFrame]) -> DataFrame:
-    """All checks over the tables named in ``t``."""
+    """All checks over the tables named in ``t`` (each table computed once)."""
+    markets_ok = ~F.col("market").isin(list(KNOWN_MARKETS))
     checks = [
-        unique(t["stg_stock_prices"], "stg_stock_prices", ["date", "ticker"]),
-        not_null(t["stg_stock_prices"], "stg_stock_prices",
-                 ["date", "ticker", "open", "high", "low", "close", "volume"]),
-        not_null(t["daily_returns"], "daily_returns", ["date", "ticker", "close"]),
-        not_null(t["top_movers"], "top_movers", ["ticker"]),
-        unique(t["top_movers"], "top_movers", ["ticker"]),
-        not_null(t["index_performance"], "index_performance", ["ticker"]),
-        unique(t["index_performance"], "index_performance", ["ticker"]),
-        not_null(t["sector_top_movers"], "sector_top_movers", ["ticker", "sector"]),
-        not_null(t["whale_signals"], "whale_signals", ["ticker", "date"]),
-        not_null(t["whale_signals_history"], "whale_signals_history", ["ticker", "date"]),
-        not_null(t["tickers"], "tickers", ["ticker", "type"]),
-        unique(t["tickers"], "tickers", ["ticker"]),
+        table_checks(t["stg_stock_prices"], "stg_stock_prices",
+                     ["date", "ticker", "open", "high", "low", "close", "volume"], ["date", "ticker"]),
+        table_checks(t["daily_returns"], "daily_returns", ["date", "ticker", "close"]),
+        table_checks(t["top_movers"], "top_movers", ["ticker"], ["ticker"]),
+        table_checks(t["index_performance"], "index_performance", ["ticker"], ["ticker"],
+                     {"assert_index_markets_are_valid": markets_ok}),
+        table_checks(t["sector_top_movers"], "sector_top_movers", ["ticker", "sector"]),
+        table_checks(t["whale_signals"], "whale_signals", ["ticker", "date"]),
+        table_checks(t["whale_signals_history"], "whale_signals_history", ["ticker", "date"]),
+        table_checks(t["tickers"], "tickers", ["ticker", "type"], ["ticker"]),
         accepted_values(t["tickers"], "tickers", "type", TICKER_TYPES),
-        must_be_empty(unknown_markets(t["index_performance"]), "index_performance",
-                      "assert_index_markets_are_valid"),
     ]
     return union_all(checks)
 

@@ -36,3 +36,16 @@ def test_market_check(spark):
 def test_unique_combination_counts_null_combinations(spark):
     df = spark.createDataFrame([(None, "a"), (None, "a"), (1, "a"), (1, "b")], "d int, t string")
     assert failures(quality.unique(df, "s", ["d", "t"])) == {("s", "unique_combination_of_columns", "d,t"): 1}
+
+
+def test_table_checks_single_pass_matches_separate_checks(spark):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([("^A", "US"), ("^A", "DE"), (None, None), (None, "XX"), ("^B", None)],
+                               "ticker string, market string")
+    got = failures(quality.table_checks(df, "t", ["ticker", "market"], ["ticker"],
+                                        {"mk": ~F.col("market").isin("US")}))
+    assert got == {("t", "not_null", "ticker"): 2, ("t", "not_null", "market"): 2,
+                   ("t", "unique", "ticker"): 1, ("t", "mk", ""): 2}
+    combo = spark.createDataFrame([(None, "a"), (None, "a"), (1, "a")], "d int, t string")
+    assert failures(quality.table_checks(combo, "c", [], ["d", "t"])) == {
+        ("c", "unique_combination_of_columns", "d,t"): 1}
