@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from barlake.fixed import EQUITY_SYMBOL_PATTERN
 from barlake.functions.numeric import as_col
 
-# Fixed value: a holdings row is an equity when its symbol is 1-5 upper-case letters.
-EQUITY_SYMBOL_PATTERN = r"^[A-Z]{1,5}$"
-
 
 def parse_percent(c: Column | str) -> Column:
     """'-4.5%' -> -4.5; unparsable -> NULL (counted by the caller, never fatal)."""

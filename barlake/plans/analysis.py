@@ -12,12 +12,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barlake.fixed import SECTOR_WINDOW_DAYS
 from barlake.functions import guarded_ln_growth, round_half_up
 from barlake.operators.joins import join_dimension
 from barlake.plans.marts import as_of_col, daily_returns, up_to
 
-# Fixed value: calendar look-back of the sector analysis, in days.
-SECTOR_WINDOW_DAYS = 30
 
 
 def sector_daily(silver: DataFrame, tickers: DataFrame, as_of=None,

@@ -15,14 +15,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barlake.fixed import HOLD_PERIODS, TOP_TRADES_N
 from barlake.functions import pct_change, round_half_up
 from barlake.operators.quantile import median_from_counts
 from barlake.operators.series import by_ticker
 from barlake.operators.topk import top_k
 from barlake.plans.marts import spike_filter, with_volume_baseline
 
-# Trading days held after entry.
-HOLD_PERIODS = (3, 5, 10)
 
 
 def _date_range(df: DataFrame, col: str, start, end) -> DataFrame:
@@ -115,7 +114,7 @@ def backtest_summary(trades: DataFrame, holds: Sequence[int] = HOLD_PERIODS) ->
         "best_pct", "worst_pct", "avg_alpha_pct")
 
 
-def backtest_top_trades(trades: DataFrame, n: int = 5) -> DataFrame:
+def backtest_top_trades(trades: DataFrame, n: int = TOP_TRADES_N) -> DataFrame:
     """The n best trades by return; ties keep signal order (ticker, date, hold)."""
     best = top_k(trades, n, [F.col("return_pct").desc(), F.col("ticker"), F.col("signal_date"),
                              F.col("hold_days")])

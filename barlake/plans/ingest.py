@@ -11,6 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barlake.fixed import (
+    INGEST_MONTHS, PER_SOURCE_N, SOURCE_HOLDINGS, SOURCE_MEMBERSHIP, STOCK_MARKET, TICKER_TYPES,
+)
 from barlake.functions import dot_to_dash, parse_magnitude, parse_percent, symbol_ok
 from barlake.operators.dedupe import first_by_priority
 from barlake.operators.joins import DIMENSION_MAX_ROWS, sized_broadcast
@@ -19,9 +22,6 @@ from barlake.operators.topk import top_k, top_k_per_group
 from barlake.plans.marts import as_of_col
 
 DIM_COLUMNS = ("ticker", "name", "sector", "market", "type", "source", "etf")
-# How many tickers each source contributes, and the ingest window.
-PER_SOURCE_N = 5
-INGEST_MONTHS = 24
 
 
 def strip_headers(df: DataFrame) -> DataFrame:
@@ -36,8 +36,8 @@ def fund_holdings_rows(holdings: DataFrame, n: int = PER_SOURCE_N) -> DataFrame:
     top = top_k_per_group(h, "etf", n, [F.col("Weight").desc_nulls_last(), F.col("Ticker")])
     return top.select(F.col("Ticker").alias("ticker"),
                       F.coalesce(F.col("Name"), F.lit("")).alias("name"),
-                      F.col("label").alias("sector"), F.lit("US").alias("market"),
-                      F.lit("stock").alias("type"), F.lit("spdr").alias("source"), "etf")
+                      F.col("label").alias("sector"), F.lit(STOCK_MARKET).alias("market"),
+                      F.lit("stock").alias("type"), F.lit(SOURCE_HOLDINGS).alias("source"), "etf")
 
 
 def membership_rows(membership: DataFrame, sector_map: DataFrame, n: int = PER_SOURCE_N) -> DataFrame:
@@ -47,8 +47,8 @@ def membership_rows(membership: DataFrame, sector_map: DataFrame, n: int = PER_S
         F.col("GICS Sector") == F.col("source_sector"))
     top = top_k_per_group(m, "source_sector", n, [F.col("Symbol")])
     return top.select(dot_to_dash("Symbol").alias("ticker"), F.col("Security").alias("name"),
-                      F.col("label").alias("sector"), F.lit("US").alias("market"),
-                      F.lit("stock").alias("type"), F.lit("wikipedia_sp500").alias("source"), "etf")
+                      F.col("label").alias("sector"), F.lit(STOCK_MARKET).alias("market"),
+                      F.lit("stock").alias("type"), F.lit(SOURCE_MEMBERSHIP).alias("source"), "etf")
 
 
 def ticker_dimension(holdings: DataFrame, membership: DataFrame, sector_map: DataFrame,
@@ -87,7 +87,7 @@ def analyst_pick(screener: DataFrame, index: str, rating: str, n: int = PER_SOUR
 # -------------------------------------------------------------- G15 ingest universe
 def ingest_universe(dim: DataFrame, *picks: DataFrame) -> DataFrame:
     """Static stocks + indices of the dimension, union the picks, distinct tickers."""
-    u = dim.where(F.col("type").isin("stock", "index")).select("ticker")
+    u = dim.where(F.col("type").isin(*TICKER_TYPES)).select("ticker")
     for p in picks:
         u = u.unionByName(p.select("ticker"))
     return u.distinct()

@@ -13,16 +13,12 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barlake.fixed import RECENT_DAYS, SECTOR_TOP_N, SPIKE_RATIO, SPIKE_WINDOW_ROWS, TOP_MOVERS_N
 from barlake.functions import pct_change, round_half_up, strictly_greater_ratio
 from barlake.operators.joins import join_dimension
 from barlake.operators.series import by_ticker, trailing_sum_count
 from barlake.operators.topk import top_k, top_k_per_group
 
-# Fixed values of the volume-spike rule: 20 preceding rows, strictly more than 2.5x.
-SPIKE_WINDOW_ROWS = 20
-SPIKE_RATIO_NUM, SPIKE_RATIO_DEN = 5, 2
-# Calendar look-back of the "recent" marts, in days (inclusive lower bound).
-RECENT_DAYS = 7
 
 
 def as_of_col(as_of: dt.date | str | Column | None) -> Column:
@@ -89,13 +85,14 @@ def _recent_ranges(silver: DataFrame, tickers: DataFrame, as_of, dim_cols: tuple
         F.count(F.lit(1)).alias("trading_days"))
 
 
-def top_movers(silver: DataFrame, tickers: DataFrame, as_of=None, n: int = 5) -> DataFrame:
+def top_movers(silver: DataFrame, tickers: DataFrame, as_of=None, n: int = TOP_MOVERS_N) -> DataFrame:
     """The n stocks with the widest high-low range over the last 7 calendar days."""
     ranges = _recent_ranges(silver, tickers, as_of, ())
     return top_k(ranges, n, [F.col("weekly_range").desc_nulls_first(), F.col("ticker")])
 
 
-def sector_top_movers(silver: DataFrame, tickers: DataFrame, as_of=None, n: int = 3) -> DataFrame:
+def sector_top_movers(silver: DataFrame, tickers: DataFrame, as_of=None,
+                      n: int = SECTOR_TOP_N) -> DataFrame:
     """Top n stocks by weekly range within each sector, with their rank (ties: ticker)."""
     ranges = _recent_ranges(silver, tickers, as_of, ("name", "sector", "etf"))
     ranked = top_k_per_group(ranges, "sector", n,
@@ -115,7 +112,8 @@ def with_volume_baseline(silver: DataFrame, tickers: DataFrame) -> DataFrame:
 
 
 def spike_filter() -> Column:
-    return strictly_greater_ratio("volume", "_vol_sum", "_vol_cnt", SPIKE_RATIO_NUM, SPIKE_RATIO_DEN)
+    return strictly_greater_ratio("volume", "_vol_sum", "_vol_cnt", SPIKE_RATIO.numerator,
+                                  SPIKE_RATIO.denominator)
 
 
 def spike_columns() -> list[Column]:

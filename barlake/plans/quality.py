@@ -12,9 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Accepted ticker types and known market codes.
-TICKER_TYPES = ("stock", "index")
-KNOWN_MARKETS = ("US", "FR", "UK", "JP", "IN")
+from barlake.fixed import KNOWN_MARKETS, TICKER_TYPES
+
 
 
 def _row(df_one_value: DataFrame, table: str, check: str, columns: str) -> DataFrame:

@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barlake.fixed import SOURCE_HOLDINGS, SOURCE_MANUAL, STOCK_MARKET
 from barlake.operators.joins import DIMENSION_MAX_ROWS, sized_broadcast, spread_coarse_scan
 from barlake.operators.reshape import long_to_wide
 
@@ -102,9 +103,9 @@ def tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
               .select(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("ticker"),
                       F.col("s_name").alias("name"),
                       F.col("r_name").alias("sector"),
-                      F.lit("US").alias("market"),
+                      F.lit(STOCK_MARKET).alias("market"),
                       F.lit("stock").alias("type"),
-                      F.lit("spdr").alias("source"),
+                      F.lit(SOURCE_HOLDINGS).alias("source"),
                       etf_of_region(F.col("r_name")).alias("etf")))
     indices = (table(spark, sf_dir, "region")
                .select(F.concat(F.lit("^"), F.col("r_name")).alias("ticker"),
@@ -112,7 +113,7 @@ def tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.lit(None).cast("string").alias("sector"),
                        _market(F.col("r_name")).alias("market"),
                        F.lit("index").alias("type"),
-                       F.lit("manual").alias("source"),
+                       F.lit(SOURCE_MANUAL).alias("source"),
                        F.lit(None).cast("string").alias("etf")))
     return indices.unionByName(stocks)
 
