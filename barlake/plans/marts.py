@@ -20,7 +20,6 @@ from barlake.operators.series import by_ticker, trailing_sum_count
 from barlake.operators.topk import top_k, top_k_per_group
 
 
-
 def as_of_col(as_of: dt.date | str | Column | None) -> Column:
     if as_of is None:
         return F.current_date()
@@ -48,8 +47,8 @@ def index_performance(silver: DataFrame, tickers: DataFrame, as_of=None) -> Data
     """1-day, year-to-date and since-start returns of each index, in one aggregation.
 
     latest row = max by date; YTD base = first close of as_of's year; start = first
-    close overall.  Folding the three DISTINCT ON sub-queries into one grouped
-    aggregate keeps the plan at one exchange (the window's), zero joins.
+    close overall.  The three anchor look-ups are folded into one grouped aggregate
+    over the window's output: no joins, and on the ticker-bucketed Silver no exchange.
     """
     a = as_of_col(as_of)
     px = join_dimension(up_to(silver, as_of).select("ticker", "date", "close"), tickers,
