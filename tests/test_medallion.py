@@ -51,3 +51,13 @@ def test_ingest_writes_dimension_csv_and_long_prices(spark, tmp_path):
     assert raw.select("Ticker").distinct().count() == 5
     assert files.write_if_not_empty(raw.limit(0), str(tmp_path / "empty")) is False
     assert dt.date(1999, 6, 30) <= raw.agg({"Date": "min"}).first()[0]
+
+
+def test_bucketed_table_falls_back_to_plain_files(spark, tmp_path):
+    from barlake.sources.files import write_bucketed_table
+    s = QUERIES["stg_stock_prices"](spark, SMOKE)
+    # a database that does not exist makes saveAsTable fail: the plain-file path is used
+    back = write_bucketed_table(s, "no_such_db.silver_copy", str(tmp_path / "silver_copy"), "ticker",
+                                ("ticker", "date"), 4)
+    assert sorted(tuple(r) for r in back.collect()) == sorted(tuple(r) for r in s.collect())
+    assert back.columns == s.columns
