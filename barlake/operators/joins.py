@@ -44,8 +44,12 @@ def spread_coarse_scan(df: DataFrame) -> DataFrame:
     file made of one huge row group would otherwise run every narrow operator after
     the scan in a single task.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # a remote session exposes no split count: leave the scan as it is
+        return df
+    return df.repartition(slots) if splits < slots else df
 
 
 def join_dimension(facts: DataFrame, dim: DataFrame, ticker_type: str | None,

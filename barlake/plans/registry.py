@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from barlake import schemas
 from barlake.plans import analysis, backtest, ingest, marts, quality, silver
-from barlake.session import checkpoint_dir
+from barlake.session import app_id, checkpoint_dir
 from barlake.sources import files
 from barlake.sources import testdata as td
 
@@ -29,7 +29,7 @@ _inputs: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def _input(spark: SparkSession, d: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    key = (spark.sparkContext.applicationId, d, name)
+    key = (app_id(spark), d, name)
     if key not in _inputs:
         _inputs[key] = build()
     return _inputs[key]
@@ -40,7 +40,7 @@ def _silver(spark: SparkSession, d: str) -> DataFrame:
     ticker-bucketed table in the shared checkpoint folder, and read by every mart."""
     def build() -> DataFrame:
         s = silver.stg_stock_prices(td.raw_prices(spark, d))
-        app = spark.sparkContext.applicationId
+        app = app_id(spark)
         name = "silver_" + hashlib.sha1(f"{app}|{d}".encode()).hexdigest()[:12]
         return silver.materialize(s, name, f"{checkpoint_dir(spark)}/barlake",
                                   silver.default_buckets(spark))
@@ -51,7 +51,7 @@ def _dim(spark: SparkSession, d: str) -> DataFrame:
     """Ticker dimension derived once per application and folder and written as a small
     table next to Silver, so marts broadcast one scan instead of re-deriving it."""
     def build() -> DataFrame:
-        app = spark.sparkContext.applicationId
+        app = app_id(spark)
         path = (f"{checkpoint_dir(spark)}/barlake/tickers_"
                 + hashlib.sha1(f"{app}|{d}".encode()).hexdigest()[:12])
         files.write_table(td.tickers(spark, d), path)
@@ -96,7 +96,7 @@ def _trades(spark: SparkSession, d: str) -> DataFrame:
     (as the medallion run does), so the trade window pass is not repeated per report."""
     def build() -> DataFrame:
         t = backtest.backtest_trades(_silver(spark, d), _dim(spark, d), td.BENCHMARK)
-        app = spark.sparkContext.applicationId
+        app = app_id(spark)
         path = (f"{checkpoint_dir(spark)}/barlake/trades_"
                 + hashlib.sha1(f"{app}|{d}".encode()).hexdigest()[:12])
         files.write_table(t, path)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barlake.operators.dedupe import keep_best
+from barlake.session import task_slots
 from barlake.sources.files import write_bucketed_table
 
 
@@ -56,4 +57,4 @@ def default_buckets(spark) -> int:
     """Bucket count of the Silver table: the configured shuffle partition count (sized by
     the operator for the data volume), capped at four waves of the cluster's task slots."""
     shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(shuffle, 4 * spark.sparkContext.defaultParallelism))
+    return max(1, min(shuffle, 4 * task_slots(spark)))

@@ -61,5 +61,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = tempfile.mkdtemp(prefix="barlake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    try:
+        spark.sparkContext.setCheckpointDir(d)
+    except Exception:  # a remote (Connect) session has no SparkContext; the path still applies
+        pass
     return d
+
+
+def app_id(spark: SparkSession) -> str:
+    """Identifier of the running application (also under a remote session)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:
+        return spark.conf.get("spark.app.id", None) or f"session-{id(spark)}"
+
+
+def task_slots(spark: SparkSession) -> int:
+    """Cluster-wide task slots (default parallelism), or the shuffle partition count."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
