@@ -29,6 +29,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     conf = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # coalesce small post-shuffle partitions to the advisory size instead of keeping
+        # one per core: fewer near-empty tasks (the setting Spark advises for busy clusters)
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
