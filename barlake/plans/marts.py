@@ -9,6 +9,7 @@ except where the order *is* the feature (top-k).
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,15 +44,23 @@ def daily_returns(silver: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------ G3 index_performance
-def index_performance(silver: DataFrame, tickers: DataFrame, as_of=None) -> DataFrame:
+def index_performance(silver: DataFrame, tickers: DataFrame, as_of=None,
+                      index_tickers: Sequence[str] | None = None) -> DataFrame:
     """1-day, year-to-date and since-start returns of each index, in one aggregation.
 
+    ``index_tickers``: the index list when the caller knows it (it is a fixed list in
+    practice).  As a literal filter it prunes the scan to the Silver buckets holding
+    those tickers instead of reading every bucket; the dimension join still decides.
+
     latest row = max by date; YTD base = first close of as_of's year; start = first
     close overall.  The three anchor look-ups are folded into one grouped aggregate
     over the window's output: no joins, and on the ticker-bucketed Silver no exchange.
     """
     a = as_of_col(as_of)
-    px = join_dimension(up_to(silver, as_of).select("ticker", "date", "close"), tickers,
+    visible = up_to(silver, as_of)
+    if index_tickers is not None:
+        visible = visible.where(F.col("ticker").isin(list(index_tickers)))
+    px = join_dimension(visible.select("ticker", "date", "close"), tickers,
                         "index", ("name", "market"))
     px = px.withColumn("close_prev_day", F.lag("close").over(by_ticker()))
     # fixed-width aggregation buffers only (max_by / min_by of doubles by date), so

@@ -68,7 +68,7 @@ def q_daily_returns(spark, d):
 
 
 def q_index_performance(spark, d):
-    return marts.index_performance(_silver(spark, d), _dim(spark, d), AS_OF)
+    return marts.index_performance(_silver(spark, d), _dim(spark, d), AS_OF, td.INDEX_TICKERS)
 
 
 def q_top_movers(spark, d):
@@ -126,7 +126,7 @@ def q_quality_report(spark, d):
         "stg_stock_prices": s,
         "daily_returns": marts.daily_returns(s),
         "top_movers": marts.top_movers(s, dim, AS_OF),
-        "index_performance": marts.index_performance(s, dim, AS_OF),
+        "index_performance": marts.index_performance(s, dim, AS_OF, td.INDEX_TICKERS),
         "sector_top_movers": marts.sector_top_movers(s, dim, AS_OF),
         "whale_signals": marts.whale_signals(s, dim, AS_OF),
         "whale_signals_history": marts.whale_signals_history(s, dim),

@@ -25,6 +25,7 @@ from barlake.operators.reshape import long_to_wide
 # Fixed values of the mapping.
 BENCHMARK = "^AMERICA"
 REGION_NAMES = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+INDEX_TICKERS = ["^" + r for r in REGION_NAMES]
 MARKET_OF_REGION = {"AMERICA": "US", "AFRICA": "FR", "EUROPE": "UK", "ASIA": "JP",
                     "MIDDLE EAST": "IN"}
 # Suppliers left out of the dimension (exercises price rows dropped by the inner join).
@@ -187,7 +188,7 @@ def news(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def wide_index_prices(silver: DataFrame) -> DataFrame:
     """Price feed as delivered: one row per date, ``Open|^X`` / ``Close|^X`` per index ticker."""
-    idx = ["^" + r for r in REGION_NAMES]
+    idx = INDEX_TICKERS
     long = silver.select(F.col("date").alias("Date"), F.col("ticker").alias("Ticker"),
                          F.col("open").alias("Open"), F.col("close").alias("Close"))
     return long_to_wide(long, "Date", "Ticker", ["Open", "Close"], idx)
