@@ -56,3 +56,9 @@ def test_no_python_evaluation_anywhere(spark):
 def test_news_snapshot_never_reads_text(spark):
     p = plan(QUERIES["news_snapshot"](spark, SMOKE))
     assert "ReadSchema: struct<doc_id:bigint,lang:string,source:string,n_chars:bigint>" in p
+
+
+def test_index_performance_reads_only_index_buckets(spark):
+    p = plan(QUERIES["index_performance"](spark, SMOKE))
+    m = re.search(r"SelectedBucketsCount: (\d+) out of (\d+)", p)
+    assert m and int(m.group(1)) <= 5 and "In(ticker" in p
