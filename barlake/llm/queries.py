@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from barlake.llm import sentencepiece_codec, token_counts, url_filters
+from barlake.llm import (decontamination, quality_rules, sentencepiece_codec, simhash, token_counts,
+                         url_filters)
 from barlake.llm.common import read
 
 # Fixed value: host labels of the listed sites.
@@ -19,6 +20,18 @@ def op3_url_filters(spark, d):
     return url_filters.url_filter(pages, pages.where(host.rlike(LISTED_SITES)).select("url"))
 
 
+def op5_quality_rules(spark, d):
+    return quality_rules.quality_rules(read(spark, d, "documents"))
+
+
+def op6_simhash(spark, d):
+    return simhash.simhash(read(spark, d, "documents"))
+
+
+def op8_decontamination(spark, d):
+    return decontamination.decontamination(read(spark, d, "documents"), read(spark, d, "benchmark")).drop("uid")
+
+
 def op9_sentencepiece(spark, d):
     return sentencepiece_codec.encode_decode(
         read(spark, d, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
@@ -31,6 +44,9 @@ def op10_token_counts(spark, d):
 
 QUERIES = {
     "op3_url_filters": op3_url_filters,
+    "op5_quality_rules": op5_quality_rules,
+    "op6_simhash": op6_simhash,
+    "op8_decontamination": op8_decontamination,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_token_counts": op10_token_counts,
 }
