@@ -5,14 +5,18 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from barlake.llm import (decontamination, quality_rules, sentencepiece_codec, simhash, token_counts,
-                         url_filters)
+from barlake.llm import (decontamination, lm_scores, pii, quality_rules, secrets, sentencepiece_codec, simhash,
+                         token_counts, url_filters)
 from barlake.llm.common import read
 
 # Fixed value: host labels of the listed sites.
 LISTED_SITES = r"(?:^|\.)(?:casino-win|free-bets)\."
 
 
+def op1_secrets(spark, d):
+    return secrets.secret_scan(read(spark, d, "documents"))
+
+
 def op3_url_filters(spark, d):
     """The list: URLs of ``pages`` on gambling sites."""
     pages = read(spark, d, "pages").select("page_id", "url")
@@ -20,6 +24,10 @@ def op3_url_filters(spark, d):
     return url_filters.url_filter(pages, pages.where(host.rlike(LISTED_SITES)).select("url"))
 
 
+def op4_pii(spark, d):
+    return pii.pii(read(spark, d, "documents"))
+
+
 def op5_quality_rules(spark, d):
     return quality_rules.quality_rules(read(spark, d, "documents"))
 
@@ -28,6 +36,10 @@ def op6_simhash(spark, d):
     return simhash.simhash(read(spark, d, "documents"))
 
 
+def op7_lm_scores(spark, d):
+    return lm_scores.lm_scores(read(spark, d, "documents"))
+
+
 def op8_decontamination(spark, d):
     return decontamination.decontamination(read(spark, d, "documents"), read(spark, d, "benchmark")).drop("uid")
 
@@ -43,9 +55,12 @@ def op10_token_counts(spark, d):
 
 
 QUERIES = {
+    "op1_secrets": op1_secrets,
     "op3_url_filters": op3_url_filters,
+    "op4_pii": op4_pii,
     "op5_quality_rules": op5_quality_rules,
     "op6_simhash": op6_simhash,
+    "op7_lm_scores": op7_lm_scores,
     "op8_decontamination": op8_decontamination,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_token_counts": op10_token_counts,
