@@ -15,6 +15,7 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 # Row counts up to which a side is broadcast; beyond it the join is left to Catalyst.
 BROADCAST_ROWS = 20_000
+DROPPED_ROWS = 1_000_000
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +36,16 @@ def checked_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def without_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """``docs`` without the rows numbered in ``dropped`` (column uid, the
+    monotonically_increasing_id of ``docs``): numbers only are broadcast, 16 bytes a row up
+    to ``DROPPED_ROWS``; more are joined by a shuffle."""
+    gone = written(dropped.select(F.col("uid").alias("barlake_dropped")), "dropped")
+    numbered = docs.withColumn("barlake_row", F.monotonically_increasing_id())
+    return numbered.join(checked_broadcast(gone, DROPPED_ROWS),
+                         F.col("barlake_row") == F.col("barlake_dropped"), "left_anti").drop("barlake_row")
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z only (``lower`` would also change other scripts)."""
     return F.translate(c, UPPER, LOWER)

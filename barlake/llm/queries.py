@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from barlake.llm import (decontamination, lm_scores, pii, quality_rules, secrets, sentencepiece_codec, simhash,
-                         token_counts, url_filters)
+                         suffix_dedup, token_counts, url_filters)
 from barlake.llm.common import read
 
 # Fixed value: host labels of the listed sites.
@@ -17,6 +17,10 @@ def op1_secrets(spark, d):
     return secrets.secret_scan(read(spark, d, "documents"))
 
 
+def op2_suffix_dedup(spark, d):
+    return suffix_dedup.suffix_dedup(read(spark, d, "documents"))
+
+
 def op3_url_filters(spark, d):
     """The list: URLs of ``pages`` on gambling sites."""
     pages = read(spark, d, "pages").select("page_id", "url")
@@ -56,6 +60,7 @@ def op10_token_counts(spark, d):
 
 QUERIES = {
     "op1_secrets": op1_secrets,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_url_filters": op3_url_filters,
     "op4_pii": op4_pii,
     "op5_quality_rules": op5_quality_rules,
