@@ -23,3 +23,20 @@ TICKER_TYPES = ("stock", "index")
 KNOWN_MARKETS = ("US", "FR", "UK", "JP", "IN")
 STOCK_MARKET = "US"
 SOURCE_HOLDINGS, SOURCE_MEMBERSHIP, SOURCE_MANUAL = "spdr", "wikipedia_sp500", "manual"
+
+# Index rows of the ticker dimension (ticker, name, market).
+INDEX_ROWS = (
+    ("^GSPC", "S&P 500", "US"),
+    ("^FCHI", "CAC 40", "FR"),
+    ("^FTSE", "FTSE 100", "UK"),
+    ("^N225", "Nikkei 225", "JP"),
+    ("^BSESN", "Sensex", "IN"),
+)
+# Source sector -> (label, fund).
+SECTOR_MAP = (
+    ("Information Technology", "Technology", "XLK"),
+    ("Financials", "Financial", "XLF"),
+    ("Health Care", "Healthcare", "XLV"),
+    ("Consumer Discretionary", "Consumer", "XLY"),
+    ("Energy", "Energy", "XLE"),
+)

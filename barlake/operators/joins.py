@@ -1,67 +1,19 @@
-"""Join helpers with an explicit size check before broadcasting."""
+"""Join helpers.  No side is hinted: Catalyst and AQE broadcast by measured bytes."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension of one million tickers is a few tens of MB: safe to ship to every executor.
-DIMENSION_MAX_ROWS = 1_000_000
-
-
-# id(DataFrame) -> (DataFrame, max_rows, is_small); the frame is kept so its id stays unique.
-_checked: dict[int, tuple[DataFrame, int, bool]] = {}
-
-
-def is_small(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most ``max_rows + 1``.
-
-    The answer is remembered per DataFrame object, so a table registered once is
-    checked once per application.
-    """
-    hit = _checked.get(id(df))
-    if hit is not None and hit[0] is df and hit[1] == max_rows:
-        return hit[2]
-    small = df.limit(max_rows + 1).count() <= max_rows
-    _checked[id(df)] = (df, max_rows, small)
-    return small
-
-
-def sized_broadcast(df: DataFrame, max_rows: int, bounded_by: DataFrame | None = None) -> DataFrame:
-    """Broadcast hint only when the side is proven small.
-
-    ``bounded_by``: a table that ``df`` is a filter / projection of; checking it once
-    bounds every such derivation.  Beyond the bound the side is returned unhinted and
-    Catalyst falls back to a shuffled join.
-    """
-    return F.broadcast(df) if is_small(bounded_by if bounded_by is not None else df, max_rows) else df
-
-
-def spread_coarse_scan(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has task slots.
-
-    A large input already has many splits and is returned untouched (no shuffle); a
-    file made of one huge row group would otherwise run every narrow operator after
-    the scan in a single task.
-    """
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # a remote session exposes no split count: leave the scan as it is
-        return df
-    return df.repartition(slots) if splits < slots else df
-
 
 def join_dimension(facts: DataFrame, dim: DataFrame, ticker_type: str | None,
                    columns: tuple[str, ...] = (), key: str = "ticker",
                    how: str = "inner") -> DataFrame:
     """Inner join of fact rows with the ticker dimension filtered to one type.
 
-    Fact rows whose ticker is not in the dimension are dropped (inner join), exactly
-    as the reference's marts do.
+    Fact rows whose ticker is not in the dimension are dropped.
     """
     d = dim
     if ticker_type is not None:
         d = d.where(F.col("type") == ticker_type)
-    d = d.select(key, *columns)
-    return facts.join(sized_broadcast(d, DIMENSION_MAX_ROWS, bounded_by=dim), key, how)
+    return facts.join(d.select(key, *columns), key, how)

@@ -21,22 +21,42 @@ def wide_to_long(wide: DataFrame, id_col: str, metrics: Sequence[str],
     One narrow pass (explode of an array of structs): no shuffle.  The ticker list is
     read from the schema (metadata), not from the data.
     """
-    tickers = []
-    for c in wide.columns:
-        if SEP in c:
-            t = c.split(SEP, 1)[1]
+    tickers, types = [], {}
+    for f in wide.schema.fields:
+        if SEP in f.name:
+            m, t = f.name.split(SEP, 1)
+            types.setdefault(m, f.dataType)
             if t not in tickers:
                 tickers.append(t)
+    if not tickers:
+        return wide.select(id_col, F.lit(None).cast("string").alias(ticker_col),
+                           *[F.lit(None).cast("double").alias(m) for m in metrics]).limit(0)
+    # a column that is missing for a ticker has the type of the metric's other columns
     cells = [
         F.struct(F.lit(t).alias(ticker_col),
                  *[(F.col(f"`{wide_columns(m, t)}`") if wide_columns(m, t) in wide.columns
-                    else F.lit(None).cast("double")).alias(m) for m in metrics])
+                    else F.lit(None)).cast(types.get(m, "double")).alias(m) for m in metrics])
         for t in tickers
     ]
     return (wide.select(F.col(id_col), F.explode(F.array(*cells)).alias("_c"))
             .select(id_col, f"_c.{ticker_col}", *[f"_c.{m}" for m in metrics]))
 
 
+def wide_cells_to_long(wide: DataFrame, id_col: str, tickers: Sequence[str], metrics: Sequence[str],
+                       ticker_col: str = "Ticker") -> DataFrame:
+    """The same for a feed whose rows carry one map ``cells`` (ticker -> struct of metrics):
+    a row per id and ticker of the feed's header, NULL metrics where a cell is missing."""
+    return (wide.select(id_col, "cells", F.explode(F.array(*[F.lit(t) for t in tickers])).alias(ticker_col))
+            .select(id_col, ticker_col, F.try_element_at("cells", F.col(ticker_col)).alias("_c"))
+            .select(id_col, ticker_col, *[F.col(f"_c.{m}").alias(m) for m in metrics]))
+
+
+def long_to_cells(long: DataFrame, id_col: str, ticker_col: str, metrics: Sequence[str]) -> DataFrame:
+    """One row per id with the map ``cells``: as wide as the ticker list of the feed."""
+    cell = F.struct(F.col(ticker_col).alias("key"), F.struct(*metrics).alias("value"))
+    return long.groupBy(id_col).agg(F.map_from_entries(F.collect_list(cell)).alias("cells"))
+
+
 def long_to_wide(long: DataFrame, id_col: str, ticker_col: str, metrics: Sequence[str],
                  tickers: Sequence[str]) -> DataFrame:
     """Pivot a long table to ``metric|ticker`` columns for a fixed ticker list (one shuffle by id)."""

@@ -1,11 +1,11 @@
 """Independent DuckDB SQL for every registered result (the correctness oracle).
 
-Written independently of the Spark plans: keep-best dedupe is ``QUALIFY
-row_number() = 1``; anchor prices are ``arg_max`` / ``arg_min`` aggregates (with
-``FILTER`` for the year start); the backtest's positional lookups are self-joins on a
-per-ticker row index; the sector summary is one grouped pass joined to rank-1 rows.  Shared numeric rules: rounding
-through ``DECIMAL(28,10)`` (half away from zero), the spike test in integers, and
-explicit NULL ordering.  Tables of the driver's test data are pre-registered views.
+The forms differ from the Spark plans: keep-best dedupe is ``QUALIFY row_number() = 1``;
+index anchors are joined back on their dates; spike baselines are grouped sums over a self
+join on a per-ticker row index; sector returns are products; the backtest's positional
+lookups are self joins on the row index.  Shared numeric rules: rounding through
+``DECIMAL(28,10)`` (half away from zero), the spike test in integers, and explicit NULL
+ordering.  Tables of the driver's test data are pre-registered views.
 """
 
 from __future__ import annotations
@@ -65,30 +65,31 @@ cte("dim", f"""SELECT '^' || r_name AS ticker, r_name AS name, CAST(NULL AS VARC
   SELECT 'S' || CAST(s.s_suppkey AS VARCHAR), s.s_name, r.r_name, 'US', 'stock', 'spdr',
          'X' || substr(r.r_name, 1, 2)
   FROM {SUPPLIER_REGION}
-  WHERE s.s_suppkey % 10 <> 9""")
+  WHERE s.s_acctbal >= 0""")
 
 cte("daily_returns", f"""SELECT date, ticker, close, LAG(close) OVER w AS prev_close,
          {R("(close - LAG(close) OVER w) / LAG(close) OVER w * 100", 2)} AS daily_return_pct
   FROM silver WINDOW w AS (PARTITION BY ticker ORDER BY date)""")
 
-cte("index_performance", f"""WITH idx AS (
-    SELECT p.ticker, d.name, d.market, p.date, p.close,
-           LAG(p.close) OVER (PARTITION BY p.ticker ORDER BY p.date) AS prior_close
+cte("index_performance", f"""WITH bar AS (
+    SELECT p.ticker, d.name, d.market, p.date, p.close
     FROM silver p JOIN dim d ON d.ticker = p.ticker AND d.type = 'index'
     WHERE p.date <= {AS_OF}),
-  folded AS (
-    SELECT ticker, name, market, max(date) AS latest_date,
-           arg_max(close, date) AS last_close,
-           arg_max_null(prior_close, date) AS last_prior,
-           arg_min(close, date) FILTER (WHERE year(date) = year({AS_OF})) AS year_open,
-           arg_min(close, date) AS first_close
-    FROM idx GROUP BY ticker, name, market)
-  SELECT ticker, name, market, latest_date,
-         {R("last_close", 2)} AS close,
-         {R("(last_close - last_prior) / last_prior * 100", 2)} AS return_1d_pct,
-         {R("(last_close - year_open) / year_open * 100", 2)} AS return_ytd_pct,
-         {R("(last_close - first_close) / first_close * 100", 2)} AS return_2y_pct
-  FROM folded""")
+  anchor AS (
+    SELECT t.ticker, t.name, t.market, t.day0, t.day1,
+           (SELECT max(b.date) FROM bar b WHERE b.ticker = t.ticker AND b.date < t.day1) AS day_before,
+           (SELECT min(b.date) FROM bar b WHERE b.ticker = t.ticker AND year(b.date) = year({AS_OF})) AS new_year
+    FROM (SELECT ticker, name, market, min(date) AS day0, max(date) AS day1 FROM bar GROUP BY ALL) t)
+  SELECT a.ticker, a.name, a.market, a.day1 AS latest_date,
+         {R("now.close", 2)} AS close,
+         {R("(now.close - yesterday.close) / yesterday.close * 100", 2)} AS return_1d_pct,
+         {R("(now.close - january.close) / january.close * 100", 2)} AS return_ytd_pct,
+         {R("(now.close - start.close) / start.close * 100", 2)} AS return_2y_pct
+  FROM anchor a
+  JOIN bar now ON now.ticker = a.ticker AND now.date = a.day1
+  JOIN bar start ON start.ticker = a.ticker AND start.date = a.day0
+  LEFT JOIN bar yesterday ON yesterday.ticker = a.ticker AND yesterday.date = a.day_before
+  LEFT JOIN bar january ON january.ticker = a.ticker AND january.date = a.new_year""")
 
 _WEEK = f"p.date BETWEEN {AS_OF} - 7 AND {AS_OF}"
 
@@ -113,86 +114,76 @@ cte("sector_top_movers", f"""WITH wk AS (
   QUALIFY rank_in_sector <= 3""")
 
 
-def _spike_prices(extra_where: str) -> str:
-    return f"""SELECT p.ticker, p.date, p.close, p.volume, t.name, t.sector,
-           CAST(SUM(p.volume) OVER w AS BIGINT) AS s20, COUNT(p.volume) OVER w AS c20
-    FROM silver p JOIN dim t ON p.ticker = t.ticker
-    WHERE t.type = 'stock' {extra_where}
-    WINDOW w AS (PARTITION BY p.ticker ORDER BY p.date ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING)"""
-
-
-_SPIKE_SELECT = f"""SELECT ticker, name, sector, date, close, volume,
-         {R("s20 / c20", 0)} AS avg_volume_20d,
-         {R("volume / NULLIF(s20 / c20, 0)", 2)} AS volume_ratio
-  FROM vol20"""
-
-cte("whale_signals", f"""WITH vol20 AS ({_spike_prices(f"AND p.date <= {AS_OF}")})
-  {_SPIKE_SELECT}
-  WHERE date >= {AS_OF} - 7 AND c20 > 0 AND volume * c20 * 2 > s20 * 5""")
-
-cte("whale_signals_history", f"""WITH vol20 AS ({_spike_prices("")})
-  {_SPIKE_SELECT}
-  WHERE c20 > 0 AND volume * c20 * 2 > s20 * 5""")
-
-cte("sector_performance", f"""WITH rets AS (
-    SELECT date, ticker,
-           {R("(close - LAG(close) OVER w) / LAG(close) OVER w * 100", 2)} AS r
-    FROM silver WHERE date <= {AS_OF} WINDOW w AS (PARTITION BY ticker ORDER BY date)),
-  inwin AS (
-    SELECT x.ticker, d.sector, x.r
-    FROM rets x JOIN dim d ON d.ticker = x.ticker
-    WHERE d.type = 'stock' AND d.sector IS NOT NULL AND x.date >= {AS_OF} - 30),
-  tick AS (
-    SELECT ticker, sector,
-           {R("(EXP(SUM(CASE WHEN 1 + r / 100 > 0 THEN LN(1 + r / 100) END)) - 1) * 100", 2)} AS cum
-    FROM inwin GROUP BY ticker, sector),
-  ranked AS (
-    SELECT sector, ticker, cum,
-           row_number() OVER (PARTITION BY sector ORDER BY cum DESC NULLS FIRST, ticker) AS from_top,
-           row_number() OVER (PARTITION BY sector ORDER BY cum ASC NULLS LAST, ticker) AS from_bottom
-    FROM tick)
-  SELECT s.sector, COUNT(DISTINCT s.ticker) AS num_tickers,
-         {R("AVG(s.r)", 3)} AS avg_daily_return_pct,
-         {R("MIN(s.r)", 3)} AS worst_day_pct,
-         {R("MAX(s.r)", 3)} AS best_day_pct,
-         any_value(hi.ticker) AS best_ticker, any_value(hi.cum) AS best_return_pct,
-         any_value(lo.ticker) AS worst_ticker, any_value(lo.cum) AS worst_return_pct
-  FROM inwin s
-  LEFT JOIN ranked hi ON hi.sector = s.sector AND hi.from_top = 1
-  LEFT JOIN ranked lo ON lo.sector = s.sector AND lo.from_bottom = 1
-  GROUP BY s.sector""")
-
-cte("backtest_trades", f"""WITH px AS (
-    SELECT ticker, date, open, close,
-           row_number() OVER (PARTITION BY ticker ORDER BY date) AS idx
-    FROM silver),
-  sig AS (SELECT ticker, date AS signal_date, sector FROM whale_signals_history),
-  entry AS (
-    SELECT s.ticker, s.sector, s.signal_date, e.date AS entry_date, e.open AS entry_price,
-           e.idx AS entry_idx
-    FROM sig s
-    JOIN px p ON p.ticker = s.ticker AND p.date = s.signal_date
-    JOIN px e ON e.ticker = p.ticker AND e.idx = p.idx + 1
-    WHERE e.open IS NOT NULL AND e.open > 0),
-  holds AS (SELECT * FROM (VALUES (3), (5), (10)) h(hold_days)),
+cte("numbered", """SELECT p.ticker, p.date, p.open, p.close, p.volume,
+         row_number() OVER (PARTITION BY p.ticker ORDER BY p.date) AS i
+  FROM silver p""")
+
+cte("whale_signals_history", f"""SELECT a.ticker, d.name, d.sector, a.date, a.close, a.volume,
+         {R("sum(b.volume) / count(*)", 0)} AS avg_volume_20d,
+         {R("a.volume / nullif(sum(b.volume) / count(*), 0)", 2)} AS volume_ratio
+  FROM numbered a
+  JOIN numbered b ON b.ticker = a.ticker AND b.i >= a.i - 20 AND b.i < a.i
+  JOIN dim d ON d.ticker = a.ticker AND d.type = 'stock'
+  GROUP BY a.ticker, d.name, d.sector, a.date, a.close, a.volume
+  HAVING a.volume * count(*) * 2 > sum(b.volume) * 5""")
+
+cte("whale_signals", f"""SELECT * FROM whale_signals_history WHERE date BETWEEN {AS_OF} - 7 AND {AS_OF}""")
+
+cte("sector_performance", f"""WITH gain AS (
+    SELECT d.sector, b.ticker, b.date,
+           {R("(b.close - a.close) / a.close * 100", 2)} AS pct
+    FROM numbered b
+    JOIN dim d ON d.ticker = b.ticker AND d.type = 'stock' AND d.sector IS NOT NULL
+    LEFT JOIN numbered a ON a.ticker = b.ticker AND a.i = b.i - 1
+    WHERE b.date BETWEEN {AS_OF} - 30 AND {AS_OF}),
+  whole AS (
+    SELECT sector, ticker,
+           {R("(product(1 + pct / 100) FILTER (WHERE 1 + pct / 100 > 0) - 1) * 100", 2)} AS growth
+    FROM gain GROUP BY sector, ticker),
+  ends AS (
+    SELECT sector,
+           list({'{'}'t': ticker, 'g': growth{'}'} ORDER BY growth DESC NULLS FIRST, ticker)[1] AS top,
+           list({'{'}'t': ticker, 'g': growth{'}'} ORDER BY growth ASC NULLS LAST, ticker)[1] AS bottom
+    FROM whole GROUP BY sector)
+  SELECT sector, count(DISTINCT gain.ticker) AS num_tickers,
+         {R("avg(pct)", 3)} AS avg_daily_return_pct, {R("min(pct)", 3)} AS worst_day_pct,
+         {R("max(pct)", 3)} AS best_day_pct,
+         any_value(ends.top.t) AS best_ticker, any_value(ends.top.g) AS best_return_pct,
+         any_value(ends.bottom.t) AS worst_ticker, any_value(ends.bottom.g) AS worst_return_pct
+  FROM gain JOIN ends USING (sector) GROUP BY sector""")
+
+def _trades(signals: str) -> str:
+    return f"""WITH entry AS (
+    SELECT s.ticker, s.sector, s.signal_date, e.date AS entry_date, e.open AS entry_price, e.i
+    FROM ({signals}) s
+    JOIN numbered p ON p.ticker = s.ticker AND p.date = s.signal_date
+    JOIN numbered e ON e.ticker = p.ticker AND e.i = p.i + 1
+    WHERE e.open > 0),
   legs AS (
-    SELECT en.ticker, en.sector, en.signal_date, en.entry_date, en.entry_price, h.hold_days,
-           x.date AS exit_date, x.close AS exit_price
-    FROM entry en CROSS JOIN holds h
-    JOIN px x ON x.ticker = en.ticker AND x.idx = en.entry_idx + h.hold_days
-    WHERE x.close IS NOT NULL AND x.close > 0),
-  bench AS (SELECT date, close FROM silver WHERE ticker = {BENCH}),
+    SELECT en.*, h.hold_days, x.date AS exit_date, x.close AS exit_price
+    FROM entry en, (VALUES (3), (5), (10)) h(hold_days), numbered x
+    WHERE x.ticker = en.ticker AND x.i = en.i + h.hold_days AND x.close > 0),
   t AS (
     SELECT l.*, (l.exit_price - l.entry_price) / l.entry_price * 100 AS ret,
            CASE WHEN be.close > 0 THEN (bx.close - be.close) / be.close * 100 END AS bret
     FROM legs l
-    LEFT JOIN bench be ON be.date = l.entry_date
-    LEFT JOIN bench bx ON bx.date = l.exit_date)
+    LEFT JOIN silver be ON be.ticker = {BENCH} AND be.date = l.entry_date
+    LEFT JOIN silver bx ON bx.ticker = {BENCH} AND bx.date = l.exit_date)
   SELECT ticker, sector, signal_date, entry_date, {R("entry_price", 4)} AS entry_price,
          exit_date, {R("exit_price", 4)} AS exit_price, CAST(hold_days AS INTEGER) AS hold_days,
          {R("ret", 4)} AS return_pct, {R("bret", 4)} AS bench_return_pct,
          {R("ret - bret", 4)} AS alpha_pct, ret > 0 AS profitable
-  FROM t""")
+  FROM t"""
+
+
+_SPIKES = "SELECT ticker, date AS signal_date, sector FROM whale_signals_history"
+
+cte("backtest_trades", _trades(_SPIKES))
+
+cte("backtest_given_signals", _trades(f"""{_SPIKES}
+    UNION ALL
+    SELECT c.kind || CAST(s.s_suppkey AS VARCHAR), DATE '1999-06-17', r.r_name
+    FROM (VALUES ('S'), ('X')) c(kind), {SUPPLIER_REGION}"""))
 
 cte("backtest_summary", f"""SELECT hold_days, COUNT(*) AS n_trades,
          {R("AVG(CAST(profitable AS INTEGER)) * 100", 4)} AS win_rate_pct,
@@ -223,6 +214,11 @@ def _uq(table: str, cols: str, check: str = "unique") -> str:
             f"HAVING count(*) > 1)) AS BIGINT) AS failures")
 
 
+cte("tickers", f"""SELECT CASE WHEN s_acctbal >= 0 THEN 'S' || CAST(s_suppkey AS VARCHAR) END AS ticker, 'stock' AS type
+  FROM {SUPPLIER_REGION}
+  UNION ALL SELECT n_name, 'country' FROM nation
+  UNION ALL SELECT 'N' || CAST(n_regionkey AS VARCHAR), 'index' FROM nation""")
+
 cte("quality_report", "\n  UNION ALL ".join([
     _uq("silver", "date,ticker", "unique_combination_of_columns").replace("'silver'", "'stg_stock_prices'", 1),
     *[_nn("silver", c).replace("'silver'", "'stg_stock_prices'", 1)
@@ -233,11 +229,9 @@ cte("quality_report", "\n  UNION ALL ".join([
     _nn("sector_top_movers", "ticker"), _nn("sector_top_movers", "sector"),
     _nn("whale_signals", "ticker"), _nn("whale_signals", "date"),
     _nn("whale_signals_history", "ticker"), _nn("whale_signals_history", "date"),
-    _nn("dim", "ticker").replace("'dim'", "'tickers'", 1),
-    _nn("dim", "type").replace("'dim'", "'tickers'", 1),
-    _uq("dim", "ticker").replace("'dim'", "'tickers'", 1),
+    _nn("tickers", "ticker"), _nn("tickers", "type"), _uq("tickers", "ticker"),
     "SELECT 'tickers', 'accepted_values', 'type', CAST((SELECT count(*) FROM (SELECT DISTINCT type "
-    "FROM dim WHERE type NOT IN ('stock', 'index'))) AS BIGINT)",
+    "FROM tickers WHERE type NOT IN ('stock', 'index'))) AS BIGINT)",
     "SELECT 'index_performance', 'assert_index_markets_are_valid', '', CAST((SELECT count(*) "
     "FROM index_performance WHERE market NOT IN ('US', 'FR', 'UK', 'JP', 'IN')) AS BIGINT)",
 ]))
@@ -245,16 +239,15 @@ cte("quality_report", "\n  UNION ALL ".join([
 # ------------------------------------------------------------------- ingest inputs
 _LETTERS = "translate(CAST(s.s_suppkey AS VARCHAR), '0123456789', 'ABCDEFGHIJ')"
 
-cte("holdings", f"""SELECT CASE WHEN s.s_suppkey % 23 = 0 THEN NULL
-              WHEN s.s_suppkey % 17 = 0 THEN {_LETTERS} || '.A'
-              ELSE {_LETTERS} END AS "Ticker",
-         s.s_name AS "Name", s.s_acctbal AS "Weight", 'X' || substr(r.r_name, 1, 2) AS etf,
-         r.r_name AS label
+_SYMBOL = f"""{_LETTERS} || CASE WHEN n.n_name IN ('BRAZIL', 'CHINA', 'EGYPT', 'FRANCE', 'IRAN', 'IRAQ')
+              THEN '.A' ELSE '' END"""
+
+cte("holdings", f"""SELECT CASE WHEN s.s_acctbal >= -500 THEN {_SYMBOL} END AS "Ticker",
+         CASE WHEN s.s_acctbal < 9000 THEN s.s_name END AS "Name", s.s_acctbal AS "Weight",
+         'X' || substr(r.r_name, 1, 2) AS etf, r.r_name AS label
   FROM {SUPPLIER_REGION} WHERE r.r_name <> 'MIDDLE EAST'""")
 
-cte("membership", f"""SELECT CASE WHEN s.s_suppkey % 17 = 0 THEN {_LETTERS} || '.A'
-              ELSE {_LETTERS} END AS "Symbol",
-         s.s_name AS "Security", r.r_name AS "GICS Sector"
+cte("membership", f"""SELECT {_SYMBOL} AS "Symbol", s.s_name AS "Security", r.r_name AS "GICS Sector"
   FROM {SUPPLIER_REGION}""")
 
 cte("sector_map", """SELECT r_name AS source_sector, r_name AS label,
@@ -281,16 +274,16 @@ def _screen(index: str, cond: str, shift: str) -> str:
     return f"""SELECT 'P' || CAST(p_partkey AS VARCHAR) AS "Ticker",
          CAST(CAST(p_retailprice % 20 - 10{shift} AS DECIMAL(10,2)) AS VARCHAR) || '%' AS "Change",
          CAST(CAST(p_size AS DECIMAL(10,2)) AS VARCHAR)
-           || CASE WHEN p_partkey % 2 = 0 THEN 'M' ELSE 'K' END AS "Volume",
+           || CASE WHEN p_retailprice >= 950 THEN 'M' ELSE 'K' END AS "Volume",
          '{index}' AS "index",
          CASE WHEN p_brand IN ('Brand#1', 'Brand#10') THEN 'Strong Buy (1)' ELSE 'Hold (3)' END
            AS recommendation
   FROM part WHERE {cond}"""
 
 
-cte("screener", f"""{_screen("S&P 500", "p_partkey % 2 = 0", "")}
+cte("screener", f"""{_screen("S&P 500", "p_size >= 10", "")}
   UNION ALL
-  {_screen("NASDAQ 100", "p_partkey % 3 = 0", " + 0.5")}""")
+  {_screen("NASDAQ 100", "p_retailprice >= 950", " + 0.5")}""")
 
 cte("volatile_pick", """WITH firsts AS (
     SELECT "Ticker" AS ticker, abs(TRY_CAST(replace("Change", '%', '') AS DOUBLE)) AS abs_change
@@ -312,15 +305,24 @@ cte("ingest_universe", """SELECT DISTINCT ticker FROM (
     UNION ALL SELECT ticker FROM volatile_pick
     UNION ALL SELECT ticker FROM analyst_pick)""")
 
-cte("wide_to_long", f"""WITH idx AS (SELECT * FROM (VALUES ('^AFRICA'), ('^AMERICA'), ('^ASIA'),
-                                         ('^EUROPE'), ('^MIDDLE EAST')) v(t)),
-  dates AS (SELECT DISTINCT date FROM silver WHERE ticker IN (SELECT t FROM idx))
-  SELECT d.date AS "Date", i.t AS "Ticker", s.open AS "Open", s.close AS "Close"
-  FROM dates d CROSS JOIN idx i
-  LEFT JOIN silver s ON s.date = d.date AND s.ticker = i.t
+cte("wide_to_long", f"""SELECT d.date AS "Date", t.ticker AS "Ticker", s.open AS "Open", s.high AS "High",
+         s.low AS "Low", s.close AS "Close", s.volume AS "Volume"
+  FROM (SELECT DISTINCT date FROM silver) d CROSS JOIN (SELECT ticker FROM dim) t
+  LEFT JOIN silver s ON s.date = d.date AND s.ticker = t.ticker
   WHERE d.date >= CAST({AS_OF} - INTERVAL 24 MONTH AS DATE) AND d.date < {AS_OF}""")
 
-cte("news_snapshot", """SELECT doc_id, source, lang, n_chars, source AS ticker FROM documents""")
+cte("news_snapshot", """SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, v.ticker
+  FROM volatile_pick v
+  JOIN part p ON v.ticker = 'P' || CAST(p.p_partkey AS VARCHAR)
+  JOIN documents d ON d.source = 'src' || CAST(p.p_size // 3 AS VARCHAR)""")
+
+cte("tickers_csv", """SELECT ticker, nullif(name, '') AS name, sector, market, type, source, etf FROM ticker_dimension""")
+
+cte("bronze_round_trip", """SELECT "Ticker", count(*) AS bars, CAST(min("Date") AS DATE) AS first_date,
+         CAST(max("Date") AS DATE) AS last_date, CAST(sum("Volume") AS BIGINT) AS volume
+  FROM raw GROUP BY "Ticker\"""")
+
+cte("silver_view", """SELECT ticker, count(*) AS bars, max(date) AS last_date FROM silver GROUP BY ticker""")
 
 # which CTEs each result needs (transitively resolved below)
 DEPS: dict[str, tuple[str, ...]] = {
@@ -329,22 +331,28 @@ DEPS: dict[str, tuple[str, ...]] = {
     "index_performance": ("silver", "dim"),
     "top_movers": ("silver", "dim"),
     "sector_top_movers": ("silver", "dim"),
-    "whale_signals": ("silver", "dim"),
-    "whale_signals_history": ("silver", "dim"),
-    "sector_performance": ("silver", "dim"),
-    "backtest_trades": ("silver", "whale_signals_history"),
+    "numbered": ("silver",),
+    "whale_signals": ("whale_signals_history",),
+    "whale_signals_history": ("numbered", "dim"),
+    "sector_performance": ("numbered", "dim"),
+    "backtest_trades": ("silver", "numbered", "whale_signals_history"),
+    "backtest_given_signals": ("silver", "numbered", "whale_signals_history"),
     "backtest_summary": ("backtest_trades",),
     "backtest_top_trades": ("backtest_trades",),
     "signals_in_range": ("whale_signals_history",),
-    "quality_report": ("silver", "dim", "daily_returns", "top_movers", "index_performance",
+    "tickers": (),
+    "quality_report": ("silver", "tickers", "daily_returns", "top_movers", "index_performance",
                        "sector_top_movers", "whale_signals", "whale_signals_history"),
     "holdings": (), "membership": (), "sector_map": (),
     "ticker_dimension": ("dim", "holdings", "membership", "sector_map"),
     "screener": (),
     "volatile_pick": ("screener",), "analyst_pick": ("screener",),
     "ingest_universe": ("dim", "volatile_pick", "analyst_pick"),
-    "wide_to_long": ("silver",),
-    "news_snapshot": (),
+    "wide_to_long": ("silver", "dim"),
+    "news_snapshot": ("volatile_pick",),
+    "tickers_csv": ("ticker_dimension",),
+    "bronze_round_trip": ("raw",),
+    "silver_view": ("silver",),
 }
 
 
@@ -364,7 +372,7 @@ def query(name: str) -> str:
     deps = _closure(name)
     if not deps:
         return CTE[name]
-    withs = ",\n".join(f"{d} AS (\n  {CTE[d]}\n)" for d in deps)
+    withs = ",\n".join(f"{d} AS MATERIALIZED (\n  {CTE[d]}\n)" for d in deps)
     return f"WITH {withs}\nSELECT * FROM (\n  {CTE[name]}\n) q"
 
 
@@ -372,7 +380,8 @@ RESULTS = ("stg_stock_prices", "daily_returns", "index_performance", "top_movers
            "sector_top_movers", "whale_signals", "whale_signals_history", "sector_performance",
            "backtest_trades", "backtest_summary", "backtest_top_trades", "quality_report",
            "ticker_dimension", "volatile_pick", "analyst_pick", "ingest_universe",
-           "wide_to_long", "news_snapshot", "signals_in_range")
+           "wide_to_long", "news_snapshot", "signals_in_range", "backtest_given_signals",
+           "tickers_csv", "bronze_round_trip", "silver_view")
 
 ORACLE_SQL: dict[str, str] = {
     n: (query("silver") if n == "stg_stock_prices" else query(n)) for n in RESULTS

@@ -1,6 +1,6 @@
 """G8 sector performance over the last 30 calendar days.
 
-Two aggregation levels, no joins: returns are first folded per ticker (count, sum,
+Two aggregation levels over the written daily returns: returns are first folded per ticker (count, sum,
 min, max, sum of log growth) on the partitioning the return window already has, then
 per sector.  Best / worst ticker are picked with ``min(struct(...))`` so the NULL
 ordering of the reference (DESC puts NULL first, ASC puts it last) is explicit and the
@@ -15,14 +15,16 @@ from pyspark.sql import functions as F
 from barlake.fixed import SECTOR_WINDOW_DAYS
 from barlake.functions import guarded_ln_growth, round_half_up
 from barlake.operators.joins import join_dimension
-from barlake.plans.marts import as_of_col, daily_returns, up_to
+from barlake.plans.marts import as_of_col
+from barlake.sources.files import month_slice
 
 
-
-def sector_daily(silver: DataFrame, tickers: DataFrame, as_of=None,
+def sector_daily(returns: DataFrame, tickers: DataFrame, as_of=None,
                  days: int = SECTOR_WINDOW_DAYS) -> DataFrame:
+    """Returns of stocks with a sector in the window, from the daily returns table (by
+    month, if written so: a return only looks back, so later rows do not touch it)."""
     a = as_of_col(as_of)
-    dr = daily_returns(up_to(silver, as_of)).where(F.col("date") >= F.date_sub(a, days))
+    dr = month_slice(returns, F.date_sub(a, days), a)
     d = join_dimension(dr.select("ticker", "date", "daily_return_pct"), tickers, "stock", ("sector",))
     return d.where(F.col("sector").isNotNull())
 
@@ -37,9 +39,9 @@ def ticker_cumulative(daily: DataFrame) -> DataFrame:
         round_half_up((F.exp(F.sum(guarded_ln_growth(r))) - 1) * 100, 2).alias("cum"))
 
 
-def sector_performance(silver: DataFrame, tickers: DataFrame, as_of=None,
+def sector_performance(returns: DataFrame, tickers: DataFrame, as_of=None,
                        days: int = SECTOR_WINDOW_DAYS) -> DataFrame:
-    per_ticker = ticker_cumulative(sector_daily(silver, tickers, as_of, days))
+    per_ticker = ticker_cumulative(sector_daily(returns, tickers, as_of, days))
     cum, tk = F.col("cum"), F.col("ticker")
     n = F.sum("n_ret")
     s = per_ticker.groupBy("sector").agg(

@@ -1,10 +1,9 @@
-"""Volume-spike backtest, fully distributed.
+"""Backtest of a signal table, fully distributed.
 
-Signals are rows of the price series itself, so no signal -> price lookup is needed:
-one window pass over Silver (partitioned by ticker, ordered by date) yields the
-20-row volume baseline, the next-day entry and the N-day exits together.  Spike rows
-are kept, exploded over the hold periods, and joined by exact date with the benchmark
-series (one ticker, at most one row per day: a proven small side).
+The price series of the tickers with a signal get, in one window pass (partitioned by
+ticker, ordered by date), each row's next-day entry and N-day exits; signals are joined to
+their row by (ticker, date), exploded over the hold periods, and joined by exact date with
+the benchmark series.
 """
 
 from __future__ import annotations
@@ -17,11 +16,8 @@ from pyspark.sql import functions as F
 
 from barlake.fixed import HOLD_PERIODS, TOP_TRADES_N
 from barlake.functions import pct_change, round_half_up
-from barlake.operators.quantile import median_from_counts
 from barlake.operators.series import by_ticker
 from barlake.operators.topk import top_k
-from barlake.plans.marts import spike_filter, with_volume_baseline
-
 
 
 def _date_range(df: DataFrame, col: str, start, end) -> DataFrame:
@@ -40,30 +36,36 @@ def signals_in_range(signals: DataFrame, start: dt.date | str | None = None,
     return _date_range(s, "signal_date", start, end)
 
 
-def backtest_trades(silver: DataFrame, tickers: DataFrame, benchmark: str,
-                    holds: Sequence[int] = HOLD_PERIODS, start=None, end=None) -> DataFrame:
+def run_backtest(signals: DataFrame, prices: DataFrame, benchmark: str,
+                 holds: Sequence[int] = HOLD_PERIODS, start=None, end=None) -> DataFrame:
+    """Trades of a given signal table (ticker, signal_date, sector) over ``prices``.
+
+    Entry is the open of the ticker's next row, exit the close ``hold`` rows later; the
+    benchmark return is close to close on exactly these dates.  No trade comes of a ticker
+    without prices, a signal date that is not in its series, a signal on the last row, an
+    entry or exit without a positive price, or a hold beyond the series (each hold on its
+    own).  Repeated signals give repeated trades.
+    """
+    wanted = signals.select("ticker").distinct()
     w = by_ticker()
-    base = with_volume_baseline(silver, tickers)
-    fwd = base.select(
-        "ticker", "sector", "date", "volume", "_vol_sum", "_vol_cnt",
-        F.lead("date", 1).over(w).alias("entry_date"),
-        F.lead("open", 1).over(w).alias("entry_price"),
-        F.array(*[F.struct(F.lit(h).alias("hold_days"),
-                           F.lead("date", 1 + h).over(w).alias("exit_date"),
-                           F.lead("close", 1 + h).over(w).alias("exit_price"))
-                  for h in holds]).alias("_exits"))
-    sig = _date_range(fwd.where(spike_filter()), "date", start, end)
-    entered = sig.where(F.col("entry_date").isNotNull() & F.col("entry_price").isNotNull()
-                        & (F.col("entry_price") > 0))
-    legs = (entered.select("ticker", "sector", F.col("date").alias("signal_date"), "entry_date",
-                           "entry_price", F.explode("_exits").alias("x"))
+    exits = F.array(*[F.struct(F.lit(h).alias("hold_days"),
+                               F.lead("date", 1 + h).over(w).alias("exit_date"),
+                               F.lead("close", 1 + h).over(w).alias("exit_price"))
+                      for h in holds])
+    # only the series of tickers with a signal; positions within a series by one window
+    series = prices.join(wanted, "ticker", "left_semi").select(
+        "ticker", F.col("date").alias("signal_date"),
+        F.lead("date", 1).over(w).alias("entry_date"), F.lead("open", 1).over(w).alias("entry_price"),
+        exits.alias("_exits"))
+    entered = (_date_range(signals.select("ticker", "signal_date", "sector"), "signal_date", start, end)
+               .join(series, ["ticker", "signal_date"])
+               .where(F.col("entry_date").isNotNull() & (F.col("entry_price") > 0)))
+    legs = (entered.select("ticker", "sector", "signal_date", "entry_date", "entry_price", F.explode("_exits").alias("x"))
             .select("*", "x.hold_days", "x.exit_date", "x.exit_price").drop("x")
-            .where(F.col("exit_date").isNotNull() & F.col("exit_price").isNotNull()
-                   & (F.col("exit_price") > 0)))
+            .where(F.col("exit_date").isNotNull() & (F.col("exit_price") > 0)))
 
-    # One ticker of Silver: at most one row per calendar day, a bound that does not
-    # grow with the number of tickers or bars, so it is broadcast without a count.
-    bench = F.broadcast(silver.where(F.col("ticker") == benchmark).select("date", "close"))
+    # one row per day: the first of a day that has several
+    bench = (prices.where(F.col("ticker") == benchmark).groupBy("date").agg(F.min("close").alias("close")))
     be = bench.select(F.col("date").alias("entry_date"), F.col("close").alias("_b_in"))
     bx = bench.select(F.col("date").alias("exit_date"), F.col("close").alias("_b_out"))
     t = legs.join(be, "entry_date", "left").join(bx, "exit_date", "left")
@@ -82,13 +84,18 @@ def backtest_trades(silver: DataFrame, tickers: DataFrame, benchmark: str,
         (ret > 0).alias("profitable"))
 
 
-def backtest_summary(trades: DataFrame, holds: Sequence[int] = HOLD_PERIODS) -> DataFrame:
+def backtest_trades(history: DataFrame, silver: DataFrame, benchmark: str,
+                    holds: Sequence[int] = HOLD_PERIODS, start=None, end=None) -> DataFrame:
+    """Trades of the volume-spike signals (the written history) over Silver."""
+    return run_backtest(signals_in_range(history, start, end), silver, benchmark, holds)
+
+
+def backtest_summary(trades: DataFrame) -> DataFrame:
     """Per hold period: trades, win rate %, mean / exact median / best / worst return, mean alpha.
 
     One pass over the trades: they are combined per (hold, return) value map-side, and
-    every statistic, the exact median included, is derived from that table.  Each hold
-    period is a third of all trades, so the median uses the two-level selection of
-    ``operators.quantile`` instead of ranking a whole hold period in one task.
+    every statistic comes from that one table.  Returns have 4 decimals, so the state of
+    the exact median is bounded by the number of distinct returns, not of trades.
     """
     per_value = trades.groupBy("hold_days", "return_pct").agg(
         F.count(F.lit(1)).alias("_n"),
@@ -96,22 +103,16 @@ def backtest_summary(trades: DataFrame, holds: Sequence[int] = HOLD_PERIODS) ->
         F.sum("alpha_pct").alias("_alpha_sum"),
         F.count("alpha_pct").alias("_alpha_n"))
     n, r = F.sum("_n"), F.col("return_pct")
-    stats = per_value.groupBy("hold_days").agg(
+    return per_value.groupBy("hold_days").agg(
         n.alias("n_trades"),
         round_half_up(F.sum("_wins") / n * 100, 4).alias("win_rate_pct"),
         round_half_up(F.sum(r * F.col("_n")) / F.sum(F.when(r.isNotNull(), F.col("_n"))), 4)
         .alias("avg_return_pct"),
+        round_half_up(F.percentile(r, F.lit(0.5), F.col("_n")), 5).alias("median_return_pct"),
         F.max(r).alias("best_pct"),
         F.min(r).alias("worst_pct"),
         round_half_up(F.when(F.sum("_alpha_n") > 0, F.sum("_alpha_sum") / F.sum("_alpha_n")), 4)
         .alias("avg_alpha_pct"))
-    med = median_from_counts(per_value, "hold_days", "return_pct", "_n", out="_median",
-                             groups_bound=len(holds))
-    # both sides have one row per hold period
-    return stats.join(F.broadcast(med), "hold_days", "left").select(
-        "hold_days", "n_trades", "win_rate_pct", "avg_return_pct",
-        round_half_up("_median", 5).alias("median_return_pct"),
-        "best_pct", "worst_pct", "avg_alpha_pct")
 
 
 def backtest_top_trades(trades: DataFrame, n: int = TOP_TRADES_N) -> DataFrame:

@@ -8,19 +8,23 @@ wide -> long reshaping with the rolling 2-year window, and the news snapshot.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barlake import schemas
 from barlake.fixed import (
-    INGEST_MONTHS, PER_SOURCE_N, SOURCE_HOLDINGS, SOURCE_MEMBERSHIP, STOCK_MARKET, TICKER_TYPES,
+    INDEX_ROWS, INGEST_MONTHS, PER_SOURCE_N, SECTOR_MAP, SOURCE_HOLDINGS, SOURCE_MANUAL,
+    SOURCE_MEMBERSHIP, STOCK_MARKET, TICKER_TYPES,
 )
 from barlake.functions import dot_to_dash, parse_magnitude, parse_percent, symbol_ok
 from barlake.operators.dedupe import first_by_priority
-from barlake.operators.joins import DIMENSION_MAX_ROWS, sized_broadcast
-from barlake.operators.reshape import wide_to_long
+from barlake.operators.reshape import wide_cells_to_long, wide_to_long
 from barlake.operators.topk import top_k, top_k_per_group
 from barlake.plans.marts import as_of_col
 
+METRICS = ("Open", "High", "Low", "Close", "Volume")
 DIM_COLUMNS = ("ticker", "name", "sector", "market", "type", "source", "etf")
 
 
@@ -29,6 +33,17 @@ def strip_headers(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.strip() for c in df.columns])
 
 
+def default_index_rows(spark: SparkSession) -> DataFrame:
+    """P5: the fixed index rows of the dimension."""
+    return spark.createDataFrame([(t, n, None, m, "index", SOURCE_MANUAL, None) for t, n, m in INDEX_ROWS],
+                                 schemas.TICKERS)
+
+
+def default_sector_map(spark: SparkSession) -> DataFrame:
+    """The fixed sector map."""
+    return spark.createDataFrame(list(SECTOR_MAP), schemas.SECTOR_MAP)
+
+
 # ------------------------------------------------------------ G12 ticker dimension
 def fund_holdings_rows(holdings: DataFrame, n: int = PER_SOURCE_N) -> DataFrame:
     """Top n equity holdings per fund by weight (primary source)."""
@@ -43,8 +58,7 @@ def fund_holdings_rows(holdings: DataFrame, n: int = PER_SOURCE_N) -> DataFrame:
 def membership_rows(membership: DataFrame, sector_map: DataFrame, n: int = PER_SOURCE_N) -> DataFrame:
     """First n members per mapped sector in alphabetical symbol order (fallback source)."""
     m = strip_headers(membership).where(F.col("Symbol").isNotNull()).join(
-        sized_broadcast(sector_map, DIMENSION_MAX_ROWS),
-        F.col("GICS Sector") == F.col("source_sector"))
+        sector_map, F.col("GICS Sector") == F.col("source_sector"))
     top = top_k_per_group(m, "source_sector", n, [F.col("Symbol")])
     return top.select(dot_to_dash("Symbol").alias("ticker"), F.col("Security").alias("name"),
                       F.col("label").alias("sector"), F.lit(STOCK_MARKET).alias("market"),
@@ -94,21 +108,43 @@ def ingest_universe(dim: DataFrame, *picks: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------- G16 wide -> long
-def long_prices(wide: DataFrame, metrics: tuple[str, ...], as_of=None,
+def _window(long: DataFrame, as_of, months: int) -> DataFrame:
+    a = as_of_col(as_of)
+    return long.where((F.col("Date") >= F.add_months(a, -months)) & (F.col("Date") < a))
+
+
+def long_prices(wide: DataFrame, metrics: tuple[str, ...] = METRICS, as_of=None,
                 months: int = INGEST_MONTHS) -> DataFrame:
     """Stack a wide metric x ticker feed to one row per (Date, Ticker), NULL cells kept,
     restricted to the rolling window [as_of - months, as_of)."""
-    a = as_of_col(as_of)
-    long = wide_to_long(wide, "Date", metrics)
-    return long.where((F.col("Date") >= F.add_months(a, -months)) & (F.col("Date") < a))
+    return _window(wide_to_long(wide, "Date", metrics), as_of, months)
+
+
+def long_prices_of_cells(wide: DataFrame, tickers: list[str], metrics: tuple[str, ...] = METRICS,
+                         as_of=None, months: int = INGEST_MONTHS) -> DataFrame:
+    """The same for a feed of one map of cells per date and its header's ticker list; days
+    outside the window are dropped before they are unfolded."""
+    return wide_cells_to_long(_window(wide, as_of, months), "Date", tickers, metrics)
+
+
+def as_bronze(long: DataFrame) -> DataFrame:
+    """The Bronze schema: columns that the feed lacks are NULL, types are those of the table."""
+    return long.select(*[(F.col(f.name) if f.name in long.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                         for f in schemas.RAW_PRICES])
 
 
 # ---------------------------------------------------------------- G17 news snapshot
-def news_snapshot(news: DataFrame, tickers: DataFrame | None = None) -> DataFrame:
-    """Union of per-ticker news (one multi-path read), optionally restricted to a ticker list."""
-    if tickers is None:
-        return news
-    # the ticker list is a pick list: broadcast it (checked) so news is never shuffled
-    # by ticker, where one busy ticker would land in a single task
-    wanted = tickers.select("ticker").distinct()
-    return news.join(sized_broadcast(wanted, DIMENSION_MAX_ROWS), "ticker", "left_semi")
+def tag_news(frames: dict[str, DataFrame]) -> DataFrame:
+    """The frames of several tickers as one, each row tagged with its ticker."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
+                  [df.withColumn("ticker", F.lit(t)) for t, df in frames.items()])
+
+
+def news_snapshot(news: DataFrame, coverage: DataFrame, tickers: DataFrame) -> DataFrame:
+    """News of the tickers in ``tickers`` (a pick), all source columns and the ticker.
+
+    ``coverage`` (ticker, source) says which desk covers a ticker; it is cut to the pick
+    first, so a news row is repeated once per picked ticker of its desk only.
+    """
+    wanted = coverage.join(tickers.select("ticker").distinct(), "ticker", "left_semi").distinct()
+    return news.join(wanted, "source").select(*news.columns, "ticker")

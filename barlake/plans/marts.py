@@ -9,8 +9,6 @@ except where the order *is* the feature (top-k).
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +17,7 @@ from barlake.functions import pct_change, round_half_up, strictly_greater_ratio
 from barlake.operators.joins import join_dimension
 from barlake.operators.series import by_ticker, trailing_sum_count
 from barlake.operators.topk import top_k, top_k_per_group
+from barlake.sources.files import month_slice
 
 
 def as_of_col(as_of: dt.date | str | Column | None) -> Column:
@@ -44,23 +43,16 @@ def daily_returns(silver: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------ G3 index_performance
-def index_performance(silver: DataFrame, tickers: DataFrame, as_of=None,
-                      index_tickers: Sequence[str] | None = None) -> DataFrame:
-    """1-day, year-to-date and since-start returns of each index, in one aggregation.
-
-    ``index_tickers``: the index list when the caller knows it (it is a fixed list in
-    practice).  As a literal filter it prunes the scan to the Silver buckets holding
-    those tickers instead of reading every bucket; the dimension join still decides.
+def index_performance(silver: DataFrame, tickers: DataFrame, as_of=None) -> DataFrame:
+    """1-day, year-to-date and since-start returns of each index of the dimension, in one
+    aggregation.
 
     latest row = max by date; YTD base = first close of as_of's year; start = first
     close overall.  The three anchor look-ups are folded into one grouped aggregate
     over the window's output: no joins, and on the ticker-bucketed Silver no exchange.
     """
     a = as_of_col(as_of)
-    visible = up_to(silver, as_of)
-    if index_tickers is not None:
-        visible = visible.where(F.col("ticker").isin(list(index_tickers)))
-    px = join_dimension(visible.select("ticker", "date", "close"), tickers,
+    px = join_dimension(up_to(silver, as_of).select("ticker", "date", "close"), tickers,
                         "index", ("name", "market"))
     px = px.withColumn("close_prev_day", F.lag("close").over(by_ticker()))
     # fixed-width aggregation buffers only (max_by / min_by of doubles by date), so
@@ -81,10 +73,10 @@ def index_performance(silver: DataFrame, tickers: DataFrame, as_of=None,
 
 
 # --------------------------------------------------- G4 / G5 weekly range of stocks
+# ``silver`` may be the copy written by month, whose scan is then pruned to one or two months.
 def _recent_ranges(silver: DataFrame, tickers: DataFrame, as_of, dim_cols: tuple[str, ...]):
     a = as_of_col(as_of)
-    recent = up_to(silver, as_of).where(F.col("date") >= F.date_sub(a, RECENT_DAYS)) \
-        .select("ticker", "date", "high", "low")
+    recent = month_slice(silver, F.date_sub(a, RECENT_DAYS), a).select("ticker", "date", "high", "low")
     px = join_dimension(recent, tickers, "stock", dim_cols)
     return px.groupBy("ticker", *dim_cols).agg(
         round_half_up(F.max("high") - F.min("low"), 2).alias("weekly_range"),
@@ -138,9 +130,8 @@ def whale_signals_history(silver: DataFrame, tickers: DataFrame) -> DataFrame:
     return with_volume_baseline(silver, tickers).where(spike_filter()).select(*spike_columns())
 
 
-def whale_signals(silver: DataFrame, tickers: DataFrame, as_of=None) -> DataFrame:
-    """Spikes of the last 7 calendar days; the window sees the full earlier history."""
+def whale_signals(history: DataFrame, as_of=None) -> DataFrame:
+    """Spikes of the last 7 calendar days: a slice of the history of signals, whose window
+    only looks back, so rows after ``as_of`` do not touch it."""
     a = as_of_col(as_of)
-    base = with_volume_baseline(up_to(silver, as_of), tickers)
-    return (base.where((F.col("date") >= F.date_sub(a, RECENT_DAYS)) & spike_filter())
-            .select(*spike_columns()))
+    return month_slice(history, F.date_sub(a, RECENT_DAYS), a)

@@ -9,7 +9,7 @@ in shared storage (the lake root), never on a machine-local disk.
 
 from __future__ import annotations
 
-import re
+import hashlib
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -18,42 +18,48 @@ from barlake.plans import analysis, backtest, ingest as ing, marts, quality, sil
 from barlake.sources import files
 
 
-def _table_name(root: str, what: str) -> str:
-    return "barlake_" + what + "_" + re.sub(r"[^0-9a-zA-Z]+", "_", root)[-40:]
+def table_name(root: str, what: str) -> str:
+    """Catalog name of a table under ``root``: different roots never share one."""
+    return f"barlake_{what}_{hashlib.sha256(root.encode('utf-8')).hexdigest()}"
 
 
 def build_gold(spark: SparkSession, raw: DataFrame, tickers: DataFrame, root: str, as_of,
-               benchmark: str, buckets: int | None = None,
-               signal_start=None, signal_end=None,
+               benchmark: str, buckets: int, signal_start=None, signal_end=None,
                metrics: dict | None = None) -> dict[str, DataFrame]:
     """Write Silver and every Gold table under ``root``; return the written tables.
 
+    ``buckets``: files of Silver, and so the tasks of every per-ticker mart; size it from
+    the table's bytes (a few hundred MB a bucket).  Silver is written twice, by ticker for
+    the marts that need a ticker's whole history and by month for those of a few days; the
+    dated Gold tables are written by month, so that slices of them are pruned.
+
     ``metrics`` (optional dict) receives the run counts (A14), collected with
     ``observe`` during the writes that happen anyway, so no extra job is run.
     """
     root = root.rstrip("/")
-    buckets = buckets or silver.default_buckets(spark)
     raw_obs, silver_obs = Observation("raw"), Observation("silver")
     raw = raw.observe(raw_obs, F.count(F.lit(1)).alias("raw_rows"))
     sv = silver.stg_stock_prices(raw).observe(silver_obs, F.count(F.lit(1)).alias("silver_rows"))
-    s = silver.materialize(sv, _table_name(root, "silver"), f"{root}/silver", buckets)
+    s = silver.materialize(sv, table_name(root, "silver"), f"{root}/silver", buckets)
     files.register_view(s, "stg_stock_prices")  # K5: Silver is also queryable by name
+    out: dict[str, DataFrame] = {"stg_stock_prices": s}
+    calendar = files.write_by_month(s, f"{root}/silver_by_month")
+    returns = files.write_by_month(marts.daily_returns(s), f"{root}/gold/daily_returns")
+    history = files.write_by_month(marts.whale_signals_history(s, tickers), f"{root}/gold/whale_signals_history")
+    out["daily_returns"], out["whale_signals_history"] = returns.drop("month"), history.drop("month")
     gold = {
-        "daily_returns": marts.daily_returns(s),
         "index_performance": marts.index_performance(s, tickers, as_of),
-        "top_movers": marts.top_movers(s, tickers, as_of),
-        "sector_top_movers": marts.sector_top_movers(s, tickers, as_of),
-        "whale_signals": marts.whale_signals(s, tickers, as_of),
-        "whale_signals_history": marts.whale_signals_history(s, tickers),
-        "sector_performance": analysis.sector_performance(s, tickers, as_of),
+        "top_movers": marts.top_movers(calendar, tickers, as_of),
+        "sector_top_movers": marts.sector_top_movers(calendar, tickers, as_of),
+        "whale_signals": marts.whale_signals(history, as_of),
+        "sector_performance": analysis.sector_performance(returns, tickers, as_of),
     }
-    out: dict[str, DataFrame] = {"stg_stock_prices": s}
     for name, df in gold.items():
         files.write_table(df, f"{root}/gold/{name}")
-        out[name] = spark.read.parquet(f"{root}/gold/{name}")
+        out[name] = spark.read.schema(df.schema).parquet(f"{root}/gold/{name}")
 
     trades_obs = Observation("trades")
-    trades = backtest.backtest_trades(s, tickers, benchmark, start=signal_start, end=signal_end)
+    trades = backtest.backtest_trades(out["whale_signals_history"], s, benchmark, start=signal_start, end=signal_end)
     wrote = files.write_if_not_empty(trades, f"{root}/gold/backtest_trades", trades_obs,
                                      F.count(F.lit(1)).alias("trades"))
     if metrics is not None:
@@ -78,9 +84,13 @@ def build_gold(spark: SparkSession, raw: DataFrame, tickers: DataFrame, root: st
 def ingest(spark: SparkSession, root: str, *, holdings: DataFrame, membership: DataFrame,
            sector_map: DataFrame, index_rows: DataFrame, screener: DataFrame,
            screens: tuple[str, ...], analyst_index: str, analyst_rating: str,
-           wide_prices: DataFrame, metrics: tuple[str, ...], news: DataFrame | None,
+           wide_prices: DataFrame, feed_tickers: list[str] | None = None,
+           news: DataFrame | None = None, coverage: DataFrame | None = None,
            as_of=None) -> dict[str, DataFrame]:
-    """Landed source files -> ticker CSV (K4), long raw prices (K1), news snapshot (K2)."""
+    """Landed source files -> ticker CSV (K4), long raw prices (K1), news snapshot (K2).
+
+    ``wide_prices`` has metric x ticker columns, or, with ``feed_tickers``, a map of cells.
+    """
     root = root.rstrip("/")
     dim = ing.ticker_dimension(holdings, membership, sector_map, index_rows)
     files.write_tickers_csv(dim, f"{root}/seeds/tickers")
@@ -88,13 +98,15 @@ def ingest(spark: SparkSession, root: str, *, holdings: DataFrame, membership: D
     volatile = ing.volatile_pick(screener, screens)
     analyst = ing.analyst_pick(screener, analyst_index, analyst_rating)
     universe = ing.ingest_universe(dim, volatile, analyst)
-    long = ing.long_prices(wide_prices, metrics, as_of)
+    long = (ing.long_prices(wide_prices, as_of=as_of) if feed_tickers is None
+            else ing.long_prices_of_cells(wide_prices, feed_tickers, as_of=as_of))
     # only tickers of the universe are kept, as the feed is asked for exactly those
     long = long.join(universe.withColumnRenamed("ticker", "Ticker"), "Ticker", "left_semi")
-    files.write_table(long, f"{root}/bronze/stock_prices_raw")
+    files.write_table(ing.as_bronze(long), f"{root}/bronze/stock_prices_raw")
     out = {"tickers": dim, "universe": universe,
-           "stock_prices_raw": spark.read.parquet(f"{root}/bronze/stock_prices_raw")}
+           "stock_prices_raw": files.read_raw_prices(spark, f"{root}/bronze/stock_prices_raw")}
     if news is not None:
-        snap = ing.news_snapshot(news, volatile)
-        files.write_if_not_empty(snap, f"{root}/bronze/ticker_news_raw")
+        snap = ing.news_snapshot(news, coverage, volatile)
+        if files.write_if_not_empty(snap, f"{root}/bronze/ticker_news_raw"):
+            out["ticker_news_raw"] = spark.read.parquet(f"{root}/bronze/ticker_news_raw")
     return out

@@ -1,7 +1,6 @@
 """Q1-Q5: data-quality checks as Spark jobs, reported as one DataFrame.
 
-Each table is scanned once for all of its not-null checks (one global aggregate);
-uniqueness is a grouped count with map-side combine.  Output columns:
+Each written table is scanned once for all of its checks (``table_checks``).  Output columns:
 ``table_name, check_name, column_names, failures`` (0 = pass).
 """
 
@@ -22,46 +21,12 @@ def _row(df_one_value: DataFrame, table: str, check: str, columns: str) -> DataF
                                F.coalesce(F.col("failures"), F.lit(0)).cast("bigint").alias("failures"))
 
 
-def not_null(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
-    """Q1: rows with NULL, for every listed column, in one aggregate over the table."""
-    agg = df.agg(*[F.sum(F.col(c).isNull().cast("bigint")).alias(c) for c in columns])
-    cells = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("failures")) for c in columns])
-    rows = agg.select(F.explode(cells).alias("x"))
-    return rows.select(F.lit(table).alias("table_name"), F.lit("not_null").alias("check_name"),
-                       F.col("x.c").alias("column_names"),
-                       F.coalesce(F.col("x.failures"), F.lit(0)).cast("bigint").alias("failures"))
-
-
-def unique(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
-    """Q2 / Q3: key values that occur more than once.
-
-    The single-column test ignores NULL keys; the combination test groups NULLs like any
-    other value (two rows with the same NULL-containing combination are duplicates).
-    """
-    keyed = df
-    if len(columns) == 1:
-        keyed = df.where(F.col(columns[0]).isNotNull())
-    dup = keyed.groupBy(*columns).count().where(F.col("count") > 1)
-    check = "unique" if len(columns) == 1 else "unique_combination_of_columns"
-    return _row(dup.agg(F.count(F.lit(1)).alias("failures")), table, check, ",".join(columns))
-
-
 def accepted_values(df: DataFrame, table: str, column: str, values: Sequence[str]) -> DataFrame:
     """Q4: distinct values outside the accepted list (NULL is not reported)."""
     bad = df.where(~F.col(column).isin(list(values))).select(column).distinct()
     return _row(bad.agg(F.count(F.lit(1)).alias("failures")), table, "accepted_values", column)
 
 
-def must_be_empty(df: DataFrame, table: str, name: str) -> DataFrame:
-    """Q5: a singular test query that must return no rows."""
-    return _row(df.agg(F.count(F.lit(1)).alias("failures")), table, name, "")
-
-
-def unknown_markets(index_perf: DataFrame) -> DataFrame:
-    """Index rows whose market is not a known code (a NULL market is not reported)."""
-    return index_perf.where(~F.col("market").isin(list(KNOWN_MARKETS))).select("ticker", "market")
-
-
 def table_checks(df: DataFrame, table: str, not_null_cols: Sequence[str] = (),
                  key: Sequence[str] = (), assertions: dict[str, Column] | None = None) -> DataFrame:
     """Every check of one table from a single pass over it.

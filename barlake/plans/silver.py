@@ -1,8 +1,8 @@
 """G1 ``stg_stock_prices``: typed, validated bars with one row per (date, ticker).
 
-Plan shape: scan -> filter (pushed to parquet where it can) -> partial keep-best
-aggregate -> exchange on (date, ticker) -> final aggregate.  A (date, ticker) key
-with millions of duplicate rows is reduced map-side first.
+Plan shape: scan -> filter (pushed to parquet where it can) -> map-side limit of the
+ranking window to one row per key -> exchange on (date, ticker) -> final ranking.  A
+(date, ticker) key with millions of duplicate rows is reduced map-side first.
 """
 
 from __future__ import annotations
@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barlake.operators.dedupe import keep_best
-from barlake.session import task_slots
 from barlake.sources.files import write_bucketed_table
 
 
@@ -48,13 +47,7 @@ def materialize(spark_silver: DataFrame, name: str, folder: str, buckets: int) -
     Every Gold mart partitions by ticker and orders by date, so on this table their
     windows and per-ticker aggregates run without a shuffle; with one file per bucket
     (and ``spark.sql.legacy.bucketedTableScan.outputOrdering``) also without a sort.
+    ``buckets`` is sized by the caller from the table's bytes (a few hundred MB each).
     """
     return write_bucketed_table(spark_silver, name, f"{folder.rstrip('/')}/{name}", "ticker",
                                 ("ticker", "date"), buckets)
-
-
-def default_buckets(spark) -> int:
-    """Bucket count of the Silver table: the configured shuffle partition count (sized by
-    the operator for the data volume), capped at four waves of the cluster's task slots."""
-    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(shuffle, 4 * task_slots(spark)))

@@ -7,7 +7,7 @@ which stops at the first row.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake import schemas
@@ -74,16 +74,58 @@ def write_bucketed_table(df: DataFrame, name: str, path: str, key: str,
     """
     spark = df.sparkSession
     # one task per bucket (same hash as the bucket id), so each bucket is one file
-    # instead of one file per writing task and bucket
-    df = df.repartition(buckets, key)
-    try:
-        (df.write.mode("overwrite").bucketBy(buckets, key).sortBy(*sort_by)
-         .option("path", path).saveAsTable(name))
-        return spark.table(name)
-    except Exception:  # a session without a writable catalog: plain files, same data
-        order = list(sort_by) if key in sort_by else [key, *sort_by]
-        df.sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
+    # instead of one file per writing task and bucket; a failed write surfaces
+    (df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(*sort_by)
+     .option("path", path).saveAsTable(name))
+    return spark.table(name)
+
+
+def write_by_month(df: DataFrame, path: str) -> DataFrame:
+    """Write a dated table partitioned by calendar month and read it back; AQE splits a
+    month that outgrows a task.  ``month_slice`` prunes the scan of such a table."""
+    spark = df.sparkSession
+    dated = df.withColumn("month", F.date_format("date", "yyyy-MM"))
+    dated.hint("rebalance", "month").write.mode("overwrite").partitionBy("month").parquet(path)
+    return spark.read.schema(dated.schema).parquet(path)
+
+
+def month_slice(df: DataFrame, first: Column, last: Column) -> DataFrame:
+    """Rows with ``first <= date <= last``; on a table written by month, from its months only."""
+    df = df.where(F.col("date").between(first, last))
+    if "month" not in df.columns:
+        return df
+    return df.where(F.col("month").between(F.date_format(first, "yyyy-MM"), F.date_format(last, "yyyy-MM"))).drop("month")
+
+
+def read_holdings(spark: SparkSession, path: str, preamble: int = 4) -> DataFrame:
+    """A landed holdings sheet as CSV: ``preamble`` metadata rows, a header, rows.
+
+    The preamble is found by its line number within the file, so sheets are read as whole
+    files (a sheet lists one fund); column names are trimmed by ``ingest.strip_headers``.
+    """
+    sheets = spark.read.text(path, wholetext=True).select(
+        F.upper(F.element_at(F.split(F.input_file_name(), "[/.]"), -2)).alias("etf"),
+        F.split("value", "\r?\n").alias("lines"))
+    body = sheets.select("etf", F.element_at("lines", preamble + 1).alias("header"),
+                         F.explode(F.slice("lines", preamble + 2, F.size("lines"))).alias("line"))
+    order = F.transform(F.split("header", ","), lambda c: F.trim(c))
+    cells = F.from_csv("line", "a string, b string, c string")
+
+    def named(name: str) -> Column:
+        return F.trim(F.element_at(F.array("x.a", "x.b", "x.c"), F.array_position(order, name).cast("int")))
+    return (body.where(F.trim("line") != "").withColumn("x", cells)
+            .select(named("Ticker").alias("Ticker"), named("Name").alias("Name"),
+                    named("Weight").try_cast("double").alias("Weight"), "etf"))
+
+
+def read_membership(spark: SparkSession, path: str) -> DataFrame:
+    """A landed index-membership list (header CSV)."""
+    return spark.read.schema(schemas.MEMBERSHIP).option("header", True).csv(path)
+
+
+def read_screener(spark: SparkSession, path: str) -> DataFrame:
+    """Landed screener rows (header CSV), numbers as text."""
+    return spark.read.schema(schemas.SCREENER).option("header", True).csv(path)
 
 
 def register_view(df: DataFrame, name: str) -> DataFrame:

@@ -7,10 +7,10 @@ heavily duplicated, the hot-key case).  The ticker dimension, holdings, membersh
 list, screener and news inputs are derived the same way.  Everything is built with
 narrow DataFrame operations over the given tables, so work grows with them.
 
-The key-modulo rules below are semantic, not sampling: they decide which rule a row
-exercises (a supplier missing from the dimension, whose bars the inner join must drop;
-a symbol that fails the equity pattern or is NULL; a part listed in one or both
-screens).  Every row of every table is read and processed by every query.
+What a rule leaves out follows from the business columns: a supplier in debt is not in
+the dimension (its bars are dropped by the inner join), one of some countries is quoted
+with a class suffix (no equity symbol), a rich one keeps its name to itself, and a part
+is in an index by its size or price.
 """
 
 from __future__ import annotations
@@ -19,8 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.fixed import SOURCE_HOLDINGS, SOURCE_MANUAL, STOCK_MARKET
-from barlake.operators.joins import DIMENSION_MAX_ROWS, sized_broadcast, spread_coarse_scan
-from barlake.operators.reshape import long_to_wide
+from barlake.operators.reshape import long_to_cells
+from barlake.plans.ingest import METRICS
 
 # Fixed values of the mapping.
 BENCHMARK = "^AMERICA"
@@ -28,12 +28,17 @@ REGION_NAMES = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 INDEX_TICKERS = ["^" + r for r in REGION_NAMES]
 MARKET_OF_REGION = {"AMERICA": "US", "AFRICA": "FR", "EUROPE": "UK", "ASIA": "JP",
                     "MIDDLE EAST": "IN"}
-# Suppliers left out of the dimension (exercises price rows dropped by the inner join).
-EXCLUDED_SUPPLIER_MOD = (10, 9)
+# Countries whose suppliers are quoted with a class suffix.
+CLASS_A_NATIONS = ["BRAZIL", "CHINA", "EGYPT", "FRANCE", "IRAN", "IRAQ"]
+# Balance from which a supplier's name is missing, and below which its symbol is.
+NAMELESS_BALANCE, SYMBOLLESS_BALANCE = 9000.0, -500.0
 # Region whose fund sheet is "missing", so that the membership fallback fires.
 HOLDINGS_MISSING_REGION = "MIDDLE EAST"
+# Day of the calls in the given signal table.
+CALL_DATE = "1999-06-17"
 # Screener indices (index A is screened first) and the analyst rating that qualifies.
 SCREEN_A, SCREEN_B = "S&P 500", "NASDAQ 100"
+INDEX_A_SIZE, INDEX_B_PRICE = 10, 950.0
 STRONG_BUY, HOLD = "Strong Buy (1)", "Hold (3)"
 STRONG_BUY_BRANDS = ["Brand#1", "Brand#10"]
 
@@ -47,7 +52,7 @@ TABLE_SCHEMAS = {
     "nation": "n_nationkey int, n_name string, n_regionkey int",
     "region": "r_regionkey int, r_name string",
     "part": "p_partkey bigint, p_brand string, p_size int, p_retailprice double",
-    "documents": "doc_id bigint, lang string, source string, n_chars bigint",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
 }
 
 
@@ -60,7 +65,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _supplier_region(spark: SparkSession, sf_dir: str, *supplier_cols: str) -> DataFrame:
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey", *supplier_cols)
-    nat = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    nat = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     reg = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     return (sup.join(nat, sup.s_nationkey == nat.n_nationkey)
             .join(reg, nat.n_regionkey == reg.r_regionkey))
@@ -72,10 +77,9 @@ def etf_of_region(r_name: Column) -> Column:
 
 def raw_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze ``stock_prices_raw``: Date, Ticker, Open, High, Low, Close, Volume."""
-    li = spread_coarse_scan(table(spark, sf_dir, "lineitem").select(
-        "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate"))
-    # supplier x region is the small side (checked), lineitem streams through
-    sr = sized_broadcast(_supplier_region(spark, sf_dir), DIMENSION_MAX_ROWS)
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate")
+    sr = _supplier_region(spark, sf_dir)
     base = li.join(sr, li.l_suppkey == sr.s_suppkey)
     p = F.col("l_extendedprice") / F.col("l_quantity")
     ticker = F.explode(F.array(F.concat(F.lit("S"), F.col("l_suppkey").cast("string")),
@@ -97,10 +101,9 @@ def _market(r_name: Column) -> Column:
 
 
 def tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ticker dimension: one stock per kept supplier, one index per region."""
-    mod, drop = EXCLUDED_SUPPLIER_MOD
-    stocks = (_supplier_region(spark, sf_dir, "s_name")
-              .where(F.col("s_suppkey") % mod != drop)
+    """Ticker dimension: one stock per supplier not in debt, one index per region."""
+    stocks = (_supplier_region(spark, sf_dir, "s_name", "s_acctbal")
+              .where(F.col("s_acctbal") >= 0)
               .select(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("ticker"),
                       F.col("s_name").alias("name"),
                       F.col("r_name").alias("sector"),
@@ -119,36 +122,49 @@ def tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return indices.unionByName(stocks)
 
 
+def landed_tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dimension as landed, before it is cleaned: suppliers in debt have no symbol,
+    countries are of a type that no mart knows, and each country repeats its region."""
+    suppliers = _supplier_region(spark, sf_dir, "s_name", "s_acctbal").select(
+        F.when(F.col("s_acctbal") >= 0, F.concat(F.lit("S"), F.col("s_suppkey").cast("string"))).alias("ticker"),
+        F.lit("stock").alias("type"))
+    nations = table(spark, sf_dir, "nation").select(F.col("n_name").alias("ticker"), F.lit("country").alias("type"))
+    regions = table(spark, sf_dir, "nation").select(
+        F.concat(F.lit("N"), F.col("n_regionkey").cast("string")).alias("ticker"), F.lit("index").alias("type"))
+    return suppliers.unionByName(nations).unionByName(regions)
+
+
 def _letters(key: Column) -> Column:
     """Digits 0-9 of a key spelled as letters A-J."""
     return F.translate(key.cast("string"), "0123456789", "ABCDEFGHIJ")
 
 
+def _symbol() -> Column:
+    plain = _letters(F.col("s_suppkey"))
+    return F.when(F.col("n_name").isin(CLASS_A_NATIONS), F.concat(plain, F.lit(".A"))).otherwise(plain)
+
+
 def holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fund sheets, one row per supplier (its region's fund); one region's sheet is absent.
 
-    Symbols: letters of the key, '.A' appended when key % 17 = 0 (not an equity
-    symbol), NULL when key % 23 = 0.  Weight = account balance.
+    Symbols: letters of the key, with a class suffix in some countries (not an equity
+    symbol), NULL for a deep debt.  Weight = account balance.  Headers carry blanks, as
+    the sheets do.
     """
     sr = _supplier_region(spark, sf_dir, "s_name", "s_acctbal")
-    k = F.col("s_suppkey")
-    symbol = (F.when(k % 23 == 0, F.lit(None).cast("string"))
-              .when(k % 17 == 0, F.concat(_letters(k), F.lit(".A")))
-              .otherwise(_letters(k)))
+    balance = F.col("s_acctbal")
     return (sr.where(F.col("r_name") != HOLDINGS_MISSING_REGION)
-            .select(symbol.alias("Ticker"), F.col("s_name").alias("Name"),
-                    F.col("s_acctbal").alias("Weight"),
+            .select(F.when(balance >= SYMBOLLESS_BALANCE, _symbol()).alias(" Ticker"),
+                    F.when(balance < NAMELESS_BALANCE, F.col("s_name")).alias("Name "),
+                    balance.alias(" Weight "),
                     etf_of_region(F.col("r_name")).alias("etf"),
                     F.col("r_name").alias("label")))
 
 
 def membership(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Index-membership list: every supplier, its region as the source sector."""
-    sr = _supplier_region(spark, sf_dir, "s_name")
-    k = F.col("s_suppkey")
-    symbol = F.when(k % 17 == 0, F.concat(_letters(k), F.lit(".A"))).otherwise(_letters(k))
-    return sr.select(symbol.alias("Symbol"), F.col("s_name").alias("Security"),
-                     F.col("r_name").alias("GICS Sector"))
+    return _supplier_region(spark, sf_dir, "s_name").select(
+        _symbol().alias("Symbol"), F.col("s_name").alias("Security"), F.col("r_name").alias("GICS Sector"))
 
 
 def sector_map(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,14 +175,13 @@ def sector_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def screener(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Screener rows of the two indices (parts with even key in A, key divisible by 3 in B)."""
+    """Screener rows of the two indices: large parts in A, dear parts in B."""
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size", "p_retailprice")
-    k = F.col("p_partkey")
     base_change = F.col("p_retailprice") % 20 - 10
     volume = F.concat(F.col("p_size").cast("decimal(10,2)").cast("string"),
-                      F.when(k % 2 == 0, F.lit("M")).otherwise(F.lit("K")))
+                      F.when(F.col("p_retailprice") >= INDEX_B_PRICE, F.lit("M")).otherwise(F.lit("K")))
     rec = F.when(F.col("p_brand").isin(STRONG_BUY_BRANDS), F.lit(STRONG_BUY)).otherwise(F.lit(HOLD))
-    ticker = F.concat(F.lit("P"), k.cast("string"))
+    ticker = F.concat(F.lit("P"), F.col("p_partkey").cast("string"))
 
     def rows(index: str, change: Column) -> Column:
         return F.struct(ticker.alias("Ticker"),
@@ -175,20 +190,35 @@ def screener(spark: SparkSession, sf_dir: str) -> DataFrame:
                         rec.alias("recommendation"))
 
     screens = F.array_compact(F.array(
-        F.when(k % 2 == 0, rows(SCREEN_A, base_change)),
-        F.when(k % 3 == 0, rows(SCREEN_B, base_change + 0.5))))
+        F.when(F.col("p_size") >= INDEX_A_SIZE, rows(SCREEN_A, base_change)),
+        F.when(F.col("p_retailprice") >= INDEX_B_PRICE, rows(SCREEN_B, base_change + 0.5))))
     return part.select(F.explode(screens).alias("r")).select("r.*")
 
 
 def news(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """News items: document metadata (the body text is not read), ticker = source."""
-    return table(spark, sf_dir, "documents").select(
-        "doc_id", "source", "lang", "n_chars", F.col("source").alias("ticker"))
+    """News items: the documents, with their text; the desk is the source."""
+    return table(spark, sf_dir, "documents")
+
+
+def news_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which desk covers a ticker: parts by size, three sizes to a desk."""
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_size")
+    return part.select(F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("ticker"),
+                       F.concat(F.lit("src"), F.floor(F.col("p_size") / 3).cast("string")).alias("source"))
 
 
-def wide_index_prices(silver: DataFrame) -> DataFrame:
-    """Price feed as delivered: one row per date, ``Open|^X`` / ``Close|^X`` per index ticker."""
-    idx = INDEX_TICKERS
+def price_feed(silver: DataFrame) -> DataFrame:
+    """Price feed as delivered: one row per date, a cell of all metrics per ticker."""
     long = silver.select(F.col("date").alias("Date"), F.col("ticker").alias("Ticker"),
-                         F.col("open").alias("Open"), F.col("close").alias("Close"))
-    return long_to_wide(long, "Date", "Ticker", ["Open", "Close"], idx)
+                         *[F.col(m.lower()).alias(m) for m in METRICS])
+    return long_to_cells(long, "Date", "Ticker", METRICS)
+
+
+def given_signals(spark: SparkSession, sf_dir: str, history: DataFrame) -> DataFrame:
+    """A signal table from outside: the spikes, a call on every supplier for one day (on
+    which many have no bar), and the same under a symbol that has no prices at all."""
+    calls = _supplier_region(spark, sf_dir).select(
+        F.explode(F.array(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")),
+                          F.concat(F.lit("X"), F.col("s_suppkey").cast("string")))).alias("ticker"),
+        F.lit(CALL_DATE).cast("date").alias("signal_date"), F.col("r_name").alias("sector"))
+    return history.select("ticker", F.col("date").alias("signal_date"), "sector").unionByName(calls)

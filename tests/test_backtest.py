@@ -1,4 +1,3 @@
-from barlake.operators.quantile import exact_median
 from barlake.plans import backtest
 from barlake.plans.marts import whale_signals_history
 from tests.conftest import bars, day, dim, index, series, stock
@@ -9,7 +8,8 @@ SPIKE = [100, 1000]  # row 2 is a spike (avg of row 1 = 100)
 
 def trades(spark, rows, holds=(3, 5, 10)):
     d = dim(spark, [stock("A"), index(BENCH)])
-    return backtest.backtest_trades(bars(spark, rows), d, BENCH, holds).orderBy("hold_days").collect()
+    s = bars(spark, rows)
+    return backtest.backtest_trades(whale_signals_history(s, d), s, BENCH, holds).orderBy("hold_days").collect()
 
 
 def a_series(spark, n, opens=None, closes=None):
@@ -84,13 +84,6 @@ def test_signal_range_filter(spark):
     assert backtest.signals_in_range(s, None, None).count() == 1
 
 
-def test_exact_median(spark):
-    df = spark.createDataFrame([(3, v) for v in (1.0, 2.0, 4.0, 10.0)] + [(5, v) for v in (7.0, 1.0, 7.0)]
-                               + [(10, None)], "g int, v double")
-    got = {r.g: r.median for r in exact_median(df, "g", "v").collect()}
-    assert got == {3: 3.0, 5: 7.0}
-
-
 def test_summary(spark):
     rows = [("A", "S", day(1), day(2), 1.0, day(3), 1.0, 3, r, None, a, r > 0)
             for r, a in ((1.0, 1.0), (2.0, None), (4.0, 3.0), (10.0, None))]
@@ -105,22 +98,27 @@ def test_summary(spark):
     assert [t.return_pct for t in top] == [10.0, 4.0]
 
 
-def test_exact_median_against_brute_force(spark):
+def test_median_against_brute_force(spark):
     import random
     import statistics
     rnd = random.Random(7)
-    rows = []
-    for g, n in ((1, 1), (2, 2), (3, 501), (4, 1000)):
-        rows += [(g, round(rnd.uniform(-30, 30), 4)) for _ in range(n)]
-    rows += [(4, 0.5)] * 300 + [(5, None), (5, 2.0)]
-    df = spark.createDataFrame(rows, "g int, v double")
-    got = {r.g: r.median for r in exact_median(df, "g", "v").collect()}
-    for g in (1, 2, 3, 4, 5):
-        want = statistics.median([v for k, v in rows if k == g and v is not None])
-        assert abs(got[g] - want) < 1e-9, g
-    # bins of width 0.01 put neighbouring middle values in different bins
-    got2 = {r.g: r.median for r in exact_median(df, "g", "v", bin_width=0.01).collect()}
-    assert got2 == got
+    rows = [(h, round(rnd.gauss(0, 5), rnd.choice((0, 1, 4)))) for h in (3, 5) for _ in range(301 + h)]
+    t = spark.createDataFrame([(h, v, v > 0, None) for h, v in rows],
+                              "hold_days int, return_pct double, profitable boolean, alpha_pct double")
+    got = {r.hold_days: r.median_return_pct for r in backtest.backtest_summary(t).collect()}
+    for h in (3, 5):
+        assert abs(got[h] - statistics.median(v for k, v in rows if k == h)) < 1e-5
+
+
+def test_given_signals_guards(spark):
+    s = bars(spark, a_series(spark, 7) + bench_series(spark, 7))
+    signals = spark.createDataFrame(
+        [("A", day(1), "S"), ("A", day(1), "S"), ("Z", day(1), "S"), ("A", day(90), "S"), ("A", day(6), "S")],
+        "ticker string, signal_date date, sector string")
+    got = backtest.run_backtest(signals, s, BENCH).collect()
+    # the unknown ticker, the absent date and the last row give nothing; a repeat gives a repeat
+    assert [(t.ticker, t.signal_date, t.hold_days) for t in got] == [("A", day(1), 3)] * 2
+    assert backtest.run_backtest(signals.limit(0), s, BENCH).count() == 0
 
 
 def test_signal_date_range_restricts_trades(spark):
@@ -128,8 +126,8 @@ def test_signal_date_range_restricts_trades(spark):
     rows = series(spark, "A", closes=[100.0 + i for i in range(9)], volumes=vols)
     d = dim(spark, [stock("A"), index(BENCH)])
     s = bars(spark, rows)
-    only_second = backtest.backtest_trades(s, d, BENCH, (3,), start=day(2)).collect()
+    only_second = backtest.backtest_trades(whale_signals_history(s, d), s, BENCH, (3,), start=day(2)).collect()
     assert [t.signal_date for t in only_second] == [day(4)]
-    only_first = backtest.backtest_trades(s, d, BENCH, (3,), end=day(3)).collect()
+    only_first = backtest.backtest_trades(whale_signals_history(s, d), s, BENCH, (3,), end=day(3)).collect()
     # the exit still comes from the full price series
     assert [(t.signal_date, t.exit_date) for t in only_first] == [(day(1), day(5))]

@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from barlake.plans.registry import QUERIES
 
 SMOKE = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
@@ -23,7 +24,7 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) <= set(E.oracle_sql()) and set(QUERIES) <= set(E.queries())
 
 
 def _norm(v):
@@ -51,7 +52,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SMOKE)
     res = duck.execute(E.oracle_sql()[name])

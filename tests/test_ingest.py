@@ -62,8 +62,23 @@ def test_universe_is_distinct_union(spark):
     assert got == ["P1", "S1", "^I"]
 
 
-def test_news_restricted_to_tickers(spark):
-    news = spark.createDataFrame([(1, "src1"), (2, "src2"), (3, "src1")], "doc_id long, ticker string")
-    only = spark.createDataFrame([("src1",)], "ticker string")
-    assert sorted(r.doc_id for r in ingest.news_snapshot(news, only).collect()) == [1, 3]
-    assert ingest.news_snapshot(news).count() == 3
+def test_news_of_the_pick_with_its_ticker_and_all_columns(spark):
+    news = spark.createDataFrame([(1, "d1", "x"), (2, "d2", "y"), (3, "d1", "z")], "doc_id long, source string, text string")
+    cover = spark.createDataFrame([("A", "d1"), ("A", "d1"), ("B", "d1"), ("C", "d2")], "ticker string, source string")
+    only = spark.createDataFrame([("A",), ("C",), ("Q",)], "ticker string")
+    got = sorted(tuple(r) for r in ingest.news_snapshot(news, cover, only).collect())
+    assert got == [(1, "d1", "x", "A"), (2, "d2", "y", "C"), (3, "d1", "z", "A")]
+
+
+def test_news_of_several_tickers_are_tagged(spark):
+    a = spark.createDataFrame([(1, "x")], "doc_id long, text string")
+    b = spark.createDataFrame([(2, "y", "z")], "doc_id long, text string, link string")
+    got = sorted(tuple(r) for r in ingest.tag_news({"A": a, "B": b}).select("doc_id", "link", "ticker").collect())
+    assert got == [(1, None, "A"), (2, "z", "B")]
+
+
+def test_default_index_rows_and_sector_map(spark):
+    idx = ingest.default_index_rows(spark)
+    assert idx.columns == list(ingest.DIM_COLUMNS) and idx.count() == 5
+    assert {r.market for r in idx.collect()} == {"US", "FR", "UK", "JP", "IN"}
+    assert ingest.default_sector_map(spark).count() == 5

@@ -15,7 +15,7 @@ def _spikes(spark, volumes, as_of=None, ticker="A"):
     d = dim(spark, [stock(ticker)])
     if as_of is None:
         return marts.whale_signals_history(s, d).orderBy("date").collect()
-    return marts.whale_signals(s, d, as_of).orderBy("date").collect()
+    return marts.whale_signals(marts.whale_signals_history(s, d), as_of).orderBy("date").collect()
 
 
 def test_strict_threshold(spark):
@@ -45,7 +45,7 @@ def test_window_runs_before_date_filter(spark):
     vols = [100] * 20 + [1000]
     s = series(spark, "A", volumes=vols)
     s = [(day(i) if i < 20 else day(40),) + r[1:] for i, r in enumerate(s)]
-    got = marts.whale_signals(bars(spark, s), dim(spark, [stock("A")]), day(40)).collect()
+    got = marts.whale_signals(marts.whale_signals_history(bars(spark, s), dim(spark, [stock("A")])), day(40)).collect()
     assert len(got) == 1 and got[0].volume_ratio == 10.0
 
 

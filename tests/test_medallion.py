@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from barlake.plans import medallion
+from barlake.plans import ingest, medallion
 from barlake.plans.presentation import present
 from barlake.plans.registry import AS_OF, QUERIES
 from barlake.sources import files
@@ -24,40 +24,52 @@ def test_build_gold_matches_registered_queries(spark, tmp_path):
     shown = present(out["backtest_top_trades"], "backtest_top_trades").collect()
     assert [r.return_pct for r in shown] == sorted((r.return_pct for r in shown), reverse=True)
     for name in ("stg_stock_prices", "whale_signals_history", "top_movers", "backtest_trades",
-                 "backtest_summary", "quality_report", "sector_performance"):
+                 "backtest_summary", "sector_performance"):
         want = sorted(tuple(r) for r in QUERIES[name](spark, SMOKE).collect())
         got = sorted(tuple(r) for r in out[name].select(*QUERIES[name](spark, SMOKE).columns).collect())
         assert got == want, name
-    assert out["quality_report"].where("failures > 0").count() == 0
+    assert out["quality_report"].where("failures > 0").count() == 0  # the clean dimension
 
 
-def test_ingest_writes_dimension_csv_and_long_prices(spark, tmp_path):
+def test_ingest_feeds_silver(spark, tmp_path):
     root = str(tmp_path / "lake")
     silver = QUERIES["stg_stock_prices"](spark, SMOKE)
+    dim = td.tickers(spark, SMOKE)
+    header = [r.ticker for r in dim.select("ticker").collect()]
     out = medallion.ingest(
         spark, root, holdings=td.holdings(spark, SMOKE), membership=td.membership(spark, SMOKE),
-        sector_map=td.sector_map(spark, SMOKE),
-        index_rows=td.tickers(spark, SMOKE).where("type = 'index'"),
+        sector_map=td.sector_map(spark, SMOKE), index_rows=dim.where("type = 'index'"),
         screener=td.screener(spark, SMOKE), screens=(td.SCREEN_A, td.SCREEN_B),
         analyst_index=td.SCREEN_A, analyst_rating=td.STRONG_BUY,
-        wide_prices=td.wide_index_prices(silver), metrics=("Open", "Close"),
-        news=td.news(spark, SMOKE), as_of=AS_OF)
-    dim = out["tickers"]
+        wide_prices=td.price_feed(silver), feed_tickers=header,
+        news=td.news(spark, SMOKE), coverage=td.news_coverage(spark, SMOKE), as_of=AS_OF)
+    dim_csv = out["tickers"]
     # CSV round trip: empty sector / etf of indices come back as NULL
-    assert dim.where("type = 'index' and sector is null and etf is null").count() == 5
-    assert dim.count() == QUERIES["ticker_dimension"](spark, SMOKE).count()
+    assert dim_csv.where("type = 'index' and sector is null and etf is null").count() == 5
     raw = out["stock_prices_raw"]
     assert raw.where("Date >= date'2001-06-30'").count() == 0
-    assert raw.select("Ticker").distinct().count() == 5
+    assert raw.schema == files.read_raw_prices(spark, root + "/bronze/stock_prices_raw").schema
+    assert out["ticker_news_raw"].columns == ["doc_id", "text", "lang", "source", "n_chars", "ticker"]
     assert files.write_if_not_empty(raw.limit(0), str(tmp_path / "empty")) is False
-    assert dt.date(1999, 6, 30) <= raw.agg({"Date": "min"}).first()[0]
+    gold = medallion.build_gold(spark, raw, dim, root, AS_OF, td.BENCHMARK, buckets=2)
+    assert gold["stg_stock_prices"].count() > 0 and gold["index_performance"].count() == 5
 
 
-def test_bucketed_table_falls_back_to_plain_files(spark, tmp_path):
-    from barlake.sources.files import write_bucketed_table
-    s = QUERIES["stg_stock_prices"](spark, SMOKE)
-    # a database that does not exist makes saveAsTable fail: the plain-file path is used
-    back = write_bucketed_table(s, "no_such_db.silver_copy", str(tmp_path / "silver_copy"), "ticker",
-                                ("ticker", "date"), 4)
-    assert sorted(tuple(r) for r in back.collect()) == sorted(tuple(r) for r in s.collect())
-    assert back.columns == s.columns
+def test_metric_missing_for_a_ticker_keeps_its_type(spark, tmp_path):
+    wide = spark.createDataFrame([(dt.datetime(2001, 1, 2), 1.0, 2.0, 5)],
+                                 "Date timestamp_ntz, `Close|A` double, `Close|B` double, `Volume|A` bigint")
+    long = ingest.as_bronze(ingest.long_prices(wide, as_of=AS_OF))
+    files.write_table(long, str(tmp_path / "bronze"))
+    got = {r.Ticker: (r.Close, r.Volume, r.Open) for r in files.read_raw_prices(spark, str(tmp_path / "bronze")).collect()}
+    assert got == {"A": (1.0, 5, None), "B": (2.0, None, None)}
+
+
+def test_roots_never_share_a_table_name():
+    names = {medallion.table_name(r, "silver") for r in ("/lake/a-b", "/lake/a/b", "/x" * 40, "/y" + "/x" * 40)}
+    assert len(names) == 4
+
+
+def test_holdings_sheet_preamble_and_headers(spark, tmp_path):
+    (tmp_path / "xlk.csv").write_text("Fund\nDate\nx\ny\nName, Ticker ,Weight\nApple,AAPL,5.5\nCash,-,x\n\n")
+    got = files.read_holdings(spark, str(tmp_path)).collect()
+    assert [tuple(r) for r in got] == [("AAPL", "Apple", 5.5, "XLK"), ("-", "Cash", None, "XLK")]

@@ -20,12 +20,32 @@ def shuffles(p: str) -> int:
                           r"RoundRobinPartitioning)", p))
 
 
-@pytest.mark.parametrize("name", ["daily_returns", "index_performance", "top_movers", "whale_signals",
-                                  "whale_signals_history", "signals_in_range", "backtest_top_trades"])
+@pytest.mark.parametrize("name", ["daily_returns", "whale_signals", "whale_signals_history", "index_performance",
+                                  "signals_in_range", "backtest_top_trades"])
 def test_per_ticker_results_do_not_shuffle(spark, name):
     assert shuffles(plan(QUERIES[name](spark, SMOKE))) == 0
 
 
+@pytest.mark.parametrize("name", ["top_movers", "sector_top_movers", "sector_performance", "whale_signals"])
+def test_calendar_marts_read_few_months(spark, name):
+    p = plan(QUERIES[name](spark, SMOKE))
+    assert re.search(r"PartitionFilters: \[[^\]]*month", p), p
+
+
+def test_trades_are_computed_and_window_once(spark):
+    p = plan(QUERIES["backtest_trades"](spark, SMOKE))
+    assert len(re.findall(r"\bWindow \[", p)) == 1 and "Generate explode" in p
+
+
+def test_summary_reads_the_trades_once(spark):
+    assert plan(QUERIES["backtest_summary"](spark, SMOKE)).count("FileScan") == 1
+
+
+def test_quality_report_reads_each_written_table(spark):
+    p = plan(QUERIES["quality_report"](spark, SMOKE))
+    assert "Window" not in p and len(re.findall(r"FileScan.*silver_[0-9a-f]", p)) == 1
+
+
 def test_window_marts_do_not_sort_on_the_bucketed_silver(spark):
     for name in ("daily_returns", "whale_signals_history"):
         assert "Sort [" not in plan(QUERIES[name](spark, SMOKE)), name
@@ -41,24 +61,10 @@ def test_dedupe_is_reduced_map_side_before_the_shuffle(spark):
 
 def test_cross_ticker_steps_are_bounded(spark):
     assert "TakeOrderedAndProject" in plan(QUERIES["top_movers"](spark, SMOKE))
-    p = plan(QUERIES["sector_top_movers"](spark, SMOKE))
-    assert re.search(r"WindowGroupLimit .*Partial", p)
-    assert shuffles(p) == 1
-    assert shuffles(plan(QUERIES["sector_performance"](spark, SMOKE))) == 1
+    assert re.search(r"WindowGroupLimit .*Partial", plan(QUERIES["sector_top_movers"](spark, SMOKE)))
 
 
 def test_no_python_evaluation_anywhere(spark):
     for name, fn in QUERIES.items():
         p = plan(fn(spark, SMOKE))
         assert "EvalPython" not in p and "PythonUDF" not in p, name
-
-
-def test_news_snapshot_never_reads_text(spark):
-    p = plan(QUERIES["news_snapshot"](spark, SMOKE))
-    assert "ReadSchema: struct<doc_id:bigint,lang:string,source:string,n_chars:bigint>" in p
-
-
-def test_index_performance_reads_only_index_buckets(spark):
-    p = plan(QUERIES["index_performance"](spark, SMOKE))
-    m = re.search(r"SelectedBucketsCount: (\d+) out of (\d+)", p)
-    assert m and int(m.group(1)) <= 5 and "In(ticker" in p

