@@ -55,6 +55,10 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+# application -> its private folder, where no shared one is set on a single machine
+_scratch: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
@@ -62,13 +66,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     (tests) an unset one is replaced by a private scratch folder; on a cluster, where
     machines do not share such a folder, it is an error.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or _scratch.get(app_id(spark))
     if not d:
         if not spark.conf.get("spark.master", "").startswith(("local[", "local ")) and spark.conf.get(
                 "spark.master", "") != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        d = tempfile.mkdtemp(prefix="barlake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", d)
+        d = _scratch[app_id(spark)] = tempfile.mkdtemp(prefix="barlake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     try:
         spark.sparkContext.setCheckpointDir(d)
     except Exception:  # a remote (Connect) session has no SparkContext; the path still applies
