@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from barlake.llm import (decontamination, lm_scores, pii, quality_rules, secrets, sentencepiece_codec, simhash,
                          suffix_dedup, token_counts, url_filters)
 from barlake.llm.common import read
+from barlake.llm.oracle_sql import ORACLE_SQL  # noqa: F401
 
 # Fixed value: host labels of the listed sites.
 LISTED_SITES = r"(?:^|\.)(?:casino-win|free-bets)\."
@@ -41,11 +42,12 @@ def op6_simhash(spark, d):
 
 
 def op7_lm_scores(spark, d):
-    return lm_scores.lm_scores(read(spark, d, "documents"))
+    scores = lm_scores.lm_scores(read(spark, d, "documents"))
+    return scores.withColumns({c: F.round(c, 6) for c in ("log_score", "mean_score")})
 
 
 def op8_decontamination(spark, d):
-    return decontamination.decontamination(read(spark, d, "documents"), read(spark, d, "benchmark")).drop("uid")
+    return decontamination.decontamination(read(spark, d, "documents"), read(spark, d, "benchmark")).drop("uid", "n_near")
 
 
 def op9_sentencepiece(spark, d):
@@ -70,5 +72,3 @@ QUERIES = {
     "op9_sentencepiece": op9_sentencepiece,
     "op10_token_counts": op10_token_counts,
 }
-
-ORACLE_SQL: dict[str, str] = {}

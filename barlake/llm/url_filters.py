@@ -43,7 +43,7 @@ def canonical(host: Column, path: Column) -> Column:
     """Host without a leading ``www.`` / ``m.``, path without ``.html`` and closing slashes;
     scheme, query and fragment are left out.  Null when the host is empty."""
     url = F.concat(F.regexp_replace(host, r"^(?:www|m)\.", ""),
-                   F.regexp_replace(F.regexp_replace(path, r"\.html$", ""), "/+$", ""))
+                   F.regexp_replace(F.regexp_replace(path, r"\.html\z", ""), r"/+\z", ""))
     return F.when(host != "", url)
 
 
