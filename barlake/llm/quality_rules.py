@@ -41,7 +41,7 @@ STATISTICS = {"log_word_length": 0.05, "root_symbols": 0.10, "root_upper": 0.06,
               "root_repeats": 0.12, "root_dup_lines": 0.15}
 P = len(STATISTICS)
 SUPPORT = 0.75
-CUTOFF = 60.0  # squared distance
+CUTOFF = 32.0  # squared distance: between clean and junk documents of the labelled rows
 LEAST_ROWS = 200
 STEPS = 10
 _SPACE = b" \t\n\x0b\x0c\r"
