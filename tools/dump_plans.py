@@ -27,8 +27,8 @@ def main() -> None:
     spark = build_session("local[8]")
     parts = ["# Physical plans of the registered queries\n",
              "Generated by `python tools/dump_plans.py` (local[8], AQE initial plans, test data "
-             "sf0.01). Silver, the ticker dimension and the trade log are registered tables "
-             "(see README); `Exchange` = shuffle.\n"]
+             "sf0.01). Silver, the ticker dimension and Gold are written lake tables (see README), "
+             "but for `stg_stock_prices` and the trades, which are computed; `Exchange` = shuffle.\n"]
     for name, fn in QUERIES.items():
         df = fn(spark, sf)
         parts.append(f"## {name}\n\n```\n{tree(df)}\n```\n")
