@@ -73,3 +73,12 @@ def test_holdings_sheet_preamble_and_headers(spark, tmp_path):
     (tmp_path / "xlk.csv").write_text("Fund\nDate\nx\ny\nName, Ticker ,Weight\nApple,AAPL,5.5\nCash,-,x\n\n")
     got = files.read_holdings(spark, str(tmp_path)).collect()
     assert [tuple(r) for r in got] == [("AAPL", "Apple", 5.5, "XLK"), ("-", "Cash", None, "XLK")]
+
+
+def test_membership_and_screener_files(spark, tmp_path):
+    (tmp_path / "m.csv").write_text("Symbol,Security,GICS Sector\nBRK.B,Berkshire,Financials\n")
+    (tmp_path / "s.csv").write_text("Ticker,Change,Volume,index,recommendation\nA,-1.5%,2.5M,S&P 500,Hold (3)\n")
+    assert [tuple(r) for r in files.read_membership(spark, str(tmp_path / "m.csv")).collect()] == [
+        ("BRK.B", "Berkshire", "Financials")]
+    picked = ingest.volatile_pick(files.read_screener(spark, str(tmp_path / "s.csv")), ("S&P 500",))
+    assert [tuple(r) for r in picked.collect()] == [("A", 1.5)]
