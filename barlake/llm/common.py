@@ -5,6 +5,7 @@ from __future__ import annotations
 import struct
 import uuid
 
+import numpy as np
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,10 +58,27 @@ def buckets(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def pack(*parts: bytes) -> bytes:
+def slices(batches, rows: int = 1024):
+    """Arrow batches in small parts, so that few rows are Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def pack(*parts: bytes, level: int = 1) -> bytes:
     """Several byte strings as one compressed cell of an exchange."""
     head = struct.pack(f"<{len(parts) + 1}I", len(parts), *map(len, parts))
-    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(parts))
+    return zstandard.ZstdCompressor(level=level).compress(head + b"".join(parts))
+
+
+def planes(values: np.ndarray) -> bytes:
+    """Numbers as planes of equal-valued bytes, which compress well."""
+    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+
+
+def from_planes(raw: bytes, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(kind).ravel()
 
 
 def unpack(cell: bytes) -> list[bytes]:

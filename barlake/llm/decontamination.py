@@ -125,9 +125,9 @@ def _within(starts: np.ndarray, postings: np.ndarray, offset: int, slop: int) ->
 def _lookup(windows: list[tuple], slop: int):
     """windows: (terms from the rarest on, their offsets, length, items)."""
     def row(index):
-        post = dict(zip(index["terms"], np.split(
-            np.asarray(index["positions"], np.int32), np.cumsum(index["counts"])[:-1]))) if index["terms"] else {}
-        firsts = np.asarray(index["firsts"])
+        post = dict(zip(index["terms"].tolist(), np.split(index["positions"], np.cumsum(index["counts"])[:-1]))) \
+            if len(index["terms"]) else {}
+        firsts = index["firsts"]
         spans = [[] for _ in firsts]
         items, near = [set() for _ in firsts], [set() for _ in firsts]
         for terms, offsets, length, names in windows:
@@ -151,12 +151,12 @@ def _lookup(windows: list[tuple], slop: int):
 
     def run(batches):
         for batch in batches:
-            for index in batch.to_pylist():
-                spans, items, near = row(index)
+            for i in range(batch.num_rows):
+                index = {c: batch.column(c)[i].values for c in batch.schema.names if c != "chunk"}
+                spans, items, near = row({c: index[c].to_numpy() for c in ("firsts", "terms", "counts", "positions")})
                 spans = [[{"first": a, "last": b} for a, b in sorted(set(x))] for x in spans]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(index["uids"], pa.int64()), pa.array(index["doc_ids"], pa.int64()),
-                     pa.array(index["sizes"], pa.int64()),
+                    [index["uids"], index["doc_ids"], index["sizes"].cast(pa.int64()),
                      pa.array(spans, pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))),
                      pa.array([sorted(x) for x in items], pa.list_(pa.string())),
                      pa.array([sorted(x) for x in near], pa.list_(pa.string()))],

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from barlake.llm.common import checked_broadcast, written
+from barlake.llm.common import checked_broadcast, slices, written
 
 # Fixed values of the base rules and the quantiles of chi-square with 5 degrees of freedom.
 LEAST_WORDS = 50
@@ -79,7 +79,7 @@ _COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"
 
 
 def _statistics(batches):
-    for batch in batches:
+    for batch in slices(batches):
         rows = np.array([text_statistics(t or b"") for t in batch.column("text").cast(pa.binary()).to_pylist()],
                         np.int64).reshape(-1, len(_COUNTS))
         words, chars, lines = (np.maximum(rows[:, i], 1) for i in (0, 1, 5))

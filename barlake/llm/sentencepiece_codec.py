@@ -8,9 +8,10 @@ two again; if no piece fits, the position is marked in a bitfield of failed posi
 the last piece is shortened.  Adjacent compatible pieces are the encoding that merging
 the whole word by rank would give.  Characters outside the vocabulary become byte pieces.
 
-Words, pair checks and decoded pieces are kept per Python worker in tables that are
-emptied at a fixed number of entries; texts pass whole, one row at a time, and there is
-no shuffle.
+Words and pair checks are kept per Python worker in tables that are emptied at a fixed
+number of entries.  A word's ids are decoded when it is first seen; as long as all gave
+back their words, a text's decoded form needs no second look-up.  Texts pass whole, one
+row at a time, and there is no shuffle.
 
 Defined results: a null text counts as empty (no ids, empty decoded text); repeated rows
 are encoded row by row.
@@ -26,10 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barlake.llm.common import slices
+
 MARK = "▁"
-CACHE_WORDS = 600_000
-CACHE_PAIRS = 1_000_000
+CACHE_WORDS = 500_000
+CACHE_PAIRS = 500_000
 CACHED_LENGTH = 64
+_MARK = MARK.encode("utf-8")
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
@@ -60,7 +64,7 @@ class Codec:
         self.shorter = {p: next((p[:n] for n in range(len(p) - 1, 0, -1) if n == 1 or p[:n] in self.ids), None)
                         for p in self.ids}
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.words, self.decoded = _Words(self), _Decoded(self)
+        self.words = _Words(self)
 
     def merge(self, text: str) -> list[str]:
         """Merge by rank, leftmost first, until no neighbours form a piece."""
@@ -138,52 +142,58 @@ class Codec:
                 out.append(i)
         return out
 
-    def encode(self, text: str) -> list[str]:
-        """The ids of each word, comma-joined."""
+    def encode(self, text: bytes) -> list[bytes]:
+        """The ids of each word, comma-joined.  A word's key lacks its mark where a single
+        space stands before it."""
         if not text:
             return []
-        if "  " in text or MARK in text or text[0] == " " or text[-1] == " ":
-            found = _WORD.findall(MARK + text.replace(" ", MARK))
+        if b"  " in text or _MARK in text or text[:1] == b" " or text[-1:] == b" ":
+            found = [w.encode("utf-8") for w in _WORD.findall(MARK + text.decode("utf-8").replace(" ", MARK))]
         else:
-            found = [MARK + w for w in text.split(" ")]
+            found = text.split(b" ")
         return list(map(self.words.__getitem__, found))
 
-    def decode(self, words: list[str]) -> str:
-        """Text of comma-joined ids; the space of the dummy prefix goes."""
-        text = "".join(map(self.decoded.__getitem__, words))
+    def decode(self, ids: list[int]) -> str:
+        """Text of some ids; the space of the dummy prefix goes."""
+        text = self.plain(ids)
         return text[1:] if text.startswith(" ") else text
 
+    def plain(self, ids: list[int]) -> str:
+        out = bytearray()
+        for i in ids:
+            if (b := self.byte_of.get(i)) is not None:
+                out.append(b)
+            elif i not in self.reserved:
+                out += self.pieces[i].replace(MARK, " ").encode("utf-8")
+        return out.decode("utf-8", "replace")
 
-class _Words(dict):
-    def __init__(self, codec: Codec):
-        self.codec = codec
+    def round_trip(self, text: bytes) -> tuple[bytes, bytes]:
+        """Comma-joined ids, and their decoded text."""
+        joined = b",".join(self.encode(text))
+        if self.words.exact:  # every word so far decodes to itself, as it was decoded when first seen
+            return joined, text.replace(_MARK, b" ")
+        return joined, self.decode([int(i) for i in joined.split(b",")] if joined else []).encode("utf-8")
 
-    def __missing__(self, word: str) -> str:
-        ids = ",".join(map(str, self.codec.word_ids(word)))
-        if len(word) <= CACHED_LENGTH:
-            if len(self) >= CACHE_WORDS:
-                self.clear()
-            self[word] = ids
-        return ids
 
+class _Words(dict):
+    """Ids of a word; ``exact``: whether decoding gave back each word seen."""
 
-class _Decoded(dict):
     def __init__(self, codec: Codec):
-        self.codec = codec
-
-    def __missing__(self, ids: str) -> str:
-        out = bytearray()
-        for i in map(int, ids.split(",")):
-            if (b := self.codec.byte_of.get(i)) is not None:
-                out.append(b)
-            elif i not in self.codec.reserved:
-                out += self.codec.pieces[i].replace(MARK, " ").encode("utf-8")
-        text = out.decode("utf-8", "replace")
-        if len(ids) <= 4 * CACHED_LENGTH:
+        self.codec, self.exact = codec, True
+
+    def __missing__(self, key: bytes) -> bytes:
+        word = key.decode("utf-8")
+        if not word.startswith(MARK):
+            word = MARK + word
+        found = self.codec.word_ids(word)
+        if self.codec.plain(found) != word.replace(MARK, " "):
+            self.exact = False
+        ids = ",".join(map(str, found)).encode("ascii")
+        if len(key) <= CACHED_LENGTH:
             if len(self) >= CACHE_WORDS:
                 self.clear()
-            self[ids] = text
-        return text
+            self[key] = ids
+        return ids
 
 
 @lru_cache(maxsize=2)
@@ -194,17 +204,16 @@ def codec(path: str) -> Codec:
 def _round_trip(path: str, keep_ids: bool):
     def run(batches):
         c = codec(path)
-        for batch in batches:
+        for batch in slices(batches):
             n, ids, sha, text = [], [], [], []
-            for t in batch.column("text").to_pylist():
-                words = c.encode(t or "")
-                joined = ",".join(words)
-                n.append(joined.count(",") + 1 if words else 0)
-                sha.append(hashlib.sha256(joined.encode("ascii")).hexdigest())
-                text.append(hashlib.sha256(c.decode(words).encode("utf-8")).hexdigest())
+            for t in batch.column("text").cast(pa.binary()).to_pylist():
+                joined, decoded = c.round_trip(t or b"")
+                n.append(joined.count(b",") + 1 if joined else 0)
+                sha.append(hashlib.sha256(joined).hexdigest())
+                text.append(hashlib.sha256(decoded).hexdigest())
                 if keep_ids:
-                    ids.append([int(i) for i in joined.split(",")] if words else [])
-            cols = [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(sha), pa.array(text)]
+                    ids.append([int(i) for i in joined.split(b",")] if joined else [])
+            cols = [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(sha, pa.string()), pa.array(text, pa.string())]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if keep_ids:
                 cols.append(pa.array(ids, pa.list_(pa.int32())))

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlake.llm.common import written
+from barlake.llm.common import slices, written
 from barlake.llm.components import components
 
 SHINGLE = 3
@@ -57,7 +57,7 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 def _fingerprints(shingle: int):
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             found = [fingerprint(t or b"", shingle) for t in batch.column("text").cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("uid"), batch.column("doc_id"),
