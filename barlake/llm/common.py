@@ -6,6 +6,7 @@ import struct
 import uuid
 
 import numpy as np
+import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,6 +64,7 @@ def slices(batches, rows: int = 1024):
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+    pa.default_memory_pool().release_unused()  # the worker process lives on
 
 
 def pack(*parts: bytes, level: int = 1) -> bytes:

@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from barlake.llm.common import slices
 
 MARK = "▁"
-CACHE_WORDS = 500_000
-CACHE_PAIRS = 500_000
+CACHE_WORDS = 200_000
+CACHE_PAIRS = 200_000
 CACHED_LENGTH = 64
 _MARK = MARK.encode("utf-8")
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
