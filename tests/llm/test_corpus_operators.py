@@ -68,27 +68,18 @@ def test_pieces_of_a_long_text_and_chunks_agree(docs, monkeypatch):
 def test_loser_tree_merges_runs_with_their_prefixes():
     rnd = random.Random(1)
 
-    class Fake:
-        def __init__(self, items):
-            self.items, self.i, self.text = sorted(items), -1, b""
-
-        def advance(self):
-            self.i += 1
-            if self.i == len(self.items):
-                return -1
-            last, self.text = self.text, self.items[self.i]
-            n = 0
-            while n < min(len(last), len(self.text)) and last[n] == self.text[n]:
-                n += 1
-            return n
+    def shared(a, b):
+        n = 0
+        while n < min(len(a), len(b)) and a[n] == b[n]:
+            n += 1
+        return n
 
     for n in (1, 2, 3, 5, 8):
-        runs = [Fake([bytes(rnd.choices(b"ab", k=rnd.randint(0, 6))) for _ in range(rnd.randint(0, 30))]) for _ in range(n)]
-        want = sorted(x for r in runs for x in r.items)
-        got = [(p, r.text) for p, r in suffix_dedup.merge(runs)]
-        assert [t for _, t in got] == want
-        for (_, a), (p, b) in zip(got, got[1:]):
-            assert a[:p] == b[:p] and not (len(a) > p and len(b) > p and a[p] == b[p])
+        texts = [sorted(bytes(rnd.choices(b"ab", k=rnd.randint(0, 6))) for _ in range(rnd.randint(0, 30))) for _ in range(n)]
+        known = [[0] + [shared(a, b) for a, b in zip(t, t[1:])] if t else [] for t in texts]
+        got = [(p, texts[r][i]) for p, r, i in suffix_dedup.merge(known, texts)]
+        assert [t for _, t in got] == sorted(x for t in texts for x in t)
+        assert all(p == shared(a, b) for (_, a), (p, b) in zip(got, got[1:]))
 
 
 # ------------------------------------------------------------------- near-duplicates
