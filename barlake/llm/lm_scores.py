@@ -26,12 +26,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlake.llm.common import buckets, pack, unpack, written
+from barlake.llm.common import buckets, from_planes, pack, planes, unpack, written
 
 ORDER = 3
 LEAST = 2
 ALPHA = 0.4
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 12 << 20
 CHUNK_ROWS = 16_384
 _BITS = np.uint64((1 << 56) - 1)
 # Fixed value: lower-case A-Z.
@@ -80,15 +80,44 @@ class _Number(dict):
         return n
 
 
-def _explode(n_buckets: int, order: int):
-    def cells(start, ids, sizes, number, axis):
-        axis, sizes = np.array(axis, np.uint32), np.array(sizes, np.int64)
+def _chunks(batches):
+    """(chunk id, doc_ids, words per document, hash of each distinct word, word numbers)."""
+    def made():
         own = np.fromiter(map(xxhash.xxh64_intdigest, number), np.uint64, len(number))
+        return start, ids, np.array(sizes, np.int64), own, np.array(axis, np.uint32)
+
+    start, size = None, 0
+    ids, sizes, axis, number = [], [], [], _Number()
+    for batch in batches:
+        for uid, doc_id, text in zip(batch.column("uid").to_pylist(), batch.column("doc_id").to_pylist(),
+                                     batch.column("text").cast(pa.binary()).to_pylist()):
+            start = uid if start is None else start
+            words = words_of(text or b"")
+            ids.append(doc_id)
+            sizes.append(len(words))
+            axis.extend(map(number.__getitem__, words))
+            size += len(text or b"")
+            if size >= CHUNK_BYTES or len(ids) >= CHUNK_ROWS:
+                yield made()
+                start, size = None, 0
+                ids, sizes, axis, number = [], [], [], _Number()
+    if ids:
+        yield made()
+
+
+def _sequences(batches):
+    """The word sequences of the chunks, for the sums at the end."""
+    for start, ids, sizes, own, axis in _chunks(batches):
         doc_ids = pa.array(ids, pa.int64())
-        yield start % n_buckets, start, 0, pack(
+        yield from _batches([(0, start, 0, pack(
             doc_ids.fill_null(0).to_numpy(zero_copy_only=False).astype("<i8").tobytes(),
             np.asarray(doc_ids.is_valid().to_numpy(zero_copy_only=False), np.uint8).tobytes(),
-            sizes.astype("<i8").tobytes(), own.astype("<u8").tobytes(), axis.astype("<u4").tobytes())
+            sizes.astype("<i8").tobytes(), own.astype("<u8").tobytes(), planes(axis.astype("<u4"))))])
+
+
+def _ngrams(n_buckets: int, order: int):
+    """The chunks' distinct n-grams and their counts, dealt to buckets by hash."""
+    def cells(start, sizes, own, axis):
         place = _places(sizes)
         for n, hashes in enumerate(ngram_hashes(own[axis] if len(axis) else own, place, order), 1):
             found, count = np.unique(hashes[place >= n - 1], return_counts=True)
@@ -98,28 +127,11 @@ def _explode(n_buckets: int, order: int):
                 lo, hi = cuts[b], cuts[b + 1]
                 if lo < hi:
                     step = np.diff(found[lo:hi], prepend=np.uint64(0))
-                    yield b, start, n, pack((step & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes(),
-                                            (step >> np.uint64(32)).astype("<u4").tobytes(),
-                                            count[lo:hi].astype("<u4").tobytes())
+                    yield b, start, n, pack(planes(step.astype("<u8")), planes(count[lo:hi].astype("<u4")))
 
     def run(batches):
-        start, size = None, 0
-        ids, sizes, axis, number = [], [], [], _Number()
-        for batch in batches:
-            for uid, doc_id, text in zip(batch.column("uid").to_pylist(), batch.column("doc_id").to_pylist(),
-                                         batch.column("text").cast(pa.binary()).to_pylist()):
-                start = uid if start is None else start
-                words = words_of(text or b"")
-                ids.append(doc_id)
-                sizes.append(len(words))
-                axis.extend(map(number.__getitem__, words))
-                size += len(text or b"")
-                if size >= CHUNK_BYTES or len(ids) >= CHUNK_ROWS:
-                    yield from _batches(cells(start, ids, sizes, number, axis))
-                    start, size = None, 0
-                    ids, sizes, axis, number = [], [], [], _Number()
-        if ids:
-            yield from _batches(cells(start, ids, sizes, number, axis))
+        for start, _, sizes, own, axis in _chunks(batches):
+            yield from _batches(cells(start, sizes, own, axis))
     return run
 
 
@@ -131,14 +143,14 @@ def _batches(rows):
 def _join_counts(table: pa.Table) -> pa.Table:
     """One partition of the count tables: the corpus count of each n-gram sent to it."""
     rows = list(zip(*[table.column(c).to_pylist() for c in _EXCHANGE.names]))
-    out = [r for r in rows if r[2] == 0]
-    for n in sorted({r[2] for r in rows} - {0}):
+    out = []
+    for n in sorted({r[2] for r in rows}):
         sent = [r for r in rows if r[2] == n]
         hashes, counts = [], []
         for r in sent:
-            low, high, count = (np.frombuffer(x, "<u4") for x in unpack(r[3]))
-            hashes.append(np.cumsum(low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32), dtype=np.uint64))
-            counts.append(count)
+            step, count = unpack(r[3])
+            hashes.append(np.cumsum(from_planes(step, "<u8"), dtype=np.uint64))
+            counts.append(from_planes(count, "<u4"))
         whole = np.concatenate(hashes)
         by = np.argsort(whole, kind="stable")
         ordered = whole[by]
@@ -148,7 +160,7 @@ def _join_counts(table: pa.Table) -> pa.Table:
         back[by] = np.repeat(total, np.diff(np.r_[first, len(whole)]))
         at = 0
         for r, h in zip(sent, hashes):
-            out.append((*r[:3], pack(back[at:at + len(h)].tobytes())))
+            out.append((*r[:3], pack(planes(back[at:at + len(h)]))))
             at += len(h)
     return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out), _EXCHANGE)], schema=_EXCHANGE)
 
@@ -162,7 +174,7 @@ def _score(n_buckets: int, order: int, least: int, alpha: float):
                                               table.column("cell").to_pylist()) if k}
         own = next(c for k, c in zip(table.column("kind").to_pylist(), table.column("cell").to_pylist()) if k == 0)
         ids, valid, sizes, own, axis = unpack(own)
-        sizes, own, axis = np.frombuffer(sizes, "<i8"), np.frombuffer(own, "<u8"), np.frombuffer(axis, "<u4")
+        sizes, own, axis = np.frombuffer(sizes, "<i8"), np.frombuffer(own, "<u8"), from_planes(axis, "<u4")
         place = _places(sizes)
         count = []
         for n, hashes in enumerate(ngram_hashes(own[axis] if len(axis) else own, place, order), 1):
@@ -172,7 +184,7 @@ def _score(n_buckets: int, order: int, least: int, alpha: float):
             got = np.empty(len(found), np.int64)
             for b in range(n_buckets):
                 if cuts[b] < cuts[b + 1]:
-                    got[by[cuts[b]:cuts[b + 1]]] = np.frombuffer(unpack(cells[n, b])[0], "<i8")
+                    got[by[cuts[b]:cuts[b + 1]]] = from_planes(unpack(cells[n, b])[0], "<i8")
             c = np.zeros(len(axis), np.int64)
             c[full] = got[inverse]
             count.append(c)
@@ -207,9 +219,9 @@ def lm_scores(docs: DataFrame, order: int = ORDER, least: int = LEAST, alpha: fl
     n = 2 * buckets(docs.sparkSession)
     rows = docs.select(F.monotonically_increasing_id().alias("uid"),
                        F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    counted = (rows.mapInArrow(_explode(n, order), _SPARK)
+    counted = (rows.mapInArrow(_ngrams(n, order), _SPARK)
                .groupBy("bucket").applyInArrow(_join_counts, _SPARK))
-    scored = written(counted.groupBy("chunk").applyInArrow(_score(n, order, least, alpha), _SCORES), "lm-scores")
+    scored = written(counted.unionByName(rows.mapInArrow(_sequences, _SPARK)).groupBy("chunk").applyInArrow(_score(n, order, least, alpha), _SCORES), "lm-scores")
     whole = scored.agg(F.sum("n_words")).first()[0] or 1
     log_score = F.col("partial") - F.col("n_unigrams") * F.log(F.lit(float(whole)))
     return scored.select("doc_id", "n_words", "n_matched", "n_unigrams", log_score.alias("log_score"),
