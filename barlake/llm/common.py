@@ -18,6 +18,7 @@ LOWER = UPPER.lower()
 # Row counts up to which a side is broadcast; beyond it the join is left to Catalyst.
 BROADCAST_ROWS = 20_000
 DROPPED_ROWS = 1_000_000
+ROW = "barlake_row"
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,14 +39,33 @@ def checked_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` stored with the column ``ROW``: another scan may be split into other
+    partitions, so row numbers that two scans share have to be stored with the rows."""
+    return written(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+
+
+def row_number(docs: DataFrame) -> Column:
+    """The stored row number of ``numbered`` rows; of others one that holds for this scan only."""
+    return F.col(ROW) if ROW in docs.columns else F.monotonically_increasing_id()
+
+
+def fixed_scan(df: DataFrame) -> DataFrame:
+    """``df`` over partitions that are planned once, here: all that is computed from the
+    result sees the same rows in the same partitions, without a stored copy.  A plan that
+    scans ``df`` twice plans the splits twice, by the cores registered at that moment."""
+    session = df.sparkSession
+    rows = session._jsparkSession.internalCreateDataFrame(
+        df._jdf.queryExecution().toRdd(), df._jdf.schema(), False)
+    return DataFrame(rows, session)
+
+
 def without_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """``docs`` without the rows numbered in ``dropped`` (column uid, the
-    monotonically_increasing_id of ``docs``): numbers only are broadcast, 16 bytes a row up
-    to ``DROPPED_ROWS``; more are joined by a shuffle."""
+    """``numbered`` rows without those in ``dropped`` (column uid): numbers only are
+    broadcast, 16 bytes a row up to ``DROPPED_ROWS``; more are joined by a shuffle."""
     gone = written(dropped.select(F.col("uid").alias("barlake_dropped")), "dropped")
-    numbered = docs.withColumn("barlake_row", F.monotonically_increasing_id())
-    return numbered.join(checked_broadcast(gone, DROPPED_ROWS),
-                         F.col("barlake_row") == F.col("barlake_dropped"), "left_anti").drop("barlake_row")
+    return docs.join(checked_broadcast(gone, DROPPED_ROWS),
+                     F.col(ROW) == F.col("barlake_dropped"), "left_anti").drop(ROW)
 
 
 def ascii_lower(c: Column) -> Column:

@@ -18,14 +18,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlake.llm.common import written
+from barlake.llm.common import ROW, numbered, row_number, written
 
 WINDOW = 10
 SLOP = 3
@@ -181,12 +181,15 @@ def _block_hits(rows: DataFrame, block: Block, slop: int, window: int) -> DataFr
 def find_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: int = SLOP,
                  block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Phrase and proximity matches of every row of ``docs`` (doc_id, text) with the items
-    of ``benchmark`` (item_id, text): uid (monotonically_increasing_id of ``docs``),
-    doc_id, n_words, spans (matched windows as word ranges), items, near."""
-    rows = docs.select(F.monotonically_increasing_id().alias("uid"),
-                       F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    of ``benchmark`` (item_id, text): uid (row number of ``docs``), doc_id, n_words, spans (matched windows as word ranges), items, near."""
+    blocks = query_blocks(benchmark, block_bytes)
+    first = next(blocks)
+    second = next(blocks, None)
+    if second is not None and ROW not in docs.columns:  # every block scans the rows
+        docs = numbered(docs.select("doc_id", "text"))
+    rows = docs.select(row_number(docs).alias("uid"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     found = [_block_hits(rows, Block(items, window), slop, window)
-             for items in query_blocks(benchmark, block_bytes)]
+             for items in chain([first], [] if second is None else [second], blocks)]
     if len(found) == 1:
         return found[0]
     return (reduce(DataFrame.unionByName, found).groupBy("uid", "doc_id", "n_words")

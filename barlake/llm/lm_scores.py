@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlake.llm.common import buckets, from_planes, pack, planes, unpack, written
+from barlake.llm.common import buckets, fixed_scan, from_planes, pack, planes, unpack, written
 
 ORDER = 3
 LEAST = 2
@@ -217,8 +217,9 @@ def lm_scores(docs: DataFrame, order: int = ORDER, least: int = LEAST, alpha: fl
     that backed off to their own share), log_score (natural logarithm, summed over the
     words) and mean_score of every row of ``docs`` (doc_id, text)."""
     n = 2 * buckets(docs.sparkSession)
-    rows = docs.select(F.monotonically_increasing_id().alias("uid"),
-                       F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    # read twice below, and both readings must cut the same chunks
+    rows = fixed_scan(docs.select(F.monotonically_increasing_id().alias("uid"),
+                                  F.col("doc_id").cast("bigint").alias("doc_id"), "text"))
     counted = (rows.mapInArrow(_ngrams(n, order), _SPARK)
                .groupBy("bucket").applyInArrow(_join_counts, _SPARK))
     scored = written(counted.unionByName(rows.mapInArrow(_sequences, _SPARK)).groupBy("chunk").applyInArrow(_score(n, order, least, alpha), _SCORES), "lm-scores")

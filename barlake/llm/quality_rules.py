@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from barlake.llm.common import checked_broadcast, slices, written
+from barlake.llm.common import checked_broadcast, row_number, slices, written
 
 # Fixed values of the base rules and the quantiles of chi-square with 5 degrees of freedom.
 LEAST_WORDS = 50
@@ -95,7 +95,7 @@ def _statistics(batches):
 
 def statistics(docs: DataFrame) -> DataFrame:
     """Counts and integer statistics ``x`` of every row, with ``base_failed``."""
-    rows = docs.select(F.monotonically_increasing_id().alias("uid"),
+    rows = docs.select(row_number(docs).alias("uid"),
                        F.col("doc_id").cast("bigint").alias("doc_id"),
                        F.col("lang").cast("string").alias("lang"),
                        F.col("source").cast("string").alias("source"), "text")

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlake.llm.common import slices, written
+from barlake.llm.common import row_number, slices, written
 from barlake.llm.components import components
 
 SHINGLE = 3
@@ -67,7 +67,7 @@ def _fingerprints(shingle: int):
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """uid, doc_id, fp (bits as a signed long) of every row of ``docs`` (doc_id, text)."""
-    return docs.select(F.monotonically_increasing_id().alias("uid"),
+    return docs.select(row_number(docs).alias("uid"),
                        F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
         _fingerprints(shingle), "uid bigint, doc_id bigint, fp bigint")
 

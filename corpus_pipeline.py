@@ -10,21 +10,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.llm import decontamination, pii, quality_rules, sentencepiece_codec, simhash
-from barlake.llm.common import read, without_rows, written
+from barlake.llm.common import numbered, read, without_rows, written
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
+    docs = numbered(docs)
     return without_rows(docs, quality_rules.judged(docs).where(~F.col("kept")))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the row with the smallest doc_id stays."""
+    docs = numbered(docs)
     return without_rows(docs, simhash.near_duplicates(docs).where(F.col("uid") != F.col("first_uid")))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with an exact benchmark passage go."""
+    docs = numbered(docs)
     found = decontamination.decontamination(docs, read(spark, sf_dir, "benchmark"))
     return without_rows(docs, found.where("contaminated"))
 
