@@ -11,9 +11,10 @@ Every step covers all rows and is one aggregation per (group, distance bin): bin
 counts, sums and cross products, so a group that holds a third of all rows is combined
 map-side, the chosen share is a running sum over a group's bins, and only bins meet in a
 task.  Statistics are rounded to integers and summed as decimals, so results do not
-depend on partitioning.  Groups with fewer than ``least_rows`` rows are estimated together
-per language, and those languages together if still too few; below 2 * p rows nothing is
-rejected.  Variances have a floor, since most clean texts have no symbols at all.
+depend on partitioning.  Every group has its own estimate, shrunk towards that of its
+language, which is shrunk towards that of all rows: n rows give the own one the weight
+1 - (2 * p / n)^2, from 2 * p rows on.  Below 2 * p rows in all nothing is rejected.
+Variances have a floor, since most clean texts have no symbols at all.
 
 Defined results: a null text has no words and fails the base rules; null language or
 source is a group of its own; repeated rows are judged one by one, and count so.
@@ -42,7 +43,6 @@ STATISTICS = {"log_word_length": 0.05, "root_symbols": 0.10, "root_upper": 0.06,
 P = len(STATISTICS)
 SUPPORT = 0.75
 CUTOFF = 32.0  # squared distance: between clean and junk documents of the labelled rows
-LEAST_ROWS = 200
 STEPS = 10
 _SPACE = b" \t\n\x0b\x0c\r"
 _SYMBOLS = b"#*$%&|<>"
@@ -105,22 +105,11 @@ def statistics(docs: DataFrame) -> DataFrame:
         "base_failed", (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
 
 
-def _grouped(stats: DataFrame, least_rows: int) -> DataFrame:
-    """``stats`` with ``grp``: language and source, or a pool of the small groups."""
-    by_lang, every = Window.partitionBy("lang", "small"), Window.partitionBy("tiny")
-    sizes = (stats.where(~F.col("base_failed")).groupBy("lang", "source").agg(F.count("*").alias("n"))
-             .withColumn("small", F.col("n") < least_rows)
-             .withColumn("pool", F.sum("n").over(by_lang))
-             .withColumn("tiny", F.col("small") & (F.col("pool") < least_rows)))
-    # the pool of all tiny groups is a constant: no window over it
-    name = (F.when(F.col("tiny"), F.lit("*"))
-            .when(F.col("small"), F.concat(F.lit("lang "), F.coalesce(F.concat(F.lit("="), "lang"), F.lit("null"))))
-            .otherwise(F.to_json(F.struct(F.coalesce("lang", F.lit("\0")).alias("l"),
-                                          F.coalesce("source", F.lit("\0")).alias("s")))))
-    groups = written(sizes.select(F.col("lang").alias("glang"), F.col("source").alias("gsource"),
-                                  name.alias("grp")), "quality-groups")
-    on = F.col("lang").eqNullSafe(F.col("glang")) & F.col("source").eqNullSafe(F.col("gsource"))
-    return stats.join(checked_broadcast(groups), on, "left").drop("glang", "gsource")
+def _grouped(stats: DataFrame) -> DataFrame:
+    """``stats`` with ``grp`` (language and source) and ``pool`` (language)."""
+    pool = F.concat(F.lit("lang "), F.coalesce(F.concat(F.lit("="), "lang"), F.lit("null")))
+    grp = F.to_json(F.struct(F.coalesce("lang", F.lit("\0")).alias("l"), F.coalesce("source", F.lit("\0")).alias("s")))
+    return stats.withColumn("grp", grp).withColumn("pool", pool)
 
 
 def distance(x: Column, centre: Column, inverse: Column) -> Column:
@@ -221,14 +210,56 @@ def estimates(fit: DataFrame, support: float = SUPPORT, steps: int = STEPS) -> D
     return written(_step(fit, now, None), "mcd")
 
 
-def judged(docs: DataFrame, support: float = SUPPORT, cutoff: float = CUTOFF,
-           least_rows: int = LEAST_ROWS) -> DataFrame:
+def _weight(rows: int) -> float:
+    """Weight of a group's own estimate against that of the group around it: 0 up to
+    2 * p rows, then rising with the rows, without a step."""
+    return 1 - (2 * P / max(rows, 2 * P)) ** 2
+
+
+def _shrink(batches):
+    """Own, language's and whole estimate of a group -> centre and inverse covariance."""
+    upper = np.triu_indices(P)
+
+    def estimate(centre, inverse):
+        m = np.zeros((P, P))
+        m[upper] = inverse
+        return np.array(centre), np.linalg.inv(m + m.T - np.diag(np.diag(m)))
+
+    for rows in batches:
+        out = []
+        for r in rows.itertuples():
+            centre, cov = estimate(r.centre0, r.inverse0)
+            for n, c, i in ((r.rows1, r.centre1, r.inverse1), (r.rows2, r.centre2, r.inverse2)):
+                own, w = estimate(c, i), _weight(n)
+                centre, cov = w * own[0] + (1 - w) * centre, w * own[1] + (1 - w) * cov
+            out.append((r.egrp, centre.tolist(), np.linalg.inv(cov)[upper].tolist()))
+        yield pd.DataFrame(out, columns=["egrp", "centre", "inverse"])
+
+
+def shrunk(fit: DataFrame, support: float = SUPPORT) -> DataFrame:
+    """egrp, centre, inverse of every ``grp`` of rows (grp, pool, x): the group's estimate
+    shrunk towards its language's, and that towards the estimate of all rows; none if
+    all rows together are fewer than 2 * p."""
+    levels = fit.select("x", F.explode(F.array("grp", "pool", F.lit("*"))).alias("grp"))
+    known = estimates(levels, support)
+
+    def at(level: int) -> DataFrame:
+        return known.select(*[F.col(c).alias(f"{c}{level}") for c in ("grp", "rows", "centre", "inverse")])
+
+    groups = fit.groupBy(F.col("grp").alias("egrp"), "pool").count().drop("count")
+    whole = at(0).where((F.col("grp0") == "*") & (F.col("rows0") >= 2 * P))
+    joined = (groups.join(checked_broadcast(at(2)), F.col("egrp") == F.col("grp2"))
+              .join(checked_broadcast(at(1)), F.col("pool") == F.col("grp1"))
+              .crossJoin(F.broadcast(whole)))
+    return written(joined.mapInPandas(_shrink, "egrp string, centre array<double>, inverse array<double>"), "mcd")
+
+
+def judged(docs: DataFrame, support: float = SUPPORT, cutoff: float = CUTOFF) -> DataFrame:
     """Statistics, base_failed, d2 (null without an estimate) and kept of every row."""
-    stats = written(_grouped(written(statistics(docs), "quality-statistics"), least_rows), "quality-grouped")
-    known = estimates(stats.where(~F.col("base_failed")), support)
-    usable = known.where(F.col("rows") >= 2 * P).select(F.col("grp").alias("egrp"), "centre", "inverse")
+    stats = _grouped(written(statistics(docs), "quality-statistics"))
+    known = shrunk(stats.where(~F.col("base_failed")), support)
     d2 = distance(F.col("x"), F.col("centre"), F.col("inverse"))
-    return (stats.join(checked_broadcast(usable), F.col("grp") == F.col("egrp"), "left")
+    return (stats.join(checked_broadcast(known), F.col("grp") == F.col("egrp"), "left")
             .withColumn("d2", d2)
             .withColumn("kept", ~F.col("base_failed") & (F.coalesce("d2", F.lit(0.0)) <= cutoff))
             .drop("egrp", "centre", "inverse"))
