@@ -208,9 +208,11 @@ def hit_words(spans) -> F.Column:
 
 
 def decontamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, n_near, uid per row."""
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, n_near, near_sha256, uid
+    per row."""
     found = find_matches(docs, benchmark, **options).withColumn("n_hit", hit_words(F.col("spans")))
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
-        (F.col("n_hit") > 0).alias("contaminated"), F.size("near").cast("bigint").alias("n_near"), "uid")
+        (F.col("n_hit") > 0).alias("contaminated"), F.size("near").cast("bigint").alias("n_near"),
+        F.sha2(F.array_join("near", ","), 256).alias("near_sha256"), "uid")
