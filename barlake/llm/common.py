@@ -50,16 +50,6 @@ def row_number(docs: DataFrame) -> Column:
     return F.col(ROW) if ROW in docs.columns else F.monotonically_increasing_id()
 
 
-def fixed_scan(df: DataFrame) -> DataFrame:
-    """``df`` over partitions that are planned once, here: all that is computed from the
-    result sees the same rows in the same partitions, without a stored copy.  A plan that
-    scans ``df`` twice plans the splits twice, by the cores registered at that moment."""
-    session = df.sparkSession
-    rows = session._jsparkSession.internalCreateDataFrame(
-        df._jdf.queryExecution().toRdd(), df._jdf.schema(), False)
-    return DataFrame(rows, session)
-
-
 def without_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     """``numbered`` rows without those in ``dropped`` (column uid): numbers only are
     broadcast, 16 bytes a row up to ``DROPPED_ROWS``; more are joined by a shuffle."""

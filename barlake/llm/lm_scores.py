@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlake.llm.common import buckets, fixed_scan, from_planes, pack, planes, unpack, written
+from barlake.llm.common import buckets, from_planes, pack, planes, unpack, written
 
 ORDER = 3
 LEAST = 2
@@ -130,8 +130,11 @@ def _ngrams(n_buckets: int, order: int):
                     yield b, start, n, pack(planes(step.astype("<u8")), planes(count[lo:hi].astype("<u4")))
 
     def run(batches):
-        for start, _, sizes, own, axis in _chunks(batches):
-            yield from _batches(cells(start, sizes, own, axis))
+        for batch in batches:
+            for start, cell in zip(batch.column("chunk").to_pylist(), batch.column("cell")):
+                _, _, sizes, own, axis = unpack(cell.as_py())
+                yield from _batches(cells(start, np.frombuffer(sizes, "<i8"), np.frombuffer(own, "<u8"),
+                                          from_planes(axis, "<u4")))
     return run
 
 
@@ -169,11 +172,10 @@ _SCORES = "doc_id bigint, n_words bigint, n_matched bigint, n_unigrams bigint, p
 
 
 def _score(n_buckets: int, order: int, least: int, alpha: float):
-    def run(table: pa.Table) -> pa.Table:
+    def run(sequences: pa.Table, table: pa.Table) -> pa.Table:
         cells = {(k, b): c for b, k, c in zip(table.column("bucket").to_pylist(), table.column("kind").to_pylist(),
-                                              table.column("cell").to_pylist()) if k}
-        own = next(c for k, c in zip(table.column("kind").to_pylist(), table.column("cell").to_pylist()) if k == 0)
-        ids, valid, sizes, own, axis = unpack(own)
+                                              table.column("cell").to_pylist())}
+        ids, valid, sizes, own, axis = unpack(sequences.column("cell")[0].as_py())
         sizes, own, axis = np.frombuffer(sizes, "<i8"), np.frombuffer(own, "<u8"), from_planes(axis, "<u4")
         place = _places(sizes)
         count = []
@@ -217,12 +219,14 @@ def lm_scores(docs: DataFrame, order: int = ORDER, least: int = LEAST, alpha: fl
     that backed off to their own share), log_score (natural logarithm, summed over the
     words) and mean_score of every row of ``docs`` (doc_id, text)."""
     n = 2 * buckets(docs.sparkSession)
-    # read twice below, and both readings must cut the same chunks
-    rows = fixed_scan(docs.select(F.monotonically_increasing_id().alias("uid"),
-                                  F.col("doc_id").cast("bigint").alias("doc_id"), "text"))
-    counted = (rows.mapInArrow(_ngrams(n, order), _SPARK)
+    rows = docs.select(F.monotonically_increasing_id().alias("uid"),
+                       F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    # one scan cuts the chunks; both readings of them are of this exchange
+    chunks = rows.mapInArrow(_sequences, _SPARK).repartition(n, "chunk")
+    counted = (chunks.mapInArrow(_ngrams(n, order), _SPARK)
                .groupBy("bucket").applyInArrow(_join_counts, _SPARK))
-    scored = written(counted.unionByName(rows.mapInArrow(_sequences, _SPARK)).groupBy("chunk").applyInArrow(_score(n, order, least, alpha), _SCORES), "lm-scores")
+    scored = written(chunks.groupBy("chunk").cogroup(counted.groupBy("chunk")).applyInArrow(
+        _score(n, order, least, alpha), _SCORES), "lm-scores")
     whole = scored.agg(F.sum("n_words")).first()[0] or 1
     log_score = F.col("partial") - F.col("n_unigrams") * F.log(F.lit(float(whole)))
     return scored.select("doc_id", "n_words", "n_matched", "n_unigrams", log_score.alias("log_score"),

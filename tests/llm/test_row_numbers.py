@@ -43,18 +43,11 @@ def test_blocks_of_the_benchmark_name_rows_alike(scratch, other_splits):
 
 
 @pytest.mark.parametrize("made", [suffix_dedup.suffix_dedup, lm_scores.lm_scores])
-def test_two_readings_share_one_planned_scan(scratch, other_splits, made, monkeypatch):
+def test_chunks_are_cut_in_one_scan(scratch, other_splits, made, monkeypatch):
     plans = []
     monkeypatch.setattr(lm_scores, "written", lambda df, name: plans.append(df) or common.written(df, name))
     plans.append(made(other_splits))
+    plans[0].collect()
     plan = plans[0]._jdf.queryExecution().executedPlan().toString()
-    assert "FileScan" not in plan and plan.count("ExistingRDD") == 2
-
-
-def test_a_fixed_scan_keeps_its_partitions(scratch, other_splits):
-    fixed = common.fixed_scan(other_splits.select("doc_id"))
-    n = fixed.rdd.getNumPartitions()
-    scratch.conf.set("spark.sql.files.maxPartitionBytes", "4k")
-    assert other_splits.select("doc_id").rdd.getNumPartitions() != n
-    assert fixed.select("doc_id").rdd.getNumPartitions() == n
-    assert sorted(r.doc_id for r in fixed.collect()) == sorted(r.doc_id for r in other_splits.collect())
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final
