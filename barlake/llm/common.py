@@ -25,10 +25,15 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A new folder of the shared one."""
+    return f"{checkpoint_dir(spark)}/barlake-llm/{name}-{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` into the shared folder and read it back: lineage ends at the files,
     so a lost executor costs a re-read, and what follows computes from stored rows."""
-    path = f"{checkpoint_dir(df.sparkSession)}/barlake-llm/{name}-{uuid.uuid4().hex}"
+    path = fresh_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -69,6 +74,28 @@ def buckets(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+class Recent(dict):
+    """Computed values of recent keys, in two generations of at most ``size`` entries: when
+    the young one is full it becomes the old one, and what is still used comes back from
+    there.  Keys longer than ``longest`` are computed each time."""
+
+    def __init__(self, compute, size: int, longest: int):
+        super().__init__()
+        self.compute, self.size, self.longest, self.old = compute, size, longest, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.compute(key)
+            if len(key) > self.longest:
+                return value
+        if len(self) >= self.size:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 def slices(batches, rows: int = 1024):
     """Arrow batches in small parts, so that few rows are Python objects at a time."""
     for batch in batches:

@@ -135,3 +135,65 @@ ORACLE_SQL = {
     "op7_lm_scores": OP7,
     "op8_decontamination": OP8,
 }
+
+_FINITE = "len(list_filter({v}, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+
+def _round(n: int) -> str:
+    """Assignments to the centroids of round ``n``."""
+    return f"""
+near{n} AS (
+    SELECT k.n, k.vec_id, k.v, min(struct_pack(
+               d := list_sum(list_transform(list_zip(k.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT,
+               c := c.cluster)) AS best
+    FROM kept k CROSS JOIN c{n} c GROUP BY ALL)"""
+
+
+def _centroids(n: int) -> str:
+    return f"""
+parts{n} AS (SELECT best.c AS cluster, unnest(v) AS x, unnest(range(64)) AS dim FROM near{n}),
+means{n} AS (SELECT cluster, dim, (sum(x) - (((sum(x) % count(*)) + count(*)) % count(*))) // count(*) AS mean
+             FROM parts{n} GROUP BY cluster, dim),
+c{n + 1} AS (
+    SELECT c.cluster, coalesce(m.v, c.v) AS v
+    FROM c{n} c LEFT JOIN (SELECT cluster, list(mean::BIGINT ORDER BY dim) AS v FROM means{n} GROUP BY cluster) m
+    USING (cluster))"""
+
+
+ORACLE_SQL["op11_centroid_clustering"] = f"""
+WITH kept AS (
+    SELECT row_number() OVER () AS n, vec_id,
+           list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings WHERE len(embedding) = 64 AND {_FINITE.format(v="embedding")}),
+c0 AS (
+    SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id::VARCHAR) NULLS LAST, v)::INTEGER - 1 AS cluster, v
+    FROM kept QUALIFY cluster < 16),
+{",".join(_round(n) + "," + _centroids(n) for n in range(3))},
+{_round(3)}
+SELECT vec_id, best.c AS cluster, best.d AS distance,
+       (sum(best.d) OVER (PARTITION BY best.c))::BIGINT AS cluster_inertia, (sum(best.d) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(c3.v, ',')) AS centroid_sha256
+FROM near3 JOIN c3 ON c3.cluster = best.c
+"""
+
+ORACLE_SQL["op12_hard_negatives"] = f"""
+WITH kept AS (
+    SELECT row_number() OVER () AS n, vec_id,
+           CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND {_FINITE.format(v="embedding")}),
+scored AS (
+    SELECT a.n AS anchor, a.vec_id AS anchor_id, b.n AS other, b.vec_id, a.label = b.label AS same,
+           coalesce(list_sum(list_transform(list_zip(a.v, b.v), lambda p: coalesce(p[1] * p[2], 0))), 0)::BIGINT AS score
+    FROM kept a JOIN kept b ON a.vec_id % 50 = 0 AND a.n <> b.n),
+positives AS (
+    SELECT anchor, anchor_id, other AS positive, vec_id AS positive_id, score AS positive_score
+    FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id, other) <= 5)
+SELECT p.anchor_id, p.positive_id, p.positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+       row_number() OVER (PARTITION BY p.anchor, p.positive ORDER BY s.score DESC, s.vec_id, s.other)::INTEGER AS rank
+FROM positives p JOIN scored s ON s.anchor = p.anchor AND NOT s.same
+     AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+QUALIFY rank <= 3
+"""

@@ -5,9 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from barlake.llm import (decontamination, lm_scores, pii, quality_rules, secrets, sentencepiece_codec, simhash,
-                         suffix_dedup, token_counts, url_filters)
-from barlake.llm.common import read
+from barlake.llm import (clustering, decontamination, hard_negatives, lm_scores, pii, quality_rules, secrets,
+                         sentencepiece_codec, simhash, suffix_dedup, token_counts, token_files, url_filters)
+from barlake.llm.common import fresh_path, read
 from barlake.llm.oracle_sql import ORACLE_SQL  # noqa: F401
 
 # Fixed value: host labels of the listed sites.
@@ -65,6 +65,22 @@ def op10_token_counts(spark, d):
         read(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_centroid_clustering(spark, d):
+    return clustering.cluster_vectors(read(spark, d, "embeddings"))
+
+
+def op12_hard_negatives(spark, d):
+    """Every 50th row is an anchor; every 7th row's label is shifted."""
+    return hard_negatives.hard_negatives(hard_negatives.shifted_labels(read(spark, d, "embeddings")),
+                                         F.col("vec_id") % hard_negatives.ANCHOR_EVERY == 0)
+
+
+def op13_token_files(spark, d):
+    path = fresh_path(spark, "token-files")
+    token_files.write_token_ids(read(spark, d, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), 2)
+    return token_files.document_checksums(spark, path)
+
+
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -76,6 +92,9 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_token_counts": op10_token_counts,
+    "op11_centroid_clustering": op11_centroid_clustering,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_token_files": op13_token_files,
 }
 
 # Registered besides: results that are wider than the SQL of the queries above.
