@@ -13,10 +13,12 @@ decoded alone.  Chunks are rows of the table ``chunks`` with their document ids
 lengths; the table ``index`` has, per chunk, its place among all ids, its id range and
 its size.  Both are written by Spark's committer, so a lost executor repeats its shard.
 
-Words between spaces are encoded on their own: the tokenizer never joins text across a
-space.  A worker keeps the ids of recent words, and of recent pieces between letters,
-digits and symbols, in two-generation tables of a fixed size.  Words with characters on
-which Unicode versions may differ, or with special tokens, go to the library whole.
+Texts are encoded in batches of bounded size.  They are split into the tokenizer's pieces
+(runs of letters, digits, runs of symbols), each distinct piece of a batch is merged once,
+and the ids are put together by its number.  A worker keeps the ids of recent pieces in an
+Arrow table of a fixed size.  The tokenizer never joins text across a space, so
+words with characters on which Unicode versions may differ, or with special tokens, go to
+the library one by one, and a very long text is encoded in parts.
 
 Defined results.  A null text counts as empty and holds the end id alone.  Documents are
 in ascending order of doc_id, null ids last; equal ids by a hash of their text, then by
@@ -28,20 +30,22 @@ names.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
 import zlib
 from functools import lru_cache
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm.common import Recent, buckets, slices
+from barlake.llm.common import buckets, slices
 
 MAGIC = b"IDPL"
 HEAD = struct.Struct("<4sIIQI")  # magic, ids a block, plane kind, ids, blocks
@@ -49,13 +53,18 @@ BLOCK = 65_536
 CHUNK_IDS = 1 << 20
 KINDS = ("byte", "bit")
 LEVEL = 3
-WORDS, WORD_LENGTH = 150_000, 48
-# Fixed value: the tokenizer file's pattern of pieces, after lower-casing.
-PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
-_ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
-# Blocks whose letters, case pairs and compositions are the same in all Unicode versions.
-_STRANGE = re.compile("[^\t\n\x20-\x7e¡-įĲ-ʯА-я‐-‧"
-                      "ぁ-ゖァ-ヺ一-龥가-힣]")
+BATCH = 4_000_000
+PIECES, PIECE_LENGTH = 500_000, 48
+# Letters, and other characters, whose class, case pair and composition all versions of
+# Unicode agree on; among them, the only numbers are the ten digits.
+LETTERS = "a-zA-ZªµºÀ-ÖØ-öø-įĲ-ȹȻ-Ƚȿ-ʯА-яぁ-ゖァ-ヺ一-龥가-힣"
+_STRANGE = re.compile(f"[^{LETTERS}\t\n\x20-\x7e¡-©«¬®-±´¶-¸»¿×÷‐-‧]").search
+# Fixed value: the tokenizer file's pattern of pieces, after lower-casing, over these characters.
+_PIECES = re.compile(f"[{LETTERS}]+|[0-9]|'(?:[stmd]|re|ve|ll)|[^\\s0-9{LETTERS}]+").findall
+# Fixed value: the file's letters for bytes: printable Latin-1 stands for itself, the others follow from 256.
+_PLAIN = [*range(0x21, 0x7f), *range(0xa1, 0xad), *range(0xae, 0x100)]
+BYTES = {**{b: b for b in _PLAIN}, **{b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(_PLAIN)))}}
+LIBRARY = "\0"  # marks a word that the library encodes; never part of a piece
 
 
 # -------------------------------------------------------------------------- planes
@@ -105,43 +114,130 @@ def unpack_ids(data: bytes, first: int = 0, last: int | None = None) -> np.ndarr
 
 
 # ------------------------------------------------------------------------ encoding
-class WordEncoder:
-    """Ids of texts as little-endian uint32, word by word."""
+def _parts(text: str, size: int):
+    """A text in parts of about ``size`` characters, cut at spaces."""
+    at = 0
+    while len(text) - at > size and (cut := text.find(" ", at + size)) >= 0:
+        yield text[at:cut]
+        at = cut
+    yield text[at:]
+
+
+def _runs(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start[0], start[0] + 1, ... (size[0] numbers), start[1], ..."""
+    ends = np.cumsum(size)
+    return np.repeat(start - (ends - size), size) + np.arange(size.sum())
+
+
+class PieceEncoder:
+    """Ids of texts, piece by piece: each distinct piece of a batch is looked up once."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import regex
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, models
 
         self.tok = Tokenizer.from_file(path)
-        self.split = regex.compile(PIECES).findall
-        self.special = tuple(t.content for t in self.tok.get_added_tokens_decoder().values())
-        self.pieces = Recent(self.library, WORDS, WORD_LENGTH)
-        self.words = Recent(self.word, WORDS, WORD_LENGTH)
-
-    def library(self, text: str) -> bytes:
-        return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def word(self, word: str) -> bytes:
-        if word.isascii():
-            if not word.isprintable() and _STRANGE.search(word):
-                return self.library(word)
-            split = _ASCII_PIECES.findall
-        elif _STRANGE.search(word):
-            return self.library(word)
-        else:
-            split = self.split
-        if any(s in word for s in self.special):
-            return self.library(word)
-        return b"".join(map(self.pieces.__getitem__, split(word.lower())))
-
-    def text(self, text: str) -> bytes:
-        return b"".join(map(self.words.__getitem__, text.split(" ")))
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        merges = [tuple(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+        # the file's merges alone: pieces need neither normalizing nor splitting again
+        self.merge = models.BPE(vocab=model["vocab"], merges=merges, cache_capacity=0,
+                                end_of_word_suffix=model["end_of_word_suffix"]).tokenize
+        self.special = re.compile("|".join(re.escape(t.content) for t in self.tok.get_added_tokens_decoder().values())
+                                  or r"(?!)").search
+        # known pieces; the ids of piece i are ids[start[i]:start[i] + size[i]]
+        self.known = pa.array([], pa.string())
+        self.start, self.size, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
+
+    def piece(self, piece: str) -> list[int]:
+        if piece[0] == LIBRARY:
+            return self.tok.encode(piece[1:], add_special_tokens=False).ids
+        plain = piece if piece.isascii() else piece.encode("utf-8").decode("latin-1").translate(BYTES)
+        return [t.id for t in self.merge(plain)]
+
+    def places(self, pieces: pa.Array) -> np.ndarray:
+        """Numbers of distinct pieces among the known ones, to which new ones are added."""
+        at = pc.index_in(pieces, value_set=self.known)
+        new = pieces.filter(at.is_null())
+        found = [self.piece(p) for p in new.to_pylist()]
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        place = at.fill_null(-1).to_numpy().astype(np.int64)
+        place[place < 0] = len(self.known) + np.arange(len(found))
+        self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(size) - size])
+        self.size = np.concatenate([self.size, size])
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), "<u4")])
+        self.known = pa.concat_arrays([self.known, new])
+        return place
+
+    def forget(self, used: np.ndarray) -> None:
+        """Beyond the table's size, keep the pieces used last, but for very long ones."""
+        if len(self.known) <= PIECES and len(self.ids) <= PIECES * PIECE_LENGTH:
+            return
+        short = pc.less_equal(pc.binary_length(self.known), PIECE_LENGTH).to_numpy(zero_copy_only=False)
+        keep = used[short[used]]
+        self.known = self.known.take(pa.array(keep))
+        place, self.size = _runs(self.start[keep], self.size[keep]), self.size[keep]
+        self.start, self.ids = np.cumsum(self.size) - self.size, self.ids[place]
+
+    def odd(self, text: str) -> bool:
+        """Whether the library has to see the text itself."""
+        return bool(_STRANGE(text) or self.special(text))
+
+    def split(self, text: str) -> list[str]:
+        if not self.odd(text):
+            return _PIECES(text.lower())
+        return [p for word in text.split(" ")
+                for p in ([LIBRARY + word] if self.odd(word) else _PIECES(word.lower()))]
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, and where each text's ids end."""
+        split = [self.split(t) for t in texts]
+        coded = pa.array(list(chain.from_iterable(split)), pa.string()).dictionary_encode()
+        used = self.places(coded.dictionary)
+        code = used[coded.indices.to_numpy()]
+        each = self.size[code]
+        ids = self.ids[_runs(self.start[code], each)]
+        pieces = np.cumsum(np.fromiter(map(len, split), np.int64, len(split)))
+        self.forget(used)
+        return ids, np.concatenate([[0], np.cumsum(each)])[pieces]
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
+def encoder(path: str) -> PieceEncoder:
+    return PieceEncoder(path)
+
+
+def encoded(path: str, rows, batch: int):
+    """(doc_id, list of id arrays) of (doc_id, text) rows, in order.  Texts are encoded in
+    batches of about ``batch`` characters; a longer one passes in parts."""
+    encode = encoder(path).encode
+
+    def run(held):
+        ids, ends = encode([t for _, t, _ in held])
+        start = 0
+        for (doc_id, _, last), end in zip(held, ends.tolist()):
+            yield doc_id, ids[start:end], last
+            start = end
+
+    def batches():
+        held, size = [], 0
+        for doc_id, text in rows:
+            *before, final = _parts(text or "", batch)
+            for part, last in [*((p, False) for p in before), (final, True)]:
+                held.append((doc_id, part, last))
+                size += len(part) + 64
+                if size >= batch:
+                    yield from run(held)
+                    held, size = [], 0
+        if held:
+            yield from run(held)
+
+    parts = []
+    for doc_id, ids, last in batches():
+        parts.append(ids)
+        if last:
+            yield doc_id, parts
+            parts = []
 
 
 # ------------------------------------------------------------------------- writing
@@ -151,31 +247,31 @@ _CHUNK_DDL = ("shard int, chunk int, position bigint, n_ids bigint, docs array<b
               "data binary")
 
 
-def _writer(model: str, end: bytes, kind: str, block: int, chunk_ids: int):
+def _writer(model: str, end: np.ndarray, kind: str, block: int, chunk_ids: int, batch_size: int = BATCH):
     def run(batches):
         from pyspark import TaskContext
 
-        encode, shard = encoder(model).text, TaskContext.get().partitionId()
+        shard = TaskContext.get().partitionId()
         state = {"chunk": 0, "position": 0}
-        docs, parts, held = [], [], 0
+        docs, lengths, parts, held = [], [], [], 0
 
         def flush():
-            ids = np.frombuffer(b"".join(parts), "<u4")
-            row = [shard, state["chunk"], state["position"], len(ids), docs, [len(p) // 4 for p in parts],
-                   pack_ids(ids, kind, block)]
+            ids = np.concatenate(parts)
+            row = [shard, state["chunk"], state["position"], len(ids), docs, lengths, pack_ids(ids, kind, block)]
             state["chunk"] += 1
             state["position"] += len(ids)
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, _CHUNK)], schema=_CHUNK)
 
-        for batch in slices(batches):
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ids = encode(text or "") + end
-                docs.append(doc_id)
-                parts.append(ids)
-                held += len(ids) // 4
-                if held >= chunk_ids:
-                    yield flush()
-                    docs, parts, held = [], [], 0
+        rows = ((doc_id, text) for batch in slices(batches)
+                for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()))
+        for doc_id, ids in encoded(model, rows, batch_size):
+            docs.append(doc_id)
+            lengths.append(sum(map(len, ids)) + 1)
+            parts += [*ids, end]
+            held += lengths[-1]
+            if held >= chunk_ids:
+                yield flush()
+                docs, lengths, parts, held = [], [], [], 0
         if docs:
             yield flush()
     return run
@@ -192,7 +288,7 @@ def write_token_ids(docs: DataFrame, path: str, model: str, end_id: int, kind: s
         "doc_id", "text", F.xxhash64("text").alias("tie"), F.monotonically_increasing_id().alias("place"))
     order = [F.col("doc_id").asc_nulls_last(), F.col("tie"), F.col("place")]
     ordered = rows.repartitionByRange(buckets(spark), *order).sortWithinPartitions(*order).select("doc_id", "text")
-    (ordered.mapInArrow(_writer(model, np.array([end_id], "<u4").tobytes(), kind, block, chunk_ids), _CHUNK_DDL)
+    (ordered.mapInArrow(_writer(model, np.array([end_id], "<u4"), kind, block, chunk_ids), _CHUNK_DDL)
      .write.option("compression", "none").parquet(f"{path}/chunks"))  # the planes are compressed
     chunks = spark.read.schema(_CHUNK_DDL).parquet(f"{path}/chunks")
     # one row per shard, that is per partition of the sort

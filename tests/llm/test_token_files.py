@@ -46,13 +46,43 @@ ODD = ["", " ", "  two  spaces  ", "line\nbreak\tand\rmore\x0b\x0c", "\x1c\x1d\x
        "x" * 5000, "́", " nbsp ", "﻿bom", "ﬁ ｆｕｌｌ", "a­b"]
 
 
-def test_words_alone_give_the_librarys_ids(library):
-    encode = token_files.encoder(MODEL)
+def test_pieces_give_the_librarys_ids(library):
     rng = random.Random(11)
     alphabet = "abcABC'ésßİΣσς019_-.<|>\n\t  ́가가数\x1c²Ⅻ"
     texts = ODD + ["".join(rng.choice(alphabet) for _ in range(rng.randrange(30))) for _ in range(4000)]
-    for text, ids in zip(texts, library(texts)):
-        assert np.frombuffer(encode.text(text), "<u4").tolist() == ids, repr(text)
+    # every character of the settled blocks, alone and between letters
+    settled = [chr(c) for c in range(0x2100) if not token_files._STRANGE(chr(c))]
+    texts += settled + [f"a{c}b{c.upper()}1{c}{c}" for c in settled]
+    texts += ["".join(rng.choice(settled) for _ in range(12)) for _ in range(4000)]
+    for batch in (1, 50, 10 ** 6):
+        got = token_files.encoded(MODEL, ((i, t) for i, t in enumerate(texts)), batch)
+        for (i, parts), ids in zip(got, library(texts), strict=True):
+            assert np.concatenate(parts).tolist() == ids, repr(texts[i])
+
+
+def test_a_full_table_forgets_and_stays_right(library, monkeypatch):
+    monkeypatch.setattr(token_files, "PIECES", 50)
+    monkeypatch.setattr(token_files, "PIECE_LENGTH", 6)
+    rng = random.Random(4)
+    texts = [" ".join("".join(rng.choice("abcdeé") for _ in range(rng.randrange(1, 9))) for _ in range(20)) for _ in range(300)]
+    fresh = token_files.PieceEncoder(MODEL)
+    for at in range(0, 300, 10):
+        ids, ends = fresh.encode(texts[at:at + 10])
+        want = library(texts[at:at + 10])
+        assert ids.tolist() == sum(want, []) and ends.tolist() == list(np.cumsum([len(w) for w in want]))
+    assert len(fresh.known) < 300
+
+
+def test_all_settled_letters_are_single_pieces(library):
+    import regex
+
+    letters = [chr(c) for c in range(0x110000) if not 0xd800 <= c < 0xe000 and not token_files._STRANGE(chr(c))]
+    strict, number = regex.compile(r"\p{L}"), regex.compile(r"\p{N}")
+    for c in letters:
+        low = c.lower()
+        assert len(low) == 1 and not token_files._STRANGE(low) or c == "\u00df", hex(ord(c))
+        assert bool(strict.match(c)) == bool(token_files.re.match(f"[{token_files.LETTERS}]", c)), hex(ord(c))
+        assert bool(number.match(c)) == c.isdecimal(), hex(ord(c))
 
 
 @pytest.mark.parametrize("kind", ["byte", "bit"])
