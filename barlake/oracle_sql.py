@@ -1,9 +1,8 @@
 """Independent DuckDB SQL for every registered result (the correctness oracle).
 
 The forms differ from the Spark plans: keep-best dedupe is ``QUALIFY row_number() = 1``;
-index anchors are joined back on their dates; spike baselines are grouped sums over a self
-join on a per-ticker row index; sector returns are products; the backtest's positional
-lookups are self joins on the row index.  Shared numeric rules: rounding through
+index anchors are joined back on their dates; spike baselines are frames of whole rows;
+sector returns are products; a trade's legs are unnested from lists over the series.  Shared numeric rules: rounding through
 ``DECIMAL(28,10)`` (half away from zero), the spike test in integers, and explicit NULL
 ordering.  Tables of the driver's test data are pre-registered views.
 """
@@ -119,13 +118,12 @@ cte("numbered", """SELECT p.ticker, p.date, p.open, p.close, p.volume,
   FROM silver p""")
 
 cte("whale_signals_history", f"""SELECT a.ticker, d.name, d.sector, a.date, a.close, a.volume,
-         {R("sum(b.volume) / count(*)", 0)} AS avg_volume_20d,
-         {R("a.volume / nullif(sum(b.volume) / count(*), 0)", 2)} AS volume_ratio
-  FROM numbered a
-  JOIN numbered b ON b.ticker = a.ticker AND b.i >= a.i - 20 AND b.i < a.i
+         {R("a.past / a.days", 0)} AS avg_volume_20d,
+         {R("a.volume / nullif(a.past / a.days, 0)", 2)} AS volume_ratio
+  FROM (SELECT ticker, date, close, volume, sum(volume) OVER w AS past, count(*) OVER w AS days
+        FROM silver WINDOW w AS (PARTITION BY ticker ORDER BY date ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING)) a
   JOIN dim d ON d.ticker = a.ticker AND d.type = 'stock'
-  GROUP BY a.ticker, d.name, d.sector, a.date, a.close, a.volume
-  HAVING a.volume * count(*) * 2 > sum(b.volume) * 5""")
+  WHERE a.days > 0 AND a.volume * a.days * 2 > a.past * 5""")
 
 cte("whale_signals", f"""SELECT * FROM whale_signals_history WHERE date BETWEEN {AS_OF} - 7 AND {AS_OF}""")
 
@@ -152,23 +150,26 @@ cte("sector_performance", f"""WITH gain AS (
          any_value(ends.bottom.t) AS worst_ticker, any_value(ends.bottom.g) AS worst_return_pct
   FROM gain JOIN ends USING (sector) GROUP BY sector""")
 
+cte("series", """SELECT ticker, date, lead(date, 1) OVER w AS entry_date, lead(open, 1) OVER w AS entry_price,
+         [{'h': 3, 'd': lead(date, 4) OVER w, 'c': lead(close, 4) OVER w},
+          {'h': 5, 'd': lead(date, 6) OVER w, 'c': lead(close, 6) OVER w},
+          {'h': 10, 'd': lead(date, 11) OVER w, 'c': lead(close, 11) OVER w}] AS exits
+  FROM silver WINDOW w AS (PARTITION BY ticker ORDER BY date)""")
+
+cte("bench", f"""SELECT date, close FROM silver WHERE ticker = {BENCH}""")
+
+
 def _trades(signals: str) -> str:
-    return f"""WITH entry AS (
-    SELECT s.ticker, s.sector, s.signal_date, e.date AS entry_date, e.open AS entry_price, e.i
-    FROM ({signals}) s
-    JOIN numbered p ON p.ticker = s.ticker AND p.date = s.signal_date
-    JOIN numbered e ON e.ticker = p.ticker AND e.i = p.i + 1
-    WHERE e.open > 0),
-  legs AS (
-    SELECT en.*, h.hold_days, x.date AS exit_date, x.close AS exit_price
-    FROM entry en, (VALUES (3), (5), (10)) h(hold_days), numbered x
-    WHERE x.ticker = en.ticker AND x.i = en.i + h.hold_days AND x.close > 0),
+    return f"""WITH legs AS (
+    SELECT s.ticker, s.sector, s.signal_date, p.entry_date, p.entry_price, unnest(p.exits) AS x
+    FROM ({signals}) s JOIN series p ON p.ticker = s.ticker AND p.date = s.signal_date
+    WHERE p.entry_price > 0),
   t AS (
-    SELECT l.*, (l.exit_price - l.entry_price) / l.entry_price * 100 AS ret,
+    SELECT l.ticker, l.sector, l.signal_date, l.entry_date, l.entry_price, l.x.h AS hold_days, l.x.d AS exit_date,
+           l.x.c AS exit_price, (l.x.c - l.entry_price) / l.entry_price * 100 AS ret,
            CASE WHEN be.close > 0 THEN (bx.close - be.close) / be.close * 100 END AS bret
-    FROM legs l
-    LEFT JOIN silver be ON be.ticker = {BENCH} AND be.date = l.entry_date
-    LEFT JOIN silver bx ON bx.ticker = {BENCH} AND bx.date = l.exit_date)
+    FROM legs l LEFT JOIN bench be ON be.date = l.entry_date LEFT JOIN bench bx ON bx.date = l.x.d
+    WHERE l.x.c > 0)
   SELECT ticker, sector, signal_date, entry_date, {R("entry_price", 4)} AS entry_price,
          exit_date, {R("exit_price", 4)} AS exit_price, CAST(hold_days AS INTEGER) AS hold_days,
          {R("ret", 4)} AS return_pct, {R("bret", 4)} AS bench_return_pct,
@@ -324,6 +325,55 @@ cte("bronze_round_trip", """SELECT "Ticker", count(*) AS bars, CAST(min("Date")
 
 cte("silver_view", """SELECT ticker, count(*) AS bars, max(date) AS last_date FROM silver GROUP BY ticker""")
 
+# ------------------------------------------------------------------ landed files
+_SECTORS = """(VALUES ('AMERICA', 'Information Technology', 'Technology', 'XLK'), ('MIDDLE EAST', 'Financials', 'Financial', 'XLF'),
+          ('EUROPE', 'Health Care', 'Healthcare', 'XLV'), ('ASIA', 'Consumer Discretionary', 'Consumer', 'XLY'),
+          ('AFRICA', 'Energy', 'Energy', 'XLE')) m(region, source_sector, label, etf)"""
+
+cte("landed_holdings", f"""SELECT CASE WHEN s.s_acctbal >= -500 THEN {_SYMBOL} END AS "Ticker",
+         CASE WHEN s.s_acctbal < 9000 THEN s.s_name || ', "' || n.n_name || '"' END AS "Name",
+         CASE WHEN r.r_name <> 'ASIA' THEN s.s_acctbal END AS "Weight", m.etf,
+         CAST(row_number() OVER (PARTITION BY m.etf, s.s_suppkey // 1000 ORDER BY s.s_acctbal DESC, s.s_suppkey) - 1 AS INTEGER) AS line
+  FROM {SUPPLIER_REGION} JOIN {_SECTORS} ON m.region = r.r_name
+  WHERE r.r_name IN ('AMERICA', 'ASIA', 'AFRICA')""")
+
+cte("rejected_sheets", f"""SELECT m.etf, CASE r.r_name WHEN 'EUROPE' THEN 'unbalanced quote' ELSE 'no column Ticker' END AS reason,
+         count(DISTINCT s.s_suppkey // 1000) AS sheets
+  FROM {SUPPLIER_REGION} JOIN {_SECTORS} ON m.region = r.r_name
+  WHERE r.r_name IN ('EUROPE', 'MIDDLE EAST') GROUP BY ALL""")
+
+cte("landed_dimension", f"""WITH prim AS (
+    SELECT h."Ticker" AS ticker, coalesce(h."Name", '') AS name, m.label AS sector, 'US' AS market, 'stock' AS type,
+           'spdr' AS source, h.etf
+    FROM landed_holdings h JOIN {_SECTORS} ON m.etf = h.etf
+    WHERE regexp_matches(h."Ticker", '^[A-Z]{{1,5}}$')
+    QUALIFY row_number() OVER (PARTITION BY h.etf ORDER BY h."Weight" DESC NULLS LAST, h.line, h."Ticker") <= 5),
+  fb AS (
+    SELECT replace(x.symbol, '.', '-') AS ticker, x.s_name AS name, x.label AS sector, 'US' AS market, 'stock' AS type,
+           'wikipedia_sp500' AS source, x.etf
+    FROM (SELECT {_SYMBOL} AS symbol, s.s_name, m.label, m.etf
+          FROM {SUPPLIER_REGION} JOIN {_SECTORS} ON m.region = r.r_name) x
+    WHERE x.etf NOT IN (SELECT etf FROM landed_holdings)
+    QUALIFY row_number() OVER (PARTITION BY x.etf ORDER BY x.symbol) <= 5)
+  SELECT ticker, name, CAST(NULL AS VARCHAR) AS sector, market, 'index' AS type, 'manual' AS source, CAST(NULL AS VARCHAR) AS etf
+  FROM (VALUES ('^GSPC', 'S&P 500', 'US'), ('^FCHI', 'CAC 40', 'FR'), ('^FTSE', 'FTSE 100', 'UK'),
+               ('^N225', 'Nikkei 225', 'JP'), ('^BSESN', 'Sensex', 'IN')) i(ticker, name, market)
+  UNION ALL SELECT * FROM prim UNION ALL SELECT * FROM fb""")
+
+cte("landed_volatile_pick", "SELECT * FROM volatile_pick")
+
+cte("feed_header", """SELECT ticker, CAST(1 AS BIGINT) AS files, CAST(5 AS BIGINT) AS metrics, CAST(5 AS BIGINT) AS columns FROM dim""")
+
+cte("landed_news_status", """SELECT t.ticker, coalesce(c.n_rows, 0) AS n_rows,
+         CASE WHEN c.n_rows IS NULL THEN 'absent or empty' WHEN c.n_cut > 0 THEN 'malformed line' END AS reason
+  FROM (SELECT DISTINCT 'src' || CAST(p_size // 3 AS VARCHAR) AS ticker FROM part) t
+  LEFT JOIN (SELECT source AS ticker, count(*) AS n_rows, count(*) FILTER (WHERE source = 'src11' AND lang = 'de') AS n_cut
+             FROM documents WHERE source <> 'src7' GROUP BY source) c USING (ticker)""")
+
+cte("landed_news", """SELECT doc_id, CASE WHEN source <> 'src2' THEN lang END AS lang,
+         CASE WHEN source = 'src4' THEN n_chars END AS n_chars, text, source AS ticker
+  FROM documents WHERE source IN (SELECT ticker FROM landed_news_status WHERE reason IS NULL)""")
+
 # which CTEs each result needs (transitively resolved below)
 DEPS: dict[str, tuple[str, ...]] = {
     "raw": (), "silver": ("raw",), "dim": (),
@@ -333,10 +383,10 @@ DEPS: dict[str, tuple[str, ...]] = {
     "sector_top_movers": ("silver", "dim"),
     "numbered": ("silver",),
     "whale_signals": ("whale_signals_history",),
-    "whale_signals_history": ("numbered", "dim"),
+    "whale_signals_history": ("silver", "dim"), "series": ("silver",), "bench": ("silver",),
     "sector_performance": ("numbered", "dim"),
-    "backtest_trades": ("silver", "numbered", "whale_signals_history"),
-    "backtest_given_signals": ("silver", "numbered", "whale_signals_history"),
+    "backtest_trades": ("series", "bench", "whale_signals_history"),
+    "backtest_given_signals": ("series", "bench", "whale_signals_history"),
     "backtest_summary": ("backtest_trades",),
     "backtest_top_trades": ("backtest_trades",),
     "signals_in_range": ("whale_signals_history",),
@@ -353,6 +403,9 @@ DEPS: dict[str, tuple[str, ...]] = {
     "tickers_csv": ("ticker_dimension",),
     "bronze_round_trip": ("raw",),
     "silver_view": ("silver",),
+    "landed_holdings": (), "rejected_sheets": (), "landed_dimension": ("landed_holdings",),
+    "landed_volatile_pick": ("volatile_pick",), "feed_header": ("dim",),
+    "landed_news_status": (), "landed_news": ("landed_news_status",),
 }
 
 
@@ -381,7 +434,8 @@ RESULTS = ("stg_stock_prices", "daily_returns", "index_performance", "top_movers
            "backtest_trades", "backtest_summary", "backtest_top_trades", "quality_report",
            "ticker_dimension", "volatile_pick", "analyst_pick", "ingest_universe",
            "wide_to_long", "news_snapshot", "signals_in_range", "backtest_given_signals",
-           "tickers_csv", "bronze_round_trip", "silver_view")
+           "tickers_csv", "bronze_round_trip", "silver_view", "feed_header", "landed_holdings",
+           "rejected_sheets", "landed_dimension", "landed_volatile_pick", "landed_news", "landed_news_status")
 
 ORACLE_SQL: dict[str, str] = {
     n: (query("silver") if n == "stg_stock_prices" else query(n)) for n in RESULTS

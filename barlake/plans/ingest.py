@@ -8,8 +8,6 @@ wide -> long reshaping with the rolling 2-year window, and the news snapshot.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +20,9 @@ from barlake.functions import dot_to_dash, parse_magnitude, parse_percent, symbo
 from barlake.operators.dedupe import first_by_priority
 from barlake.operators.reshape import wide_cells_to_long, wide_to_long
 from barlake.operators.topk import top_k, top_k_per_group
+from barlake.operators.unions import union_all
 from barlake.plans.marts import as_of_col
+from barlake.sources import feeds
 
 METRICS = ("Open", "High", "Low", "Close", "Volume")
 DIM_COLUMNS = ("ticker", "name", "sector", "market", "type", "source", "etf")
@@ -48,7 +48,9 @@ def default_sector_map(spark: SparkSession) -> DataFrame:
 def fund_holdings_rows(holdings: DataFrame, n: int = PER_SOURCE_N) -> DataFrame:
     """Top n equity holdings per fund by weight (primary source)."""
     h = strip_headers(holdings).where(symbol_ok("Ticker"))
-    top = top_k_per_group(h, "etf", n, [F.col("Weight").desc_nulls_last(), F.col("Ticker")])
+    # without weights, the order of the sheet counts
+    place = [F.col("line")] if "line" in h.columns else []
+    top = top_k_per_group(h, "etf", n, [F.col("Weight").desc_nulls_last(), *place, F.col("Ticker")])
     return top.select(F.col("Ticker").alias("ticker"),
                       F.coalesce(F.col("Name"), F.lit("")).alias("name"),
                       F.col("label").alias("sector"), F.lit(STOCK_MARKET).alias("market"),
@@ -65,12 +67,21 @@ def membership_rows(membership: DataFrame, sector_map: DataFrame, n: int = PER_S
                       F.lit("stock").alias("type"), F.lit(SOURCE_MEMBERSHIP).alias("source"), "etf")
 
 
+def labelled(holdings: DataFrame, sector_map: DataFrame) -> DataFrame:
+    """Holdings with the label of their fund."""
+    return holdings.join(sector_map.select("etf", "label"), "etf")
+
+
 def ticker_dimension(holdings: DataFrame, membership: DataFrame, sector_map: DataFrame,
-                     index_rows: DataFrame, n: int = PER_SOURCE_N) -> DataFrame:
+                     index_rows: DataFrame, n: int = PER_SOURCE_N, delivered: DataFrame | None = None) -> DataFrame:
     """Index rows, then per fund the primary holdings, or the fallback list when the
-    fund's sheet is missing (J10: anti join on the funds that delivered a sheet)."""
+    fund's sheet is missing (J10: anti join on the funds that delivered a sheet).
+
+    ``delivered`` (etf): the funds with a readable sheet, as ``sheets.delivered`` has them;
+    by default those with a holding."""
     primary = fund_holdings_rows(holdings, n)
-    delivered = strip_headers(holdings).select("etf").distinct()
+    if delivered is None:
+        delivered = strip_headers(holdings).select("etf").distinct()
     fallback = membership_rows(membership, sector_map, n).join(delivered, "etf", "left_anti")
     return (index_rows.select(*DIM_COLUMNS)
             .unionByName(primary.select(*DIM_COLUMNS))
@@ -120,6 +131,14 @@ def long_prices(wide: DataFrame, metrics: tuple[str, ...] = METRICS, as_of=None,
     return _window(wide_to_long(wide, "Date", metrics), as_of, months)
 
 
+def long_prices_of_feed(spark: SparkSession, path: str, layout: DataFrame | None = None, as_of=None,
+                        months: int = INGEST_MONTHS) -> DataFrame:
+    """The same for a feed landed as wide two-level files (``sources.feeds``)."""
+    a = as_of_col(as_of)
+    types = {f.name: f.dataType.simpleString() for f in schemas.RAW_PRICES if f.name in METRICS}
+    return feeds.read_wide_feed(spark, path, types, (F.col("Date") >= F.add_months(a, -months)) & (F.col("Date") < a), layout)
+
+
 def long_prices_of_cells(wide: DataFrame, tickers: list[str], metrics: tuple[str, ...] = METRICS,
                          as_of=None, months: int = INGEST_MONTHS) -> DataFrame:
     """The same for a feed of one map of cells per date and its header's ticker list; days
@@ -135,9 +154,9 @@ def as_bronze(long: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- G17 news snapshot
 def tag_news(frames: dict[str, DataFrame]) -> DataFrame:
-    """The frames of several tickers as one, each row tagged with its ticker."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
-                  [df.withColumn("ticker", F.lit(t)) for t, df in frames.items()])
+    """Frames at hand of several tickers as one, each row tagged with its ticker
+    (landed files: ``sources.news``, one scan).  A balanced tree of unions."""
+    return union_all([df.withColumn("ticker", F.lit(t)) for t, df in frames.items()])
 
 
 def news_snapshot(news: DataFrame, coverage: DataFrame, tickers: DataFrame) -> DataFrame:

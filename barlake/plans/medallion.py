@@ -55,8 +55,7 @@ def build_gold(spark: SparkSession, raw: DataFrame, tickers: DataFrame, root: st
         "sector_performance": analysis.sector_performance(returns, tickers, as_of),
     }
     for name, df in gold.items():
-        files.write_table(df, f"{root}/gold/{name}")
-        out[name] = spark.read.schema(df.schema).parquet(f"{root}/gold/{name}")
+        out[name] = files.write_table(df, f"{root}/gold/{name}")
 
     trades_obs = Observation("trades")
     trades = backtest.backtest_trades(out["whale_signals_history"], s, benchmark, start=signal_start, end=signal_end)
@@ -70,14 +69,13 @@ def build_gold(spark: SparkSession, raw: DataFrame, tickers: DataFrame, root: st
         metrics["signals"] = hist.count()
         metrics["signal_tickers"] = hist.select("ticker").distinct().count()
     if wrote:
-        t = spark.read.parquet(f"{root}/gold/backtest_trades")
+        t = files.read_table(spark, f"{root}/gold/backtest_trades")
         out["backtest_trades"] = t
         out["backtest_summary"] = backtest.backtest_summary(t)
         out["backtest_top_trades"] = backtest.backtest_top_trades(t)
 
     report = quality.quality_report({**out, "tickers": tickers})
-    files.write_table(report, f"{root}/quality/report")
-    out["quality_report"] = spark.read.parquet(f"{root}/quality/report")
+    out["quality_report"] = files.write_table(report, f"{root}/quality/report")
     return out
 
 
@@ -108,5 +106,5 @@ def ingest(spark: SparkSession, root: str, *, holdings: DataFrame, membership: D
     if news is not None:
         snap = ing.news_snapshot(news, coverage, volatile)
         if files.write_if_not_empty(snap, f"{root}/bronze/ticker_news_raw"):
-            out["ticker_news_raw"] = spark.read.parquet(f"{root}/bronze/ticker_news_raw")
+            out["ticker_news_raw"] = files.read_table(spark, f"{root}/bronze/ticker_news_raw")
     return out

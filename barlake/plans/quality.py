@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barlake.fixed import KNOWN_MARKETS, TICKER_TYPES
-
+from barlake.operators.unions import union_all
 
 
 def _row(df_one_value: DataFrame, table: str, check: str, columns: str) -> DataFrame:
@@ -84,15 +84,5 @@ def quality_report(t: dict[str, DataFrame]) -> DataFrame:
     return union_all(checks)
 
 
-def union_all(dfs: Sequence[DataFrame]) -> DataFrame:
-    """UNION ALL by name as a balanced tree: each binary union re-analyses its inputs, so
-    a left-deep chain of n checks costs O(n^2) driver time, a tree O(n log n)."""
-    dfs = list(dfs)
-    while len(dfs) > 1:
-        dfs = [dfs[i].unionByName(dfs[i + 1]) if i + 1 < len(dfs) else dfs[i]
-               for i in range(0, len(dfs), 2)]
-    return dfs[0]
-
-
 def failed(report: DataFrame) -> DataFrame:
     return report.where(F.col("failures") > 0)

@@ -15,11 +15,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barlake import schemas
 from barlake.plans import analysis, backtest, ingest, marts, quality, silver
 from barlake.session import app_id, checkpoint_dir
-from barlake.sources import files
+from barlake.sources import feeds, files, news, sheets
 from barlake.sources import testdata as td
 
 # Fixed values of the registered runs.
@@ -46,11 +47,7 @@ def _lake(spark: SparkSession, d: str, name: str, write: Callable[[str], DataFra
 
 
 def _table(spark, d, name, build: Callable[[], DataFrame]) -> DataFrame:
-    def write(path: str) -> DataFrame:
-        df = build()
-        files.write_table(df, path)
-        return spark.read.schema(df.schema).parquet(path)
-    return _lake(spark, d, name, write)
+    return _lake(spark, d, name, lambda path: files.write_table(build(), path))
 
 
 def _silver(spark: SparkSession, d: str) -> DataFrame:
@@ -172,10 +169,92 @@ def q_ingest_universe(spark, d):
     return ingest.ingest_universe(_dim(spark, d), q_volatile_pick(spark, d), q_analyst_pick(spark, d))
 
 
+def _landed(spark, d, name, text: Callable[[], DataFrame], key: str) -> str:
+    """Folder of landed text files, one file (or a few) per ``key``."""
+    def write(path: str) -> DataFrame:
+        text().repartition(key).write.partitionBy(key).text(path)
+        return spark.createDataFrame([(path,)], "path string")
+    return _lake(spark, d, name, write).first().path
+
+
+def _feed(spark, d) -> str:
+    return _landed(spark, d, "price_feed", lambda: td.feed_files(spark, d, _silver(spark, d), _dim(spark, d)), "block")
+
+
+def _feed_layout(spark, d):
+    """The positions of the feed's tickers, kept as a table beside the feed."""
+    return _table(spark, d, "price_feed_layout", lambda: feeds.feed_layout(
+        feeds.feed_header(feeds.feed_lines(spark, _feed(spark, d))), ingest.METRICS))
+
+
 def q_wide_to_long(spark, d):
-    # the feed's header, as the columns of a wide sheet are known to whoever reads it
-    header = [r.ticker for r in _dim(spark, d).select("ticker").collect()]
-    return ingest.long_prices_of_cells(td.price_feed(_silver(spark, d)), header, as_of=AS_OF)
+    """The feed's wide files, unfolded."""
+    long = ingest.long_prices_of_feed(spark, _feed(spark, d), _feed_layout(spark, d), as_of=AS_OF)
+    return long.withColumn("Date", F.col("Date").cast("date"))
+
+
+def q_feed_header(spark, d):
+    """The two-level header as data: how many files have a ticker, and in how many metrics."""
+    header = feeds.feed_header(feeds.feed_lines(spark, _feed(spark, d)))
+    return header.groupBy("ticker").agg(F.countDistinct("file").alias("files"), F.countDistinct("metric").alias("metrics"),
+                                        F.countDistinct("position").alias("columns"))
+
+
+def _sheets(spark, d):
+    return sheets.read_sheets(spark, _landed(spark, d, "fund_sheets", lambda: td.fund_sheets(spark, d), "etf"))
+
+
+def q_landed_holdings(spark, d):
+    """The holdings of all sheets that can be read."""
+    return sheets.holdings(_sheets(spark, d))
+
+
+def q_rejected_sheets(spark, d):
+    """The sheets set aside, by fund and reason."""
+    return sheets.rejected(_sheets(spark, d)).groupBy("etf", "reason").agg(F.count("*").alias("sheets"))
+
+
+def _csv(spark, d, name, build) -> str:
+    def write(path: str) -> DataFrame:
+        build().write.option("header", True).csv(path)
+        return spark.createDataFrame([(path,)], "path string")
+    return _lake(spark, d, name, write).first().path
+
+
+def q_landed_dimension(spark, d):
+    """G12 from files: sheets (S7), the membership list (S8), the default index rows (P5) and
+    sector map (P6); funds without a readable sheet fall back (J10)."""
+    found, sectors = _sheets(spark, d), ingest.default_sector_map(spark)
+    members = files.read_membership(spark, _csv(spark, d, "membership", lambda: td.member_list(spark, d)))
+    return ingest.ticker_dimension(ingest.labelled(sheets.holdings(found), sectors), members, sectors,
+                                   ingest.default_index_rows(spark), delivered=sheets.delivered(found))
+
+
+def q_landed_volatile_pick(spark, d):
+    """G13 from the landed screener file."""
+    rows = files.read_screener(spark, _csv(spark, d, "screener", lambda: td.screener(spark, d)))
+    return ingest.volatile_pick(rows, (td.SCREEN_A, td.SCREEN_B))
+
+
+def _news_lines(spark, d):
+    path = _landed(spark, d, "news", lambda: td.news_files(spark, d), "ticker")
+    return path, news.tagged_lines(spark, path, T.StructType.fromDDL(td.NEWS_SCHEMA))
+
+
+def q_landed_news(spark, d):
+    """The news of the desks that cover a ticker, from their files."""
+    path, lines = _news_lines(spark, d)
+    return news.usable_news(lines, _news_status(spark, d))
+
+
+def _news_status(spark, d):
+    path, lines = _news_lines(spark, d)
+    return _table(spark, d, "news_status", lambda: news.news_status(spark, path, lines, td.desks(spark, d)))
+
+
+def q_landed_news_status(spark, d):
+    """Which desks' files could be used, and why not."""
+    return _news_status(spark, d)
 
 
 def q_news_snapshot(spark, d):
@@ -233,4 +312,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tickers_csv": q_tickers_csv,
     "bronze_round_trip": q_bronze_round_trip,
     "silver_view": q_silver_view,
+    "feed_header": q_feed_header,
+    "landed_holdings": q_landed_holdings,
+    "rejected_sheets": q_rejected_sheets,
+    "landed_dimension": q_landed_dimension,
+    "landed_volatile_pick": q_landed_volatile_pick,
+    "landed_news": q_landed_news,
+    "landed_news_status": q_landed_news_status,
 }

@@ -1,27 +1,30 @@
-"""Scans (S1, S2) and sinks (K1-K6) over a shared filesystem / object store.
+"""Scans (S1, S2, S8, S9) and sinks (K1-K6) over a shared filesystem / object store.
 
-Every write is an overwrite of a whole table: the reference rebuilds each table on
-each run.  Writers never collect; the "skip when empty" sinks use ``isEmpty()``,
-which stops at the first row.
+Every write replaces a whole table, as a new snapshot that becomes the current one when it
+is complete (``sources.snapshots``).  Writers never collect; the "skip when empty" sinks
+use ``isEmpty()``, which stops at the first row.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake import schemas
+from barlake.sources import sheets, snapshots
 
 
 def read_tickers_csv(spark: SparkSession, path: str) -> DataFrame:
     """Header CSV with the 7 dimension columns; empty cells load as NULL."""
     return (spark.read.schema(schemas.TICKERS).option("header", True)
-            .option("nullValue", "").option("emptyValue", None).csv(path))
+            .option("nullValue", "").option("emptyValue", None).csv(snapshots.location(spark, path)))
 
 
 def read_raw_prices(spark: SparkSession, path: str) -> DataFrame:
     """Raw price table (parquet) with NaN cells mapped to NULL at the boundary."""
-    return normalize_raw(spark.read.schema(schemas.RAW_PRICES).parquet(path))
+    return normalize_raw(spark.read.schema(schemas.RAW_PRICES).parquet(snapshots.location(spark, path)))
 
 
 def normalize_raw(raw: DataFrame) -> DataFrame:
@@ -32,12 +35,15 @@ def normalize_raw(raw: DataFrame) -> DataFrame:
     return out
 
 
-def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
-    """K1 / K6: full replace of a table."""
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """K1 / K6: full replace of a table; returns it as read back.  ``df`` may read the table
+    itself; if the write fails, the table is as it was."""
+    return snapshots.replace_table(df, path, partition_by)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The current snapshot of a written table."""
+    return spark.read.parquet(snapshots.location(spark, path))
 
 
 def write_if_not_empty(df: DataFrame, path: str, observation=None, *metrics) -> bool:
@@ -59,8 +65,8 @@ def write_tickers_csv(dim: DataFrame, path: str) -> None:
     output file is fine.
     """
     ordered = dim.orderBy(F.when(F.col("type") == "index", 0).otherwise(1), "etf", "ticker")
-    (ordered.coalesce(1).write.mode("overwrite").option("header", True)
-     .option("emptyValue", "").csv(path))
+    snapshots.replace(dim.sparkSession, path, lambda folder: ordered.coalesce(1).write.option("header", True)
+                      .option("emptyValue", "").csv(folder))
 
 
 def write_bucketed_table(df: DataFrame, name: str, path: str, key: str,
@@ -73,20 +79,22 @@ def write_bucketed_table(df: DataFrame, name: str, path: str, key: str,
     executor re-reads files instead of recomputing the upstream plan.
     """
     spark = df.sparkSession
+    version = f"{name}_{uuid.uuid4().hex}"
+
     # one task per bucket (same hash as the bucket id), so each bucket is one file
     # instead of one file per writing task and bucket; a failed write surfaces
-    (df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(*sort_by)
-     .option("path", path).saveAsTable(name))
-    return spark.table(name)
+    (df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(*sort_by)
+     .option("path", f"{path}/{version}").saveAsTable(version))
+    for old in snapshots.publish(spark, path, version):
+        spark.sql(f"DROP TABLE IF EXISTS {old}")
+    return spark.table(version)
 
 
 def write_by_month(df: DataFrame, path: str) -> DataFrame:
     """Write a dated table partitioned by calendar month and read it back; AQE splits a
     month that outgrows a task.  ``month_slice`` prunes the scan of such a table."""
-    spark = df.sparkSession
     dated = df.withColumn("month", F.date_format("date", "yyyy-MM"))
-    dated.hint("rebalance", "month").write.mode("overwrite").partitionBy("month").parquet(path)
-    return spark.read.schema(dated.schema).parquet(path)
+    return write_table(dated.hint("rebalance", "month"), path, ("month",))
 
 
 def month_slice(df: DataFrame, first: Column, last: Column) -> DataFrame:
@@ -97,25 +105,9 @@ def month_slice(df: DataFrame, first: Column, last: Column) -> DataFrame:
     return df.where(F.col("month").between(F.date_format(first, "yyyy-MM"), F.date_format(last, "yyyy-MM"))).drop("month")
 
 
-def read_holdings(spark: SparkSession, path: str, preamble: int = 4) -> DataFrame:
-    """A landed holdings sheet as CSV: ``preamble`` metadata rows, a header, rows.
-
-    The preamble is found by its line number within the file, so sheets are read as whole
-    files (a sheet lists one fund); column names are trimmed by ``ingest.strip_headers``.
-    """
-    sheets = spark.read.text(path, wholetext=True).select(
-        F.upper(F.element_at(F.split(F.input_file_name(), "[/.]"), -2)).alias("etf"),
-        F.split("value", "\r?\n").alias("lines"))
-    body = sheets.select("etf", F.element_at("lines", preamble + 1).alias("header"),
-                         F.explode(F.slice("lines", preamble + 2, F.size("lines"))).alias("line"))
-    order = F.transform(F.split("header", ","), lambda c: F.trim(c))
-    cells = F.from_csv("line", "a string, b string, c string")
-
-    def named(name: str) -> Column:
-        return F.trim(F.element_at(F.array("x.a", "x.b", "x.c"), F.array_position(order, name).cast("int")))
-    return (body.where(F.trim("line") != "").withColumn("x", cells)
-            .select(named("Ticker").alias("Ticker"), named("Name").alias("Name"),
-                    named("Weight").try_cast("double").alias("Weight"), "etf"))
+def read_holdings(spark: SparkSession, path: str, preamble: int = sheets.PREAMBLE) -> DataFrame:
+    """The holdings of landed fund sheets (``sources.sheets``)."""
+    return sheets.holdings(sheets.read_sheets(spark, path, preamble)).drop("line")
 
 
 def read_membership(spark: SparkSession, path: str) -> DataFrame:

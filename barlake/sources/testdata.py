@@ -18,9 +18,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.fixed import SOURCE_HOLDINGS, SOURCE_MANUAL, STOCK_MARKET
+from barlake.fixed import SECTOR_MAP, SOURCE_HOLDINGS, SOURCE_MANUAL, STOCK_MARKET
 from barlake.operators.reshape import long_to_cells
 from barlake.plans.ingest import METRICS
+from barlake.sources.feeds import DATE_ROW, METRIC_ROW, TICKER_ROW
 
 # Fixed values of the mapping.
 BENCHMARK = "^AMERICA"
@@ -41,6 +42,17 @@ SCREEN_A, SCREEN_B = "S&P 500", "NASDAQ 100"
 INDEX_A_SIZE, INDEX_B_PRICE = 10, 950.0
 STRONG_BUY, HOLD = "Strong Buy (1)", "Hold (3)"
 STRONG_BUY_BRANDS = ["Brand#1", "Brand#10"]
+# Landed sheets: the row of the sector map that a region stands for, holdings of a sheet at
+# most, and the regions with a peculiar sheet (one has a sheet of names and weights alone).
+REGION_SECTOR = {"AMERICA": 0, "MIDDLE EAST": 1, "EUROPE": 2, "ASIA": 3, "AFRICA": 4}
+SHEET_ROWS = 1000
+NARROW_REGION, WEIGHTLESS_REGION, BROKEN_REGION, NAMES_ONLY_REGION = "AFRICA", "ASIA", "EUROPE", "MIDDLE EAST"
+# Landed price feed: tickers of a file at most.
+FEED_TICKERS = 100
+# Landed news: desks without a file, with lines cut off (those of a language), without the
+# language, and with the length.
+NO_FILE, CUT_OFF, CUT_LANG, NO_LANG, WITH_LENGTH = "src7", "src11", "de", "src2", "src4"
+NEWS_SCHEMA = "doc_id bigint, lang string, n_chars bigint, text string"
 
 
 # Columns of the test tables that this mapping reads (explicit schema: no footer
@@ -222,3 +234,84 @@ def given_signals(spark: SparkSession, sf_dir: str, history: DataFrame) -> DataF
                           F.concat(F.lit("X"), F.col("s_suppkey").cast("string")))).alias("ticker"),
         F.lit(CALL_DATE).cast("date").alias("signal_date"), F.col("r_name").alias("sector"))
     return history.select("ticker", F.col("date").alias("signal_date"), "sector").unionByName(calls)
+
+
+# ------------------------------------------------------------------- landed files
+def _of_region(pick: int) -> Column:
+    """A field of the sector map's row of a region."""
+    m = F.create_map(*[F.lit(x) for region, i in REGION_SECTOR.items() for x in (region, SECTOR_MAP[i][pick])])
+    return m[F.col("r_name")]
+
+
+def fund_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sheets as text (etf, value): suppliers by balance, in the fund of their region, at most
+    ``SHEET_ROWS`` a sheet.  Six columns with quoted names; one region has three, in another
+    order and with other line ends, one lacks the weights, one has a quote too many, and one
+    lists names and weights alone."""
+    sr = _supplier_region(spark, sf_dir, "s_name", "s_acctbal")
+    balance, weight = F.col("s_acctbal"), F.col("s_acctbal").cast("string")
+    symbol = F.coalesce(F.when(balance >= SYMBOLLESS_BALANCE, _symbol()), F.lit(""))
+    name = F.when(balance < NAMELESS_BALANCE, F.concat(F.lit('"'), F.col("s_name"), F.lit(', ""'), F.col("n_name"), F.lit('"""')))
+    name = F.coalesce(name, F.lit(""))
+    key, region = F.col("s_suppkey").cast("string"), F.col("r_name")
+    line = (F.when(region == NARROW_REGION, F.concat_ws(" , ", symbol, name, weight))
+            .when(region == WEIGHTLESS_REGION, F.concat_ws(",", name, symbol, key, F.lit(""), region))
+            .when(region == NAMES_ONLY_REGION, F.concat_ws(",", name, weight))
+            .otherwise(F.concat_ws(",", name, symbol, key, F.lit(""), weight, region)))
+    header = (F.when(region == NARROW_REGION, " Ticker , Name , Weight ")
+              .when(region == WEIGHTLESS_REGION, "Name,Ticker,Identifier,SEDOL,Sector")
+              .when(region == NAMES_ONLY_REGION, "Name,Weight")
+              .otherwise("Name,Ticker,Identifier,SEDOL,Weight,Sector"))
+    title = F.when(region == BROKEN_REGION, F.lit('Fund "A')).otherwise(F.lit("Fund"))
+    rows = sr.select(_of_region(2).alias("etf"), "r_name", F.floor(F.col("s_suppkey") / SHEET_ROWS).alias("volume"),
+                     (-balance).alias("_order"), "s_suppkey", line.alias("line"), header.alias("header"), title.alias("title"))
+    sheets = rows.groupBy("etf", "r_name", "volume", "header", "title").agg(
+        F.sort_array(F.collect_list(F.struct("_order", "s_suppkey", "line"))).alias("lines"))
+    end = F.when(region == NARROW_REGION, F.lit("\r\n")).otherwise(F.lit("\n"))
+    parts = F.concat(F.array("title", F.lit("Holdings:"), F.lit("As of, today"), F.lit(""), "header"), F.col("lines.line"))
+    return sheets.select("etf", F.array_join(parts, "\x1f").alias("value"), end.alias("end")).select(
+        "etf", F.concat(F.replace("value", F.lit("\x1f"), F.col("end")), F.col("end")).alias("value"))
+
+
+def member_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The membership list by the names of the sector map."""
+    return _supplier_region(spark, sf_dir, "s_name").select(
+        _symbol().alias("Symbol"), F.col("s_name").alias("Security"), _of_region(0).alias("GICS Sector"))
+
+
+def feed_files(spark: SparkSession, sf_dir: str, silver: DataFrame, dim: DataFrame) -> DataFrame:
+    """The price feed as lines of wide files (block, value): every date of Silver with the
+    tickers of the block, at most ``FEED_TICKERS``; the cells of a missing bar are empty."""
+    number = F.substring("ticker", 2, 20).try_cast("bigint")
+    placed = dim.select("ticker", F.coalesce(F.floor(number / FEED_TICKERS) + 1, F.lit(0)).alias("block"))
+    blocks = placed.groupBy("block").agg(F.sort_array(F.collect_list("ticker")).alias("tickers"))
+    heads = blocks.select("block", F.explode(F.array(
+        F.concat_ws(",", F.lit(METRIC_ROW), *[F.array_repeat(F.lit(m), F.size("tickers")) for m in METRICS]),
+        F.concat_ws(",", F.lit(TICKER_ROW), F.flatten(F.array_repeat("tickers", len(METRICS)))),
+        F.concat_ws(",", F.lit(DATE_ROW), F.array_repeat(F.lit(""), F.size("tickers") * len(METRICS))))).alias("value"))
+    cells = (silver.join(placed, "ticker").groupBy("block", "date").agg(F.map_from_entries(F.collect_list(F.struct(
+        F.col("ticker").alias("key"), F.struct(*[F.col(m.lower()).alias(m) for m in METRICS]).alias("value")))).alias("cells")))
+    last = placed.agg(F.max("block")).first()[0]
+    days = (silver.select("date").distinct().select("date", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(last or 0).cast("bigint"))).alias("block"))
+            .join(blocks, "block").join(cells, ["block", "date"], "left"))
+
+    def column(metric: str) -> Column:
+        return F.transform("tickers", lambda t: F.coalesce(
+            F.try_element_at("cells", t).getField(metric).cast("string"), F.lit("")))
+    lines = days.select("block", F.concat_ws(",", F.col("date").cast("string"), *[column(m) for m in METRICS]).alias("value"))
+    return heads.unionByName(lines)
+
+
+def news_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """News as JSON lines (ticker, value), by desk; columns differ, and some lines are cut off."""
+    source = F.col("source")
+    row = F.to_json(F.struct("doc_id", F.when(source != NO_LANG, F.col("lang")).alias("lang"),
+                             F.when(source == WITH_LENGTH, F.col("n_chars")).alias("n_chars"), "text"))
+    cut = (source == CUT_OFF) & (F.col("lang") == CUT_LANG)
+    return news(spark, sf_dir).where(source.isNotNull() & (source != NO_FILE)).select(
+        source.alias("ticker"), F.when(cut, F.substring(row, F.lit(1), F.length(row) - 2)).otherwise(row).alias("value"))
+
+
+def desks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The desks that cover a ticker."""
+    return news_coverage(spark, sf_dir).select(F.col("source").alias("ticker")).distinct()

@@ -1,0 +1,184 @@
+"""Landed files: sheets of any width, wide feeds, news in one scan; bad files set aside."""
+
+import datetime as dt
+import json
+import re
+
+import pytest
+
+from barlake import schemas
+from barlake.fixed import PER_SOURCE_N
+from barlake.plans import ingest
+from barlake.sources import feeds, files, news, sheets
+
+TOP = "Fund\nHoldings:\nAs of, today\n\n"
+
+
+def land(folder, **texts):
+    folder.mkdir(exist_ok=True)
+    for name, text in texts.items():
+        (folder / f"holdings-daily-us-en-{name}.csv").write_bytes(text.encode("utf-8"))
+    return str(folder)
+
+
+def got(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+# ------------------------------------------------------------------------------ sheets
+SIX = TOP + """Name,Ticker,Identifier,SEDOL,Weight,Sector
+"Apple, Inc.",AAPL,037833100,2046251,9.5,Technology
+"The ""Big"" One" ,BIG,1,,8.25,-
+US DOLLAR,-,9,,0.1,
+
+Visa,V,2,,,Technology
+short,SHRT
+,,,,,
+"""
+
+
+def test_six_columns_in_the_funds_order(spark, tmp_path):
+    s = sheets.read_sheets(spark, land(tmp_path / "in", xlk=SIX))
+    rows = sorted(sheets.holdings(s).collect(), key=lambda r: r.line)
+    assert [tuple(r)[:4] for r in rows] == [
+        ("AAPL", "Apple, Inc.", 9.5, "XLK"), ("BIG", 'The "Big" One', 8.25, "XLK"), ("-", "US DOLLAR", 0.1, "XLK"),
+        ("V", "Visa", None, "XLK"), ("SHRT", "short", None, "XLK"), (None, None, None, "XLK")]
+    cells = [r.cells for r in sheets.sheet_rows(s).orderBy("line").collect()]
+    assert cells[0] == {"Name": "Apple, Inc.", "Ticker": "AAPL", "Identifier": "037833100", "SEDOL": "2046251",
+                        "Weight": "9.5", "Sector": "Technology"}
+    assert cells[4]["Weight"] is None and sheets.rejected(s).count() == 0
+
+
+def test_sheets_differ_and_bad_ones_are_set_aside(spark, tmp_path):
+    path = land(tmp_path / "in",
+                a=TOP + "Ticker , Name\r\nAAA,first\r\nBBB,second",         # no Weight, other line ends, no last one
+                b=TOP + "Name,Weight\nx,1\n",                                # no Ticker
+                c='Fund "open\n' + SIX[5:],                                  # an odd quote
+                d="Fund\n\n",                                                # no header
+                e=TOP + "Name,Ticker,Weight\n",                              # no holdings
+                f="﻿" + TOP + 'Ticker,Ticker,,Weight,Name\nFF,XX,y,3,"two\nlines"\n',
+                g=TOP + "Ticker," + ",".join(f"c{i}" for i in range(300)) + ",Weight\nGG," + "," * 300 + "7\n")
+    s = sheets.read_sheets(spark, path)
+    assert got(sheets.holdings(s).drop("line")) == [
+        ("AAA", "first", None, "A"), ("BBB", "second", None, "A"), ("FF", "two\nlines", 3.0, "F"), ("GG", None, 7.0, "G")]
+    assert got(sheets.rejected(s).drop("file")) == [("B", "no column Ticker"), ("C", "unbalanced quote"), ("D", "no header")]
+    assert got(sheets.delivered(s)) == [("A",), ("E",), ("F",), ("G",)]
+
+
+def test_funds_without_a_readable_sheet_fall_back(spark, tmp_path):
+    path = land(tmp_path / "in", xlk=SIX, xlf='"' + SIX, xle=TOP + "Name,Ticker,Weight\nCash,-,1\n",
+                xly=TOP + "Ticker,Name\nZZ,last by name\nAA,first by name\nMM,\n")
+    members = spark.createDataFrame([("JPM", "Bank", "Financials"), ("XOM", "Oil", "Energy"), ("BRK.B", "B", "Financials"),
+                                     ("UNH", "Health", "Health Care")], schemas.MEMBERSHIP)
+    s, sectors = sheets.read_sheets(spark, path), ingest.default_sector_map(spark)
+    dim = ingest.ticker_dimension(ingest.labelled(sheets.holdings(s), sectors), members, sectors,
+                                  ingest.default_index_rows(spark), n=2, delivered=sheets.delivered(s))
+    stocks = got(dim.where("type = 'stock'").select("ticker", "name", "sector", "source", "etf"))
+    assert stocks == [
+        ("AA", "first by name", "Consumer", "spdr", "XLY"),                # the sheet's order, as there are no weights
+        ("AAPL", "Apple, Inc.", "Technology", "spdr", "XLK"), ("BIG", 'The "Big" One', "Technology", "spdr", "XLK"),
+        ("BRK-B", "B", "Financial", "wikipedia_sp500", "XLF"), ("JPM", "Bank", "Financial", "wikipedia_sp500", "XLF"),
+        ("UNH", "Health", "Healthcare", "wikipedia_sp500", "XLV"),
+        ("ZZ", "last by name", "Consumer", "spdr", "XLY")]                 # the delivered fund without equities has none
+    assert dim.where("type = 'index'").count() == 5 and PER_SOURCE_N == 5
+
+
+def test_cells_of_odd_lines(spark):
+    from pyspark.sql import functions as F
+    lines = {"": [""], "a": ["a"], "a,": ["a", ""], ',"",': ["", "", ""], ' "a,b" , c ': ["a,b", "c"],
+             'x"y,z': ['x"y', "z"], '"q""q"': ['q"q'], '"' + "x" * 9000 + '",b': ["x" * 9000, "b"]}
+    df = spark.createDataFrame([(k,) for k in lines], "line string").select("line", sheets.cells(F.col("line")).alias("c"))
+    assert {r.line: r.c for r in df.collect()} == lines
+
+
+# -------------------------------------------------------------------------------- feeds
+METRICS = {"Open": "double", "Close": "double", "Volume": "bigint"}
+
+
+def test_two_level_header_is_data(spark, tmp_path):
+    (tmp_path / "one.csv").write_text("Price,Close,Close,Open,Open,Volume,Volume\nTicker,^A,B,^A,B,^A,B\nDate,,,,,,\n"
+                                      "2001-06-28,1.5,2.5,1,2,10,20.0\n2001-06-29,,,,,,\n2001-06-30 00:00:00,x,4.5,3\n")
+    (tmp_path / "two.csv").write_text("Price,Volume,Adj Close,Close\nTicker,C,C,C\nDate,,,\n2001-06-28,7,8.5,9.5\n")
+    got_ = sorted(map(tuple, feeds.read_wide_feed(spark, str(tmp_path), METRICS).collect()), key=repr)
+    d = [dt.datetime(2001, 6, x) for x in (28, 29, 30)]
+    assert got_ == sorted([
+        (d[0], "^A", 1.0, 1.5, 10), (d[0], "B", 2.0, 2.5, 20), (d[1], "^A", None, None, None), (d[1], "B", None, None, None),
+        (d[2], "^A", 3.0, None, None), (d[2], "B", None, 4.5, None), (d[0], "C", None, 9.5, 7)], key=repr)
+    lines = feeds.feed_lines(spark, str(tmp_path))
+    assert got(feeds.feed_header(lines).drop("file")) == sorted(
+        [(2, "Close", "^A"), (3, "Close", "B"), (4, "Open", "^A"), (5, "Open", "B"), (6, "Volume", "^A"),
+         (7, "Volume", "B"), (2, "Volume", "C"), (3, "Adj Close", "C"), (4, "Close", "C")], key=repr)
+
+
+def wide_file(path, tickers, days=2):
+    names = [f"T{i}" for i in range(tickers)]
+    rows = [",".join(["Price", *["Close"] * tickers, *["Open"] * tickers]), ",".join(["Ticker", *names * 2]),
+            ",".join(["Date", *[""] * 2 * tickers])]
+    rows += [f"2001-06-{d + 1:02d}," + ",".join(map(str, range(2 * tickers))) for d in range(days)]
+    path.mkdir()
+    (path / "feed.csv").write_text("\n".join(rows) + "\n")
+    return str(path)
+
+
+def test_the_plan_does_not_grow_with_the_tickers(spark, tmp_path):
+    def plan(df):
+        return re.sub(r"#\d+", "", df._jdf.queryExecution().optimizedPlan().toString())
+
+    small = feeds.read_wide_feed(spark, wide_file(tmp_path / "s", 2), METRICS)
+    large = feeds.read_wide_feed(spark, wide_file(tmp_path / "l", 30_000), METRICS)
+    assert len(plan(large)) < len(plan(small)) + 50
+    assert large.count() == 60_000
+    r = large.where("Ticker = 'T29999' and Date = timestamp_ntz'2001-06-02'").first()
+    assert (r.Close, r.Open, r.Volume) == (29_999.0, 59_999.0, None)
+
+
+def test_the_window_is_applied_before_lines_are_unfolded(spark, tmp_path):
+    path = wide_file(tmp_path / "w", 3, days=9)
+    long = ingest.long_prices_of_feed(spark, path, as_of=dt.date(2001, 6, 5), months=0)
+    assert long.count() == 0
+    long = ingest.long_prices_of_feed(spark, path, as_of=dt.date(2001, 6, 5))
+    assert long.count() == 4 * 3 and long.columns == ["Date", "Ticker", *ingest.METRICS]
+    plan = long._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("Filter")  # printed above = runs after
+    assert not ingest.as_bronze(long).where("Close is null").count()
+    files.write_table(ingest.as_bronze(long), str(tmp_path / "bronze"))
+    assert files.read_raw_prices(spark, str(tmp_path / "bronze")).count() == 12
+
+
+# --------------------------------------------------------------------------------- news
+def test_one_scan_merged_columns_and_failing_tickers(spark, tmp_path):
+    for name, lines in {"AAA": [{"Title": "a1", "Link": "l"}, {"Title": "a2", "ticker": "own"}], "BRK.B": [{"Title": "b", "Views": 3}],
+                        "CCC": [{"Title": "c1"}, '{"Title": "cut'], "EEE": [], "ZZZ": [{"Title": "z"}]}.items():
+        (tmp_path / f"{name}.json").write_text("".join((x if isinstance(x, str) else json.dumps(x)) + "\n" for x in lines))
+    (tmp_path / "GGG.json.gz").write_bytes(b"\x1f\x8b not really")
+    wanted = spark.createDataFrame([("AAA",), ("CCC",), ("DDD",), ("EEE",), ("GGG",), ("BRK.B",), ("AAA",)], "ticker string")
+    rows, status = news.read_news(spark, str(tmp_path), wanted)
+    assert got(status) == sorted([("AAA", 2, None), ("CCC", 2, "malformed line"), ("DDD", 0, "absent or empty"), ("EEE", 0, "absent or empty"),
+                                  ("GGG", 0, "unreadable"), ("BRK.B", 1, None)], key=repr)
+    assert got(rows.select("Title", "Link", "Views", "ticker")) == sorted(
+        [("a1", "l", None, "AAA"), ("a2", None, None, "AAA"), ("b", None, 3, "BRK.B")], key=repr)
+    everyone, status = news.read_news(spark, str(tmp_path))
+    assert everyone.where("ticker = 'ZZZ'").count() == 1 and status.count() == 5
+
+
+def test_many_files_are_one_plan_node(spark, tmp_path):
+    for i in range(300):
+        (tmp_path / f"T{i}.json").write_text(json.dumps({"Title": f"t{i}"}) + "\n")
+    lines = news.tagged_lines(spark, str(tmp_path), news.news_schema(spark, str(tmp_path)))
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Union" not in plan
+    assert lines.select("ticker").distinct().count() == 300
+
+
+def test_folders_name_the_ticker_too(spark, tmp_path):
+    folder = tmp_path / "ticker=%5EA"
+    folder.mkdir()
+    (folder / "part-0.txt").write_text('{"Title": "x"}\n\n')
+    rows, status = news.read_news(spark, str(tmp_path))
+    assert got(rows) == [("x", "^A")] and got(status) == [("^A", 1, None)]
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 9])
+def test_unions_are_balanced(spark, n):
+    frames = {f"T{i}": spark.createDataFrame([(i,)], f"c{i % 2} int") for i in range(n)}
+    assert sorted(r.ticker for r in ingest.tag_news(frames).collect()) == sorted(frames)
