@@ -8,13 +8,15 @@ two again; if no piece fits, the position is marked in a bitfield of failed posi
 the last piece is shortened.  Adjacent compatible pieces are the encoding that merging
 the whole word by rank would give.  Characters outside the vocabulary become byte pieces.
 
-Words and pair checks are kept per Python worker in tables that are emptied at a fixed
-number of entries.  A word's ids are decoded when it is first seen; as long as all gave
-back their words, a text's decoded form needs no second look-up.  Texts pass whole, one
-row at a time, and there is no shuffle.
+Texts are taken in batches of bounded size.  Each distinct word of a batch is encoded
+once, and its ids are decoded; a text's ids and its decoded form are put together from
+those of its words.  Recent words and pair checks are kept per Python worker in tables of
+a fixed size.  Texts pass whole, and there is no shuffle.
 
 Defined results: a null text counts as empty (no ids, empty decoded text); repeated rows
-are encoded row by row.
+are encoded row by row; no rows give no rows.  A very long text is a batch of its own.
+Other columns are ignored, whatever their names.  A model with a piece that has a mark
+after another character is refused: its words might merge.
 """
 
 from __future__ import annotations
@@ -23,17 +25,18 @@ import hashlib
 import re
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlake.llm.common import slices
+from barlake.llm.common import Recent
 
 MARK = "▁"
-CACHE_WORDS = 200_000
-CACHE_PAIRS = 200_000
-CACHED_LENGTH = 64
-_MARK = MARK.encode("utf-8")
+WORDS, WORD_BYTES = 1_000_000, 64
+PAIRS = 150_000
+BATCH = 8 << 20
 _WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
@@ -52,6 +55,8 @@ class Codec:
         self.byte_ids = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.byte_of = {i: b for b, i in enumerate(self.byte_ids)}
         self.reserved = {i for i in range(len(self.pieces)) if sp.is_control(i) or sp.is_unknown(i)}
+        if any(MARK in self.pieces[i].lstrip(MARK) for i in merged):
+            raise ValueError("pieces with a mark after another character are not supported")
         self.ids = {}
         self.automaton = ahocorasick.Automaton()
         for i in merged:
@@ -63,8 +68,7 @@ class Codec:
         # the next shorter piece (or single character) that a piece starts with
         self.shorter = {p: next((p[:n] for n in range(len(p) - 1, 0, -1) if n == 1 or p[:n] in self.ids), None)
                         for p in self.ids}
-        self.pairs: dict[tuple[str, str], bool] = {}
-        self.words = _Words(self)
+        self.pairs = Recent(lambda pair: self.merge(pair[0] + pair[1]) == list(pair), PAIRS, 2)
 
     def merge(self, text: str) -> list[str]:
         """Merge by rank, leftmost first, until no neighbours form a piece."""
@@ -80,12 +84,7 @@ class Codec:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
 
     def compatible(self, left: str, right: str) -> bool:
-        ok = self.pairs.get((left, right))
-        if ok is None:
-            if len(self.pairs) >= CACHE_PAIRS:
-                self.pairs.clear()
-            ok = self.pairs[left, right] = self.merge(left + right) == [left, right]
-        return ok
+        return self.pairs[left, right]
 
     def longest(self, word: str) -> list[str] | None:
         """The longest matches end to end, if they cover the word and all fit together."""
@@ -142,17 +141,6 @@ class Codec:
                 out.append(i)
         return out
 
-    def encode(self, text: bytes) -> list[bytes]:
-        """The ids of each word, comma-joined.  A word's key lacks its mark where a single
-        space stands before it."""
-        if not text:
-            return []
-        if b"  " in text or _MARK in text or text[:1] == b" " or text[-1:] == b" ":
-            found = [w.encode("utf-8") for w in _WORD.findall(MARK + text.decode("utf-8").replace(" ", MARK))]
-        else:
-            found = text.split(b" ")
-        return list(map(self.words.__getitem__, found))
-
     def decode(self, ids: list[int]) -> str:
         """Text of some ids; the space of the dummy prefix goes."""
         text = self.plain(ids)
@@ -167,33 +155,67 @@ class Codec:
                 out += self.pieces[i].replace(MARK, " ").encode("utf-8")
         return out.decode("utf-8", "replace")
 
-    def round_trip(self, text: bytes) -> tuple[bytes, bytes]:
-        """Comma-joined ids, and their decoded text."""
-        joined = b",".join(self.encode(text))
-        if self.words.exact:  # every word so far decodes to itself, as it was decoded when first seen
-            return joined, text.replace(_MARK, b" ")
-        return joined, self.decode([int(i) for i in joined.split(b",")] if joined else []).encode("utf-8")
 
+class Words:
+    """Ids of recent words, as comma-joined text, and what these ids decode to.
 
-class _Words(dict):
-    """Ids of a word; ``exact``: whether decoding gave back each word seen."""
+    A word's key lacks its mark where a single space stands before it."""
 
     def __init__(self, codec: Codec):
-        self.codec, self.exact = codec, True
-
-    def __missing__(self, key: bytes) -> bytes:
-        word = key.decode("utf-8")
-        if not word.startswith(MARK):
-            word = MARK + word
-        found = self.codec.word_ids(word)
-        if self.codec.plain(found) != word.replace(MARK, " "):
-            self.exact = False
-        ids = ",".join(map(str, found)).encode("ascii")
-        if len(key) <= CACHED_LENGTH:
-            if len(self) >= CACHE_WORDS:
-                self.clear()
-            self[key] = ids
-        return ids
+        self.codec = codec
+        self.keys, self.ids, self.plain = (pa.array([], pa.binary()) for _ in range(3))
+
+    def places(self, words: pa.Array) -> pa.Array:
+        """Numbers of distinct words in the table, to which new ones are added."""
+        at = pc.index_in(words, value_set=self.keys)
+        new = words.filter(at.is_null())
+        ids, plain = [], []
+        for key in new.to_pylist():
+            word = key.decode("utf-8")
+            found = self.codec.word_ids(word if word.startswith(MARK) else MARK + word)
+            ids.append(",".join(map(str, found)).encode("ascii"))
+            plain.append(self.codec.plain(found).encode("utf-8"))
+        place = at.to_numpy(zero_copy_only=False).astype(np.float64)
+        place[np.isnan(place)] = len(self.keys) + np.arange(len(new))
+        self.keys = pa.concat_arrays([self.keys, new])
+        self.ids = pa.concat_arrays([self.ids, pa.array(ids, pa.binary())])
+        self.plain = pa.concat_arrays([self.plain, pa.array(plain, pa.binary())])
+        return pa.array(place.astype(np.int32))
+
+    def forget(self, used: pa.Array) -> None:
+        """Beyond the table's size, keep the words used last, but for very long ones."""
+        if len(self.keys) <= WORDS and self.ids.nbytes <= WORDS * WORD_BYTES:
+            return
+        keep = used.filter(pc.less_equal(pc.binary_length(self.keys.take(used)), WORD_BYTES))
+        self.keys, self.ids, self.plain = (x.take(keep) for x in (self.keys, self.ids, self.plain))
+
+    def round_trip(self, words: pa.ListArray) -> tuple[pa.Array, pa.Array]:
+        """Comma-joined ids of each text, given as its words, and the text decoded from them."""
+        coded = words.flatten().dictionary_encode()
+        used = self.places(coded.dictionary)
+        code = used.take(coded.indices)
+        joined = [pc.binary_join(pa.ListArray.from_arrays(words.offsets, x.take(code)), pa.scalar(by, pa.binary()))
+                  for x, by in ((self.ids, b","), (self.plain, b""))]
+        self.forget(used)
+        return joined[0], joined[1]
+
+
+def words_of(texts: pa.Array) -> pa.ListArray:
+    """The words of texts (binary); a word keeps its mark unless one space stands before it."""
+    odd = pc.or_(pc.match_substring(texts, "  "), pc.match_substring(texts, MARK))
+    for edge in (pc.starts_with, pc.ends_with):
+        odd = pc.or_(odd, edge(texts, " "))
+    odd = pc.or_(odd, pc.equal(pc.binary_length(texts), 0)).to_numpy(zero_copy_only=False)
+    if not odd.any():
+        return pc.split_pattern(texts, " ")
+    plain = pc.split_pattern(texts.filter(pa.array(~odd)), " ")
+    other = [_WORD.findall(MARK + t.decode("utf-8").replace(" ", MARK)) if t else []
+             for t in texts.filter(pa.array(odd)).to_pylist()]
+    other = pa.array([[w.encode("utf-8") for w in t] for t in other], pa.list_(pa.binary()))
+    place = np.empty(len(texts), np.int64)
+    place[~odd] = np.arange((~odd).sum())
+    place[odd] = len(plain) + np.arange(odd.sum())
+    return pa.concat_arrays([plain, other]).take(pa.array(place))
 
 
 @lru_cache(maxsize=2)
@@ -201,22 +223,42 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
+@lru_cache(maxsize=2)
+def words(path: str) -> Words:
+    return Words(codec(path))
+
+
+def _bounded(batches, size: int):
+    """Arrow batches in parts of about ``size`` bytes of text, one row at least."""
+    for batch in batches:
+        text = batch.column("text").cast(pa.binary())
+        ends = np.cumsum(pc.fill_null(pc.binary_length(text), 0).to_numpy().astype(np.int64) + 64)
+        at = 0
+        while at < batch.num_rows:
+            before = ends[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, before + size, "right")))
+            yield batch.column("doc_id").slice(at, to - at), pc.fill_null(text.slice(at, to - at), b"")
+            at = to
+    pa.default_memory_pool().release_unused()
+
+
+def _sha256(texts) -> pa.Array:
+    return pa.array([hashlib.sha256(t.as_buffer() or b"").hexdigest() for t in texts], pa.string())
+
+
 def _round_trip(path: str, keep_ids: bool):
     def run(batches):
-        c = codec(path)
-        for batch in slices(batches):
-            n, ids, sha, text = [], [], [], []
-            for t in batch.column("text").cast(pa.binary()).to_pylist():
-                joined, decoded = c.round_trip(t or b"")
-                n.append(joined.count(b",") + 1 if joined else 0)
-                sha.append(hashlib.sha256(joined).hexdigest())
-                text.append(hashlib.sha256(decoded).hexdigest())
-                if keep_ids:
-                    ids.append([int(i) for i in joined.split(b",")] if joined else [])
-            cols = [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(sha, pa.string()), pa.array(text, pa.string())]
+        table = words(path)
+        for doc_id, texts in _bounded(batches, BATCH):
+            joined, decoded = table.round_trip(words_of(texts))
+            # the space of the dummy prefix goes
+            decoded = pc.binary_replace_slice(decoded, 0, 1, b"")
+            n = pc.add(pc.count_substring(joined, ","), pc.cast(pc.greater(pc.binary_length(joined), 0), pa.int32()))
+            cols = [doc_id, n.cast(pa.int64()), _sha256(joined), _sha256(decoded)]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if keep_ids:
-                cols.append(pa.array(ids, pa.list_(pa.int32())))
+                cols.append(pa.array([[int(i) for i in t.split(b",")] if t else [] for t in joined.to_pylist()],
+                                     pa.list_(pa.int32())))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(cols, names=names)
     return run

@@ -6,6 +6,7 @@ import math
 import re
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from barlake.llm import lm_scores, pii, quality_rules, secrets, sentencepiece_codec, token_counts
@@ -163,14 +164,42 @@ def test_backtracking_and_fuzz():
     sp, codec = sentencepiece.SentencePieceProcessor(model_file=path), sentencepiece_codec.codec(path)
     rnd = random.Random(5)
     alphabet = list("aabbcde  ▁\n\t.,1é日😀'ſ<>0x") + ["the", "ing", "tion", "hell", "\x00", "한", "�"]
-    for _ in range(4000):
-        s = "".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 14)))
-        joined, decoded = codec.round_trip(s.encode())
-        ids = [int(i) for i in joined.split(b",")] if joined else []
-        assert ids == sp.encode(s) and codec.decode(ids) == decoded.decode() == sp.decode(ids)
-        if s:
-            w = "▁" + s.replace(" ", "").replace("▁", "")
-            assert codec.backtrack(w) == codec.merge(w)
+    texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 14))) for _ in range(4000)]
+    table = sentencepiece_codec.Words(codec)
+    for size in (1, 7, 4000):  # texts of a batch
+        for at in range(0, 4000, size):
+            part = texts[at:at + size]
+            words = sentencepiece_codec.words_of(pa.array([t.encode() for t in part], pa.binary()))
+            joined, decoded = (x.to_pylist() for x in table.round_trip(words))
+            for s, i, d in zip(part, joined, decoded, strict=True):
+                ids = [int(x) for x in i.split(b",")] if i else []
+                assert ids == sp.encode(s) and codec.decode(ids) == d.decode()[1:] == sp.decode(ids)
+    for s in filter(None, texts):
+        w = "▁" + s.replace(" ", "").replace("▁", "")
+        assert codec.backtrack(w) == codec.merge(w)
+
+
+def test_a_full_word_table_forgets_and_stays_right(small, monkeypatch):
+    import sentencepiece
+    monkeypatch.setattr(sentencepiece_codec, "WORDS", 40)
+    monkeypatch.setattr(sentencepiece_codec, "WORD_BYTES", 5)
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    sp, table = sentencepiece.SentencePieceProcessor(model_file=path), sentencepiece_codec.Words(sentencepiece_codec.codec(path))
+    for r in small.limit(60).collect():
+        words = sentencepiece_codec.words_of(pa.array([r.text.encode()], pa.binary()))
+        assert table.round_trip(words)[0][0].as_py() == ",".join(map(str, sp.encode(r.text))).encode()
+        assert len(table.keys) <= max(40, len(set(r.text.split(" "))) + 2)
+
+
+def test_very_long_and_no_texts(docs):
+    import sentencepiece
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    sp = sentencepiece.SentencePieceProcessor(model_file=path)
+    long = "some words, repeated often; " * 400_000
+    rows = [(3, "x"), (1, long), (2, "y" * 3000), (None, None)]
+    got = {r.doc_id: r.n_tokens for r in sentencepiece_codec.encode_decode(docs(rows, 1), path).collect()}
+    assert got == {k: len(sp.encode(t or "")) for k, t in rows}
+    assert sentencepiece_codec.encode_decode(docs([]), path).count() == 0
 
 
 def test_token_counts_match_the_library(small, docs):
