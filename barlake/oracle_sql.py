@@ -374,6 +374,33 @@ cte("landed_news", """SELECT doc_id, CASE WHEN source <> 'src2' THEN lang END AS
          CASE WHEN source = 'src4' THEN n_chars END AS n_chars, text, source AS ticker
   FROM documents WHERE source IN (SELECT ticker FROM landed_news_status WHERE reason IS NULL)""")
 
+# ------------------------------------------------------- dated runs, counts, checks
+cte("dated_backtest", _trades(f"{_SPIKES} WHERE date BETWEEN DATE '2000-06-01' AND DATE '2000-06-30'"))
+
+cte("run_counts", """SELECT 'raw_rows' AS name, (SELECT count(*) FROM raw) AS n
+  UNION ALL SELECT 'silver_rows', (SELECT count(*) FROM silver)
+  UNION ALL SELECT 'returns', (SELECT count(*) FROM silver)
+  UNION ALL SELECT 'tickers', (SELECT count(DISTINCT ticker) FROM silver)
+  UNION ALL SELECT 'signals', (SELECT count(*) FROM whale_signals_history)
+  UNION ALL SELECT 'signal_tickers', (SELECT count(DISTINCT ticker) FROM whale_signals_history)
+  UNION ALL SELECT 'trades', (SELECT count(*) FROM backtest_trades)""")
+
+cte("failing_tickers", """SELECT ticker, type, 'not_null' AS check_name, 'ticker' AS column_names FROM tickers WHERE ticker IS NULL
+  UNION ALL SELECT ticker, type, 'not_null', 'type' FROM tickers WHERE type IS NULL
+  UNION ALL SELECT ticker, type, 'accepted_values', 'type' FROM tickers WHERE type NOT IN ('stock', 'index')
+  UNION ALL SELECT ticker, type, 'unique', 'ticker' FROM tickers
+  WHERE ticker IN (SELECT ticker FROM tickers GROUP BY ticker HAVING count(*) > 1)""")
+
+cte("singular_checks", """SELECT check_name, failures, failures = 0 AS passed FROM (
+    SELECT 'assert_index_markets_are_valid' AS check_name,
+           (SELECT count(*) FROM index_performance WHERE market NOT IN ('US', 'FR', 'UK', 'JP', 'IN')) AS failures
+    UNION ALL SELECT 'assert_signals_have_a_price',
+           (SELECT count(*) FROM whale_signals_history s LEFT JOIN silver p ON p.ticker = s.ticker AND p.date = s.date
+            WHERE p.ticker IS NULL)
+    UNION ALL SELECT 'assert_landed_tickers_are_in_the_dimension',
+           (SELECT count(*) FROM (SELECT DISTINCT t.ticker FROM tickers t LEFT JOIN dim ON dim.ticker = t.ticker
+                                  WHERE dim.ticker IS NULL)))""")
+
 # which CTEs each result needs (transitively resolved below)
 DEPS: dict[str, tuple[str, ...]] = {
     "raw": (), "silver": ("raw",), "dim": (),
@@ -406,6 +433,9 @@ DEPS: dict[str, tuple[str, ...]] = {
     "landed_holdings": (), "rejected_sheets": (), "landed_dimension": ("landed_holdings",),
     "landed_volatile_pick": ("volatile_pick",), "feed_header": ("dim",),
     "landed_news_status": (), "landed_news": ("landed_news_status",),
+    "dated_backtest": ("series", "bench", "whale_signals_history"),
+    "run_counts": ("raw", "silver", "whale_signals_history", "backtest_trades"), "failing_tickers": ("tickers",),
+    "singular_checks": ("index_performance", "whale_signals_history", "silver", "tickers", "dim"),
 }
 
 
@@ -435,7 +465,8 @@ RESULTS = ("stg_stock_prices", "daily_returns", "index_performance", "top_movers
            "ticker_dimension", "volatile_pick", "analyst_pick", "ingest_universe",
            "wide_to_long", "news_snapshot", "signals_in_range", "backtest_given_signals",
            "tickers_csv", "bronze_round_trip", "silver_view", "feed_header", "landed_holdings",
-           "rejected_sheets", "landed_dimension", "landed_volatile_pick", "landed_news", "landed_news_status")
+           "rejected_sheets", "landed_dimension", "landed_volatile_pick", "landed_news", "landed_news_status",
+           "dated_backtest", "run_counts", "failing_tickers", "singular_checks")
 
 ORACLE_SQL: dict[str, str] = {
     n: (query("silver") if n == "stg_stock_prices" else query(n)) for n in RESULTS

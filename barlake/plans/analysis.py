@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barlake.fixed import SECTOR_WINDOW_DAYS
-from barlake.functions import guarded_ln_growth, round_half_up
+from barlake.functions import exact_log_sum, exact_mean, exact_sum, guarded_ln_growth, round_half_up
 from barlake.operators.joins import join_dimension
 from barlake.plans.marts import as_of_col
 from barlake.sources.files import month_slice
@@ -33,10 +33,10 @@ def ticker_cumulative(daily: DataFrame) -> DataFrame:
     r = F.col("daily_return_pct")
     return daily.groupBy("ticker", "sector").agg(
         F.count(r).alias("n_ret"),
-        F.sum(r).alias("sum_ret"),
+        exact_sum(r, 2).alias("sum_ret"),
         F.min(r).alias("min_ret"),
         F.max(r).alias("max_ret"),
-        round_half_up((F.exp(F.sum(guarded_ln_growth(r))) - 1) * 100, 2).alias("cum"))
+        round_half_up((F.exp(exact_log_sum(guarded_ln_growth(r))) - 1) * 100, 2).alias("cum"))
 
 
 def sector_performance(returns: DataFrame, tickers: DataFrame, as_of=None,
@@ -46,7 +46,7 @@ def sector_performance(returns: DataFrame, tickers: DataFrame, as_of=None,
     n = F.sum("n_ret")
     s = per_ticker.groupBy("sector").agg(
         F.count(F.lit(1)).alias("num_tickers"),
-        round_half_up(F.when(n > 0, F.sum("sum_ret") / n), 3).alias("avg_daily_return_pct"),
+        exact_mean(F.sum("sum_ret"), n, 3).alias("avg_daily_return_pct"),
         round_half_up(F.min("min_ret"), 3).alias("worst_day_pct"),
         round_half_up(F.max("max_ret"), 3).alias("best_day_pct"),
         # cumulative DESC NULLS FIRST, then ticker

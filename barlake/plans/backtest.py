@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barlake.fixed import HOLD_PERIODS, TOP_TRADES_N
-from barlake.functions import pct_change, round_half_up
+from barlake.functions import exact_mean, exact_sum, pct_change, round_half_up
 from barlake.operators.series import by_ticker
 from barlake.operators.topk import top_k
 
@@ -90,29 +90,65 @@ def backtest_trades(history: DataFrame, silver: DataFrame, benchmark: str,
     return run_backtest(signals_in_range(history, start, end), silver, benchmark, holds)
 
 
+def zone_map(calendar: DataFrame) -> DataFrame:
+    """Rows per (ticker, month) of a price table written by month: ticker, month, n_rows."""
+    return calendar.groupBy("ticker", "month").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def months_of_trades(signals: DataFrame, zones: DataFrame, holds: Sequence[int] = HOLD_PERIODS) -> DataFrame:
+    """One row (first, last): the months that hold every signal, entry and exit row.
+
+    A trade needs the signal's row and the ``1 + max(holds)`` rows after it.  Where the
+    signal stands within its month is not asked for: the rows of the following months are
+    counted until they are as many, per ticker, or until its series ends.
+    """
+    own = (signals.select("ticker", F.date_format("signal_date", "yyyy-MM").alias("month"))
+           .groupBy("ticker").agg(F.min("month").alias("first"), F.max("month").alias("last")))
+    after = zones.join(own, "ticker").where(F.col("month") > F.col("last")).withColumn(
+        "so_far", F.sum("n_rows").over(by_ticker(order="month")))
+    enough = F.min(F.when(F.col("so_far") >= 1 + max(holds), F.col("month")))
+    reach = after.groupBy("ticker").agg(F.coalesce(enough, F.max("month")).alias("reach"))
+    return own.join(reach, "ticker", "left").agg(
+        F.min("first").alias("first"), F.max(F.greatest("last", "reach")).alias("last"))
+
+
+def dated_backtest(history: DataFrame, calendar: DataFrame, zones: DataFrame, benchmark: str,
+                   holds: Sequence[int] = HOLD_PERIODS, start=None, end=None) -> DataFrame:
+    """Trades of the signals from ``start`` to ``end``, reading only the months they need of
+    ``calendar``, Silver written by month (column month); ``zones`` is its ``zone_map``.
+
+    The months are one row, fetched before the scan is planned, so that the scan is pruned
+    by partition; a pruned series has every row from a signal to its furthest exit.
+    """
+    signals = signals_in_range(history, start, end)
+    span = months_of_trades(signals, zones, holds).first()
+    prices = calendar.where(F.col("month").between(F.lit(span["first"]), F.lit(span["last"])))
+    return run_backtest(signals, prices.drop("month"), benchmark, holds)
+
+
 def backtest_summary(trades: DataFrame) -> DataFrame:
     """Per hold period: trades, win rate %, mean / exact median / best / worst return, mean alpha.
 
     One pass over the trades: they are combined per (hold, return) value map-side, and
     every statistic comes from that one table.  Returns have 4 decimals, so the state of
-    the exact median is bounded by the number of distinct returns, not of trades.
+    the exact median is bounded by the number of distinct returns, not of trades, and sums
+    are exact in decimals: the means do not depend on the order of the rows.
     """
     per_value = trades.groupBy("hold_days", "return_pct").agg(
         F.count(F.lit(1)).alias("_n"),
         F.sum(F.col("profitable").cast("int")).alias("_wins"),
-        F.sum("alpha_pct").alias("_alpha_sum"),
+        exact_sum("alpha_pct", 4).alias("_alpha_sum"),
         F.count("alpha_pct").alias("_alpha_n"))
     n, r = F.sum("_n"), F.col("return_pct")
+    total = F.sum((r.cast("decimal(18,4)") * F.col("_n").cast("decimal(15,0)")).cast("decimal(28,4)"))
     return per_value.groupBy("hold_days").agg(
         n.alias("n_trades"),
-        round_half_up(F.sum("_wins") / n * 100, 4).alias("win_rate_pct"),
-        round_half_up(F.sum(r * F.col("_n")) / F.sum(F.when(r.isNotNull(), F.col("_n"))), 4)
-        .alias("avg_return_pct"),
+        exact_mean(F.sum("_wins") * 100, n, 4).alias("win_rate_pct"),
+        exact_mean(total, F.sum(F.when(r.isNotNull(), F.col("_n"))), 4).alias("avg_return_pct"),
         round_half_up(F.percentile(r, F.lit(0.5), F.col("_n")), 5).alias("median_return_pct"),
         F.max(r).alias("best_pct"),
         F.min(r).alias("worst_pct"),
-        round_half_up(F.when(F.sum("_alpha_n") > 0, F.sum("_alpha_sum") / F.sum("_alpha_n")), 4)
-        .alias("avg_alpha_pct"))
+        exact_mean(F.sum("_alpha_sum"), F.sum("_alpha_n"), 4).alias("avg_alpha_pct"))
 
 
 def backtest_top_trades(trades: DataFrame, n: int = TOP_TRADES_N) -> DataFrame:

@@ -14,6 +14,7 @@ import hashlib
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from barlake.operators.series import by_ticker
 from barlake.plans import analysis, backtest, ingest as ing, marts, quality, silver
 from barlake.sources import files
 
@@ -23,6 +24,42 @@ def table_name(root: str, what: str) -> str:
     return f"barlake_{what}_{hashlib.sha256(root.encode('utf-8')).hexdigest()}"
 
 
+class RunCounts:
+    """Counts of a run, observed during its writes, so that no job is run for them.
+
+    Distinct tickers are counted as the first rows of their series: one more function over
+    the partitioning and order that the table is written in, no distinct and no exchange.
+    """
+
+    def __init__(self):
+        self.seen: dict[str, Observation] = {}
+
+    def _observed(self, df: DataFrame, name: str, *metrics) -> DataFrame:
+        self.seen[name] = Observation(name)
+        return df.observe(self.seen[name], *metrics)
+
+    def rows(self, df: DataFrame, name: str) -> DataFrame:
+        return self._observed(df, name, F.count(F.lit(1)).alias(name))
+
+    def series(self, df: DataFrame, name: str, tickers: str) -> DataFrame:
+        """Rows, and distinct tickers, of a table with one row per (ticker, date)."""
+        first = F.lag(F.lit(1)).over(by_ticker()).isNull()
+        return self._observed(df.withColumn("_first", first), name, F.count(F.lit(1)).alias(name),
+                              F.count_if("_first").alias(tickers)).drop("_first")
+
+    def row(self) -> dict[str, int]:
+        """The counts of the writes that ran."""
+        out: dict[str, int] = {}
+        for seen in self.seen.values():
+            out.update(seen.get)
+        return out
+
+
+def counts_table(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    """The counts as rows (name, n)."""
+    return spark.createDataFrame(sorted(counts.items()), "name string, n bigint")
+
+
 def build_gold(spark: SparkSession, raw: DataFrame, tickers: DataFrame, root: str, as_of,
                benchmark: str, buckets: int, signal_start=None, signal_end=None,
                metrics: dict | None = None) -> dict[str, DataFrame]:
@@ -33,19 +70,20 @@ def build_gold(spark: SparkSession, raw: DataFrame, tickers: DataFrame, root: st
     the marts that need a ticker's whole history and by month for those of a few days; the
     dated Gold tables are written by month, so that slices of them are pruned.
 
-    ``metrics`` (optional dict) receives the run counts (A14), collected with
-    ``observe`` during the writes that happen anyway, so no extra job is run.
+    ``metrics`` (optional dict) receives the run counts (A14), see ``RunCounts``; they are
+    also written as the table ``quality/run_counts``.
     """
     root = root.rstrip("/")
-    raw_obs, silver_obs = Observation("raw"), Observation("silver")
-    raw = raw.observe(raw_obs, F.count(F.lit(1)).alias("raw_rows"))
-    sv = silver.stg_stock_prices(raw).observe(silver_obs, F.count(F.lit(1)).alias("silver_rows"))
-    s = silver.materialize(sv, table_name(root, "silver"), f"{root}/silver", buckets)
+    counts = RunCounts()
+    sv = silver.stg_stock_prices(counts.rows(raw, "raw_rows"))
+    s = silver.materialize(counts.rows(sv, "silver_rows"), table_name(root, "silver"), f"{root}/silver", buckets)
     files.register_view(s, "stg_stock_prices")  # K5: Silver is also queryable by name
     out: dict[str, DataFrame] = {"stg_stock_prices": s}
     calendar = files.write_by_month(s, f"{root}/silver_by_month")
-    returns = files.write_by_month(marts.daily_returns(s), f"{root}/gold/daily_returns")
-    history = files.write_by_month(marts.whale_signals_history(s, tickers), f"{root}/gold/whale_signals_history")
+    returns = files.write_by_month(counts.series(marts.daily_returns(s), "returns", "tickers"),
+                                   f"{root}/gold/daily_returns")
+    history = files.write_by_month(counts.series(marts.whale_signals_history(s, tickers), "signals", "signal_tickers"),
+                                   f"{root}/gold/whale_signals_history")
     out["daily_returns"], out["whale_signals_history"] = returns.drop("month"), history.drop("month")
     gold = {
         "index_performance": marts.index_performance(s, tickers, as_of),
@@ -57,17 +95,14 @@ def build_gold(spark: SparkSession, raw: DataFrame, tickers: DataFrame, root: st
     for name, df in gold.items():
         out[name] = files.write_table(df, f"{root}/gold/{name}")
 
-    trades_obs = Observation("trades")
     trades = backtest.backtest_trades(out["whale_signals_history"], s, benchmark, start=signal_start, end=signal_end)
+    trades_obs = Observation("trades")
     wrote = files.write_if_not_empty(trades, f"{root}/gold/backtest_trades", trades_obs,
                                      F.count(F.lit(1)).alias("trades"))
+    found = {**counts.row(), **(trades_obs.get if wrote else {"trades": 0})}
+    out["run_counts"] = files.write_table(counts_table(spark, found), f"{root}/quality/run_counts")
     if metrics is not None:
-        metrics.update(raw_obs.get)
-        metrics.update(silver_obs.get)
-        metrics.update(trades_obs.get if wrote else {"trades": 0})
-        hist = out["whale_signals_history"]  # a written Gold table, small next to Silver
-        metrics["signals"] = hist.count()
-        metrics["signal_tickers"] = hist.select("ticker").distinct().count()
+        metrics.update(found)
     if wrote:
         t = files.read_table(spark, f"{root}/gold/backtest_trades")
         out["backtest_trades"] = t

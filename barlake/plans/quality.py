@@ -1,14 +1,16 @@
 """Q1-Q5: data-quality checks as Spark jobs, reported as one DataFrame.
 
 Each written table is scanned once for all of its checks (``table_checks``).  Output columns:
-``table_name, check_name, column_names, failures`` (0 = pass).
+``table_name, check_name, column_names, failures`` (0 = pass).  ``failing_rows`` gives the
+rows behind those numbers.  A singular check is any query: it fails by the rows it returns.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.fixed import KNOWN_MARKETS, TICKER_TYPES
@@ -65,6 +67,50 @@ def table_checks(df: DataFrame, table: str, not_null_cols: Sequence[str] = (),
         F.coalesce(F.col("x.f"), F.lit(0)).cast("bigint").alias("failures"))
 
 
+def failing_rows(df: DataFrame, not_null_cols: Sequence[str] = (), key: Sequence[str] = (),
+                 assertions: dict[str, Column] | None = None,
+                 accepted: dict[str, Sequence[str]] | None = None) -> DataFrame:
+    """Rows of ``df`` with ``check_name`` and ``column_names``, once per check that they fail:
+    by the rules of ``table_checks`` and ``accepted_values``; of a repeated key, every row.
+
+    Row checks are one narrow pass.  Repeated keys are counted with a combine before the
+    shuffle, and only rows with such a key are looked up.
+    """
+    cols = df.columns
+
+    def hit(cond: Column, check: str, of: str) -> Column:
+        return F.when(cond, F.struct(F.lit(check).alias("check_name"), F.lit(of).alias("column_names")))
+    hits = [hit(F.col(c).isNull(), "not_null", c) for c in not_null_cols]
+    hits += [hit(cond, name, "") for name, cond in (assertions or {}).items()]
+    hits += [hit(~F.col(c).isin(list(values)), "accepted_values", c) for c, values in (accepted or {}).items()]
+    none = F.array().cast("array<struct<check_name:string,column_names:string>>")
+    found = (df.select("*", F.explode(F.array_compact(F.array(*hits)) if hits else none).alias("_hit"))
+             .select(*cols, "_hit.*"))
+    if not key:
+        return found
+    repeated = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+    if len(key) == 1:
+        repeated = repeated.where(F.col(key[0]).isNotNull())
+    same = [F.col(f"_a.{k}").eqNullSafe(F.col(f"_b.{k}")) for k in key]
+    dup = df.alias("_a").join(repeated.alias("_b"), reduce(lambda a, b: a & b, same), "left_semi").select(
+        *cols, F.lit("unique" if len(key) == 1 else "unique_combination_of_columns").alias("check_name"),
+        F.lit(",".join(key)).alias("column_names"))
+    return found.unionByName(dup)
+
+
+def singular(spark: SparkSession, sql: str, tables: dict[str, DataFrame]) -> DataFrame:
+    """The rows that a singular check returns: ``sql`` over ``tables``, by the names it uses
+    in braces.  The check passes when there are none."""
+    return spark.sql(sql, **tables)
+
+
+def singular_report(checks: dict[str, DataFrame]) -> DataFrame:
+    """check_name, failures, passed of any queries given as DataFrames."""
+    rows = [df.agg(F.count(F.lit(1)).alias("failures")).select(F.lit(name).alias("check_name"), "failures")
+            for name, df in checks.items()]
+    return union_all(rows).withColumn("passed", F.col("failures") == 0)
+
+
 def quality_report(t: dict[str, DataFrame]) -> DataFrame:
     """All checks over the tables named in ``t`` (each table computed once)."""
     markets_ok = ~F.col("market").isin(list(KNOWN_MARKETS))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barlake import schemas
-from barlake.plans import analysis, backtest, ingest, marts, quality, silver
+from barlake.plans import analysis, backtest, ingest, marts, medallion, quality, silver
 from barlake.session import app_id, checkpoint_dir
 from barlake.sources import feeds, files, news, sheets
 from barlake.sources import testdata as td
@@ -27,7 +27,11 @@ from barlake.sources import testdata as td
 AS_OF = dt.date(2001, 6, 30)
 SIGNAL_START, SIGNAL_END = dt.date(2000, 1, 1), dt.date(2000, 12, 31)
 
+# The month of the dated backtest.
+DATED_START, DATED_END = dt.date(2000, 6, 1), dt.date(2000, 6, 30)
+
 _written: dict[tuple[str, str], DataFrame] = {}
+_counted: dict[str, medallion.RunCounts] = {}
 
 
 def _state(spark: SparkSession, d: str) -> str:
@@ -46,6 +50,11 @@ def _lake(spark: SparkSession, d: str, name: str, write: Callable[[str], DataFra
     return _written[key]
 
 
+def _counts(spark, d) -> medallion.RunCounts:
+    """Counts that are observed while the lake tables are written."""
+    return _counted.setdefault(_state(spark, d), medallion.RunCounts())
+
+
 def _table(spark, d, name, build: Callable[[], DataFrame]) -> DataFrame:
     return _lake(spark, d, name, lambda path: files.write_table(build(), path))
 
@@ -53,7 +62,9 @@ def _table(spark, d, name, build: Callable[[], DataFrame]) -> DataFrame:
 def _silver(spark: SparkSession, d: str) -> DataFrame:
     """Silver bucketed by ticker, as many buckets as the session has shuffle partitions."""
     def write(path: str) -> DataFrame:
-        return silver.materialize(silver.stg_stock_prices(td.raw_prices(spark, d)),
+        counts = _counts(spark, d)
+        raw = counts.rows(td.raw_prices(spark, d), "raw_rows")
+        return silver.materialize(counts.rows(silver.stg_stock_prices(raw), "silver_rows"),
                                   "silver_" + hashlib.sha256(path.encode("utf-8")).hexdigest(), path,
                                   int(spark.conf.get("spark.sql.shuffle.partitions")))
     return _lake(spark, d, "silver", write)
@@ -68,12 +79,13 @@ def _dim(spark, d):
 
 
 def _returns(spark, d):
-    return _lake(spark, d, "daily_returns", lambda path: files.write_by_month(marts.daily_returns(_silver(spark, d)), path))
+    return _lake(spark, d, "daily_returns", lambda path: files.write_by_month(
+        _counts(spark, d).series(marts.daily_returns(_silver(spark, d)), "returns", "tickers"), path))
 
 
 def _history(spark, d):
-    return _lake(spark, d, "whale_signals_history", lambda path: files.write_by_month(
-        marts.whale_signals_history(_silver(spark, d), _dim(spark, d)), path))
+    return _lake(spark, d, "whale_signals_history", lambda path: files.write_by_month(_counts(spark, d).series(
+        marts.whale_signals_history(_silver(spark, d), _dim(spark, d)), "signals", "signal_tickers"), path))
 
 
 def _gold(spark, d, name, build):
@@ -121,7 +133,49 @@ def q_backtest_given_signals(spark, d):
 
 
 def _trades(spark, d):
-    return _gold(spark, d, "backtest_trades", q_backtest_trades)
+    return _gold(spark, d, "backtest_trades", lambda s, d: _counts(s, d).rows(q_backtest_trades(s, d), "trades"))
+
+
+def _zones(spark, d):
+    return _table(spark, d, "silver_zones", lambda: backtest.zone_map(_calendar(spark, d)))
+
+
+def q_dated_backtest(spark, d):
+    """The trades of a month's signals, from the months of prices that they need."""
+    return backtest.dated_backtest(_history(spark, d), _calendar(spark, d), _zones(spark, d), td.BENCHMARK,
+                                   start=DATED_START, end=DATED_END)
+
+
+def q_run_counts(spark, d):
+    """What the writes of the lake tables counted."""
+    for table in (_silver, _returns, _history, _trades):
+        table(spark, d)
+    return medallion.counts_table(spark, _counts(spark, d).row())
+
+
+def q_failing_tickers(spark, d):
+    """Q1-Q4: the rows of the landed dimension behind its failures in the report."""
+    return quality.failing_rows(td.landed_tickers(spark, d), ["ticker", "type"], ["ticker"],
+                                accepted={"type": quality.TICKER_TYPES})
+
+
+# Q5: singular checks, each a query that must return no rows.
+SINGULAR = {
+    "assert_index_markets_are_valid":
+        "SELECT ticker, market FROM {index_performance} WHERE market NOT IN ('US', 'FR', 'UK', 'JP', 'IN')",
+    "assert_signals_have_a_price":
+        "SELECT s.ticker, s.date FROM {history} s ANTI JOIN {silver} p ON s.ticker = p.ticker AND s.date = p.date",
+    "assert_landed_tickers_are_in_the_dimension":
+        "SELECT ticker FROM {landed} EXCEPT SELECT ticker FROM {dim}",
+}
+
+
+def q_singular_checks(spark, d):
+    """Q5: any query as a check; the last one does find rows."""
+    tables = {"index_performance": _gold(spark, d, "index_performance", q_index_performance), "silver": _silver(spark, d),
+              "history": _history(spark, d), "landed": td.landed_tickers(spark, d), "dim": _dim(spark, d)}
+    return quality.singular_report({name: quality.singular(spark, sql, {t: df for t, df in tables.items() if f"{{{t}}}" in sql})
+                                    for name, sql in SINGULAR.items()})
 
 
 def q_backtest_summary(spark, d):
@@ -312,6 +366,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tickers_csv": q_tickers_csv,
     "bronze_round_trip": q_bronze_round_trip,
     "silver_view": q_silver_view,
+    "dated_backtest": q_dated_backtest,
+    "run_counts": q_run_counts,
+    "failing_tickers": q_failing_tickers,
+    "singular_checks": q_singular_checks,
     "feed_header": q_feed_header,
     "landed_holdings": q_landed_holdings,
     "rejected_sheets": q_rejected_sheets,
