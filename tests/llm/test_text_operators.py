@@ -63,7 +63,7 @@ def test_surrogates_keep_type_format_and_coreference(docs):
                (2, "Mr. John Smith met Mrs. Smith and Frau Anna Weber; Госпожа Анна"), (3, "call +1 (017) 555-7713, 192.168.1.10"),
                (4, "v1.2.3.4.5 and 12 34"), (5, None), (6, ""), (6, "DE89 3704 0044 0532 0130 00"),
                (None, "jo.do@mail3.example.com")]).withColumnRenamed("source", "surrogate").withColumnRenamed("lang", "row")
-    out = pii.surrogate_texts(df)
+    out = pii.surrogate_texts(df, count="pii_entities")
     assert out.columns == df.columns + ["pii_entities"]
     got = {(r.doc_id, r.n_chars): r.text for r in out.collect()}
     text = {k[0]: v for k, v in got.items() if v}
