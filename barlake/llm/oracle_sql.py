@@ -42,10 +42,10 @@ found AS MATERIALIZED (
   UNION ALL SELECT o.rid, o.kind, o.k, o.v, o.s, o.e FROM opaque o
   WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.rid = o.rid AND b.s < o.e AND o.s < b.e)),
 known AS (
-  SELECT f.v, count(DISTINCT d.owner) AS owners, count(DISTINCT (d.owner, d.repo)) AS repos
+  SELECT f.v, count(DISTINCT d.owner) AS owners
   FROM found f JOIN d USING (rid) GROUP BY f.v),
 judged AS (
-  SELECT f.*, owners = 1 AND repos <= 2 AS live, owners >= 2 AS copied FROM found f JOIN known USING (v)),
+  SELECT f.*, owners = 1 AS live, owners >= 2 AS copied FROM found f JOIN known USING (v)),
 per AS (
   SELECT rid, count(*) FILTER (WHERE k = 0) AS a, count(*) FILTER (WHERE k = 1) AS b, count(*) FILTER (WHERE k = 2) AS c,
          string_agg(concat_ws(':', kind, s, e), ',' ORDER BY s, k) FILTER (WHERE k < 3) AS plain,

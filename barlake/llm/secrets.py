@@ -4,12 +4,13 @@ Base kinds (assign, access, hex) are found by their patterns.  A fourth kind, op
 long mixed tokens that no base match covers; on their own they are too common to report.
 Hashes of all candidate values are aggregated over the corpus, first per (hash, owner,
 repository), then per (hash, owner), then per hash, so that a value copied a million times
-is combined before each shuffle.  A value of a single owner in few repositories is
-``live``; one that several owners share is a ``copied`` example.  Opaque candidates count
-as findings only when live.
+is combined before each shuffle.  A value of a single owner, in however many of its
+repositories, is ``live``; one that several owners share is a ``copied`` example: each
+value is exactly one of the two.  Opaque candidates count as findings only when live.
 
 Positions are code points, end exclusive.  They come from the gaps between matches, summed
-in two levels, so a text with very many matches stays linear.
+in two levels of ``BLOCK``; overlaps are looked for by the same blocks, so that a text with
+very many matches costs a block, not all matches, for each.
 
 Defined results: a null text counts as empty; a null owner is one owner of its own; rows
 with equal ids are scanned one by one; the digest of no spans is that of the empty string.
@@ -35,7 +36,6 @@ GUARDS = {"assign": r"(?i:password|passwd|secret|token|api_?key)", "access": "AK
 BASE = 3
 BLOCK = 256
 LEAST_DISTINCT = 10  # characters of a live-looking opaque value
-LIVE_REPOSITORIES = 2
 COPIED_OWNERS = 2
 
 
@@ -102,11 +102,22 @@ def candidates(docs: DataFrame, owner: Column, repository: Column) -> DataFrame:
                      & (F.size(F.array_distinct(F.split(s["value"], ""))) >= LEAST_DISTINCT))
     base = F.array_sort(F.concat("assign", "access", "hex"))
 
+    def block(b: Column) -> Column:
+        spans = F.slice("base", (b * BLOCK + 1).cast("int"), F.lit(BLOCK))
+        return F.struct(F.element_at(spans, 1)["start"].alias("low"),
+                        F.array_max(F.transform(spans, lambda s: s["end"])).alias("high"), spans.alias("spans"))
+
+    blocks = F.when(F.size("base") > 0, F.transform(F.sequence(F.lit(0), F.floor((F.size("base") - 1) / BLOCK).cast("int")), block))
+
+    def overlaps(o: Column) -> Column:
+        return F.exists("blocks", lambda b: (b["low"] < o["end"]) & (o["start"] < b["high"]) & F.exists(
+            b["spans"], lambda s: (s["start"] < o["end"]) & (o["start"] < s["end"])))
+
     def hashed(spans: Column) -> Column:
         return F.transform(spans, lambda s: F.struct("uid", s["start"].alias("start"), s["k"].alias("k"),
                                                      s["end"].alias("end"), F.sha2(s["value"], 256).alias("hash")))
-    rows = rows.withColumn("base", base).withColumn("opaque", F.filter(
-        mixed, lambda o: ~F.exists("base", lambda s: (s["start"] < o["end"]) & (o["start"] < s["end"]))))
+    rows = (rows.withColumn("base", base).withColumn("opaque", mixed).withColumn("blocks", F.when(F.size("opaque") > 0, blocks))
+            .withColumn("opaque", F.filter("opaque", lambda o: ~F.coalesce(overlaps(o), F.lit(False)))))
     return rows.select("uid", "doc_id", "owner", "repository", hashed(F.col("base")).alias("base"),
                        hashed(F.col("opaque")).alias("opaque"))
 
@@ -129,7 +140,7 @@ def secret_scan(docs: DataFrame, owner: Column | None = None, repository: Column
     found = (rows.select("owner", "repository", F.explode(F.concat("base", "opaque")).alias("s"))
              .select("owner", "repository", "s.*"))
     known = ownership(found).withColumnRenamed("hash", "known")
-    live = (F.col("n_owners") == 1) & (F.col("n_repositories") <= LIVE_REPOSITORIES)
+    live = F.col("n_owners") < COPIED_OWNERS
     span = F.struct("start", "k", "end")
     per_row = (found.select("uid", "start", "k", "end", "hash")
                .join(known, F.col("hash") == F.col("known"))

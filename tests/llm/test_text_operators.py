@@ -57,6 +57,24 @@ def test_ownership_separates_copied_from_live(docs):
     assert secrets.secret_scan(df.limit(0)).count() == 0
 
 
+def test_every_value_is_live_or_copied(docs):
+    one, two = "q9WkLm2QpR7tUv4WyB1cAA", "Zx9kLm2QpR7tUv4WyB1c"
+    df = docs([(i, f"{one} {two}", lang, "a") for i, lang in enumerate(("en", "de", "fr", "es", None))] + [(9, two, "en", "b")])
+    got = {r.doc_id: r for r in secrets.secret_scan(df).collect()}
+    # one owner in five repositories is still one owner
+    assert all((got[i].n_live, got[i].n_copied, got[i].n_opaque, got[i].spans) == (1, 1, 1, "opaque:0:22") for i in range(5))
+    assert (got[9].n_live, got[9].n_copied, got[9].spans) == (0, 1, "")
+
+
+def test_very_many_matches_in_a_text(docs):
+    opaque = [f"q9WkLm2QpR7tUv4W{i:05d}" for i in range(700)]
+    text = " ".join(f"token={'a' * 20}{i:04d} {o} {i:032x}" for i, o in enumerate(opaque))
+    r = secrets.secret_scan(docs([(1, text)])).first()
+    assert (r.n_assign, r.n_hex, r.n_opaque, r.n_live) == (700, 700, 700, 2100)
+    spans = [s.split(":") for s in r.spans.split(",")]
+    assert [text[int(a):int(b)] for k, a, b in spans if k == "opaque"] == opaque
+
+
 # ------------------------------------------------------------- personal data
 def test_surrogates_keep_type_format_and_coreference(docs):
     df = docs([(1, "write Jo.Do@Mail3.Example.com or jo.do@mail3.example.com, card 4111 1111 1111 1111 / 4111111111111111"),
