@@ -44,23 +44,39 @@ def checked_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def fresh_name(base: str, *frames: DataFrame) -> str:
+    """``base``, or with underscores after it, so that no column of the frames has the name."""
+    used = {c.lower() for df in frames for c in df.columns}
+    while base in used:
+        base += "_"
+    return base
+
+
 def numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` stored with the column ``ROW``: another scan may be split into other
-    partitions, so row numbers that two scans share have to be stored with the rows."""
-    return written(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+    """``docs`` stored with a column of row numbers: another scan may be split into other
+    partitions, so row numbers that two scans share have to be stored with the rows.  The
+    column has a name that ``docs`` does not use, and is known by its metadata."""
+    name = fresh_name(ROW, docs)
+    return written(docs.withColumn(name, F.monotonically_increasing_id()).withMetadata(name, {ROW: True}), "numbered")
+
+
+def row_field(docs: DataFrame) -> str | None:
+    """Name of the row numbers of ``numbered`` rows."""
+    return next((f.name for f in docs.schema if ROW in f.metadata), None)
 
 
 def row_number(docs: DataFrame) -> Column:
     """The stored row number of ``numbered`` rows; of others one that holds for this scan only."""
-    return F.col(ROW) if ROW in docs.columns else F.monotonically_increasing_id()
+    name = row_field(docs)
+    return F.col(name) if name else F.monotonically_increasing_id()
 
 
 def without_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     """``numbered`` rows without those in ``dropped`` (column uid): numbers only are
     broadcast, 16 bytes a row up to ``DROPPED_ROWS``; more are joined by a shuffle."""
-    gone = written(dropped.select(F.col("uid").alias("barlake_dropped")), "dropped")
-    return docs.join(checked_broadcast(gone, DROPPED_ROWS),
-                     F.col(ROW) == F.col("barlake_dropped"), "left_anti").drop(ROW)
+    row, gone = row_field(docs), fresh_name("barlake_dropped", docs)
+    dropped = written(dropped.select(F.col("uid").alias(gone)), "dropped")
+    return docs.join(checked_broadcast(dropped, DROPPED_ROWS), F.col(row) == F.col(gone), "left_anti").drop(row)
 
 
 def ascii_lower(c: Column) -> Column:

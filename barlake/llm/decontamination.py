@@ -4,14 +4,17 @@ The benchmark is a stated query set, taken in blocks of bounded size.  For a blo
 documents are read once: each task writes the postings of the block's terms, chunk by
 chunk (document-partitioned, so a match never needs two chunks), into an index table in
 the shared folder.  Frequencies of the terms over the whole corpus come from the index.
-Then each window of a test item is looked up chunk by chunk from its rarest term on:
-positions less the term's offset in the window are intersected list by list.  Offsets
-that agree exactly are phrase matches; offsets that agree within ``slop`` words are
-proximity matches.
+Then each window of a test item is looked up, in the chunks that have its rarest term, from
+that term on: positions less the term's offset in the window are intersected list by list.
+A start at which every word of the window stands in its place is a phrase match; one at
+which every word has an occurrence within ``slop`` words of its place is a proximity
+match.  Both depend on the document and the window alone: how rare a term is decides the
+order of the work, and of equally rare ones the first is taken.
 
 Defined results: a null text has no words; an item without words has no window; an item
 shorter than a window is one window; a null item_id still marks words but is not listed;
-rows with equal ids are judged one by one.
+rows with equal ids are judged one by one; no documents give no rows, no items no matches.
+A very long text is a chunk of its own.  Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlake.llm.common import ROW, numbered, row_number, written
+from barlake.llm.common import numbered, row_field, row_number, written
 
 WINDOW = 10
 SLOP = 3
@@ -124,25 +127,33 @@ def _within(starts: np.ndarray, postings: np.ndarray, offset: int, slop: int) ->
 
 def _lookup(windows: list[tuple], slop: int):
     """windows: (terms from the rarest on, their offsets, length, items)."""
+    by_rarest: dict[int, list[tuple]] = {}
+    for w in windows:
+        by_rarest.setdefault(w[0][0], []).append(w)
+    around = np.arange(-slop, slop + 1)
+
     def row(index):
         post = dict(zip(index["terms"].tolist(), np.split(index["positions"], np.cumsum(index["counts"])[:-1]))) \
             if len(index["terms"]) else {}
         firsts = index["firsts"]
         spans = [[] for _ in firsts]
         items, near = [set() for _ in firsts], [set() for _ in firsts]
-        for terms, offsets, length, names in windows:
+        for terms, offsets, length, names in chain.from_iterable(map(by_rarest.get, post.keys() & by_rarest.keys())):
             if not all(t in post for t in terms):
                 continue
-            starts = post[terms[0]] - offsets[0]
+            rarest = post[terms[0]]
+            starts = np.unique(rarest[:, None] - offsets[0] + around)
             for t, o in zip(terms[1:], offsets[1:]):
                 starts = _within(starts, post[t], o, slop)
                 if not len(starts):
                     break
             if not len(starts):
                 continue
-            for d in np.searchsorted(firsts, starts + offsets[0], "right") - 1:
+            # a start may lie before its document, the rarest term's occurrence does not
+            places = rarest[np.searchsorted(rarest, starts + (offsets[0] - slop))]
+            for d in np.unique(np.searchsorted(firsts, places, "right") - 1):
                 near[d].update(names)
-            for t, o in zip(terms[1:], offsets[1:]):
+            for t, o in zip(terms, offsets):
                 starts = _within(starts, post[t], o, 0)
             for d, s in zip(np.searchsorted(firsts, starts, "right") - 1, starts):
                 spans[d].append((int(s - firsts[d]), int(s - firsts[d]) + length))
@@ -185,7 +196,7 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, sl
     blocks = query_blocks(benchmark, block_bytes)
     first = next(blocks)
     second = next(blocks, None)
-    if second is not None and ROW not in docs.columns:  # every block scans the rows
+    if second is not None and row_field(docs) is None:  # every block scans the rows
         docs = numbered(docs.select("doc_id", "text"))
     rows = docs.select(row_number(docs).alias("uid"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     found = [_block_hits(rows, Block(items, window), slop, window)

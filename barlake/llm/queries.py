@@ -47,11 +47,6 @@ def op7_lm_scores(spark, d):
 
 
 def op8_decontamination(spark, d):
-    return op8_near_matches(spark, d).drop("n_near", "near_sha256")
-
-
-def op8_near_matches(spark, d):
-    """The columns of op8_decontamination and the proximity matches, which its SQL lacks."""
     return decontamination.decontamination(read(spark, d, "documents"), read(spark, d, "benchmark")).drop("uid")
 
 
@@ -97,5 +92,5 @@ QUERIES = {
     "op13_token_files": op13_token_files,
 }
 
-# Registered besides: results that are wider than the SQL of the queries above.
-FURTHER = {"op8_near_matches": op8_near_matches}
+# Registered besides, by an earlier name.
+FURTHER = {"op8_near_matches": op8_decontamination}

@@ -1,29 +1,25 @@
 """Proximity matches of the registered query against brute force."""
 
-import collections
 import hashlib
 import random
 
 import __spark_entry__ as entry
+from barlake.llm import decontamination
 
 ITEM = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu"
 
 
 def near(docs, items, window=10, slop=3):
-    """Windows whose terms all lie within ``slop`` of their places, seen from the rarest term."""
-    freq = collections.Counter(w for _, t in docs for w in t.split())
+    """Windows with a start at which every word has an occurrence within ``slop`` of its place."""
     out = {}
     for k, text in docs:
-        at, names = collections.defaultdict(list), set()
-        for i, w in enumerate(text.split()):
-            at[w].append(i)
+        words, names = text.split(), set()
         for item, body in items:
-            words = body.split()
-            for i in range(max(1, len(words) - window + 1)):
-                part = words[i:i + window]
-                anchor = min(range(len(part)), key=lambda j: (freq[part[j]], j))
-                if any(all(any(abs(q - (p - anchor + j)) <= slop for q in at[w]) for j, w in enumerate(part))
-                       for p in at[part[anchor]]):
+            body = body.split()
+            for i in range(max(1, len(body) - window + 1)):
+                part = body[i:i + window]
+                if any(all(w in words[max(0, s + j - slop):max(0, s + j + slop + 1)] for j, w in enumerate(part))
+                       for s in range(-window - slop, len(words) + slop)):
                     names.add(str(item))
         out[k] = (len(names), hashlib.sha256(",".join(sorted(names)).encode()).hexdigest())
     return out
@@ -43,8 +39,18 @@ def test_near_matches_equal_brute_force(scratch, tmp_path):
     items = [(1, ITEM), (2, " ".join(reversed(words))), (3, "beta gamma mu")]
     scratch.createDataFrame(docs, "doc_id bigint, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
     scratch.createDataFrame(items, "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
-    df = entry.queries()["op8_near_matches"](scratch, str(tmp_path))
-    assert df.columns[:6] == entry.queries()["op8_decontamination"](scratch, str(tmp_path)).columns
+    df = entry.queries()["op8_decontamination"](scratch, str(tmp_path))
     rows = df.collect()
     assert {r.doc_id: (r.n_near, r.near_sha256) for r in rows} == near(docs, items)
     assert any(r.n_near and not r.n_hit for r in rows)
+
+
+def test_near_matches_do_not_depend_on_other_documents(docs):
+    """More documents change which word is the rarest, not what is near."""
+    items = docs([]).sparkSession.createDataFrame([(1, ITEM)], "item_id bigint, text string")
+    words = ITEM.split()
+    own = [(i, " ".join(words[:i] + ["x"] * 2 + words[i:])) for i in range(12)]
+    alone = {r.doc_id: r.n_near for r in decontamination.decontamination(docs(own), items).collect()}
+    for word in ("alpha", "zeta", "mu"):
+        more = docs(own + [(100 + i, word) for i in range(30)])
+        assert alone == {r.doc_id: r.n_near for r in decontamination.decontamination(more, items).collect() if r.doc_id < 100}

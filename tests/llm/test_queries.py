@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from barlake.llm.queries import ORACLE_SQL, QUERIES
+from barlake.llm.queries import FURTHER, ORACLE_SQL, QUERIES
 
 SMOKE = "/root/testdata/sf0.001"
 COLUMNS = {
@@ -44,7 +44,7 @@ def test_matches_sql(scratch, name):
     con = duckdb.connect()
     for t in ("documents", "pages", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMOKE}/{t}.parquet')")
-    df = QUERIES[name](scratch, SMOKE)
+    df = {**QUERIES, **FURTHER}[name](scratch, SMOKE)
     want = con.execute(ORACLE_SQL[name])
     cols = sorted(df.columns)
     assert cols == sorted(d[0] for d in want.description)

@@ -51,3 +51,16 @@ def test_chunks_are_cut_in_one_scan(scratch, other_splits, made, monkeypatch):
     plan = plans[0]._jdf.queryExecution().executedPlan().toString()
     final = plan.split("== Initial Plan ==")[0]
     assert final.count("FileScan") == 1 and "ReusedExchange" in final
+
+
+def test_a_users_columns_are_no_row_numbers(docs):
+    from pyspark.sql import functions as F
+    mine = docs([(1, "one two three four"), (2, "one two three four"), (3, "other words stand here")]).withColumns(
+        {c: F.lit(5) for c in (common.ROW, "barlake_dropped", "uid", "kept")})
+    rows = simhash.near_duplicates(mine).collect()
+    assert len({r.uid for r in rows}) == 3 and {r.doc_id for r in rows if r.uid == r.first_uid} == {1, 3}
+    kept = corpus_pipeline.drop_near_duplicates(None, mine, SMOKE)
+    assert kept.columns == mine.columns and sorted(r.doc_id for r in kept.collect()) == [1, 3]
+    assert kept.where(f"{common.ROW} = 5 and barlake_dropped = 5").count() == 2
+    for stage in (corpus_pipeline.keep_quality, corpus_pipeline.replace_personal_data):
+        assert stage(None, mine, SMOKE).columns == mine.columns
