@@ -17,12 +17,15 @@ language, which is shrunk towards that of all rows: n rows give the own one the
 Variances have a floor, since most clean texts have no symbols at all.
 
 Defined results: a null text has no words and fails the base rules; null language or
-source is a group of its own; repeated rows are judged one by one, and count so.
+source is a group of its own; repeated rows are judged one by one, and count so; no rows
+give no rows.  A very long text is read whole, like any other.  Other columns are ignored,
+whatever their names.
 """
 
 from __future__ import annotations
 
 from collections import Counter
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -31,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from barlake.llm import common
 from barlake.llm.common import checked_broadcast, row_number, slices, written
 
 # Fixed values of the base rules and the quantiles of chi-square with 5 degrees of freedom.
@@ -43,7 +47,6 @@ STATISTICS = {"log_word_length": 0.05, "root_symbols": 0.10, "root_upper": 0.06,
 P = len(STATISTICS)
 SUPPORT = 0.75
 CUTOFF = 32.0  # squared distance: between clean and junk documents of the labelled rows
-STEPS = 10
 _SPACE = b" \t\n\x0b\x0c\r"
 _SYMBOLS = b"#*$%&|<>"
 _NOT_FIRST = bytes(range(0x80, 0xC0))
@@ -165,9 +168,17 @@ def _start(fit: DataFrame) -> DataFrame:
 
 
 def _distances(fit: DataFrame, estimate: DataFrame) -> DataFrame:
+    """Squared distances of all rows from their groups' estimates.  Where there are too many
+    groups for a broadcast, the languages and the whole still are few: only the rows' own
+    groups are joined by a shuffle, and no key of theirs is on every row."""
     known = estimate.withColumnRenamed("grp", "egrp")
-    return (fit.join(checked_broadcast(known), F.col("grp") == F.col("egrp"))
-            .withColumn("d2", distance(F.col("x"), F.col("centre"), F.col("inverse"))))
+    joined = [(fit, checked_broadcast(known))]
+    if estimate.count() > common.BROADCAST_ROWS:
+        joined = [(fit.where(c), checked_broadcast(known.where(k))) for c, k in (
+            (F.col("grp").startswith("{"), F.col("egrp").startswith("{")),
+            (~F.col("grp").startswith("{"), ~F.col("egrp").startswith("{")))]
+    rows = reduce(DataFrame.unionByName, [a.join(b, F.col("grp") == F.col("egrp")) for a, b in joined])
+    return rows.withColumn("d2", distance(F.col("x"), F.col("centre"), F.col("inverse")))
 
 
 def _step(fit: DataFrame, estimate: DataFrame, support: float | None) -> DataFrame:
@@ -198,16 +209,18 @@ def _step(fit: DataFrame, estimate: DataFrame, support: float | None) -> DataFra
     return sums.mapInPandas(_solve, _ESTIMATE)
 
 
-def estimates(fit: DataFrame, support: float = SUPPORT, steps: int = STEPS) -> DataFrame:
-    """Centre and inverse covariance per ``grp`` of rows with integer statistics ``x``."""
+def estimates(fit: DataFrame, support: float = SUPPORT) -> DataFrame:
+    """Centre and inverse covariance per ``grp`` of rows with integer statistics ``x``.
+
+    Steps go on until the determinants fall no more.  Each counted step lowers their sum by
+    a thousandth at least, and floors hold them from below, so they end."""
     now, last = written(_start(fit), "mcd"), None
-    for _ in range(steps):
-        now = written(_step(fit, now, support), "mcd")
-        total = now.agg(F.sum(F.round("logdet", 3).cast("decimal(20,3)"))).first()[0]
-        if total == last:
-            break
-        last = total
-    return written(_step(fit, now, None), "mcd")
+    while True:
+        after = written(_step(fit, now, support), "mcd")
+        total = after.agg(F.sum(F.round("logdet", 3).cast("decimal(20,3)"))).first()[0]
+        if total is None or last is not None and total >= last:  # no group, or settled
+            return written(_step(fit, now, None), "mcd")
+        now, last = after, total
 
 
 def _weight(rows: int) -> float:

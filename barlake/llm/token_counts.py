@@ -6,10 +6,12 @@ one row per vocabulary entry.  The others leave as posting lists, pre-token -> (
 of the chunk, frequency), dealt to buckets by hash, so a pre-token of a hot document
 group crosses the exchange once per chunk.  A bucket counts the pieces of each distinct
 pre-token once, multiplies its frequencies and returns one sum per document; chunks add
-up their buckets.  Ids are never kept.  Buckets are exchanged with a rebalance hint,
+up their buckets.  Ids are never kept, and a task keeps the counts of recent pre-tokens in
+two generations of a fixed size: one that returns after more others is counted again.  Buckets are exchanged with a rebalance hint,
 which lets AQE split one that a hot pre-token has grown.
 
-Defined results: a null text counts as empty (0 tokens); rows with equal ids are counted
+Defined results: a null text counts as empty (0 tokens); no rows give no rows; a very long
+text is a chunk of its own; other columns are ignored, whatever their names; rows with equal ids are counted
 separately; a special token inside a text counts as one token, as the library does.
 """
 
@@ -35,6 +37,7 @@ SETTLED = "[^\x00-\u02af\u0410-\u044f\u2010-\u2027\u3041-\u3096\u30a1-\u30fa\u4e
 LIMIT = 512
 CHUNK_BYTES = 16 << 20
 CHUNK_ROWS = 16_384
+PIECES = 400_000  # counted pre-tokens that a task keeps, twice
 
 
 @lru_cache(maxsize=4)
@@ -159,7 +162,7 @@ def _bucket_sums(path: str):
     """A posting cell becomes (documents, token sums); document cells pass through."""
     def run(batches):
         tok = _tools(path)[0]
-        pieces: dict[bytes, int] = {}
+        pieces, older = {}, {}  # two generations of counted pre-tokens
         for batch in batches:
             for row in zip(*[batch.column(c).to_pylist() for c in _EXCHANGE.names]):
                 if row[2] == 0:
@@ -169,7 +172,15 @@ def _bucket_sums(path: str):
                 ends = np.cumsum(np.frombuffer(size, "<u4"), dtype=np.int64)
                 starts = ends - np.frombuffer(size, "<u4")
                 words = [text[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
-                new = [w for w in words if w not in pieces]
+                if len(pieces) >= PIECES:
+                    pieces, older = {}, pieces
+                new = []
+                for w in words:
+                    if w not in pieces:
+                        if w in older:
+                            pieces[w] = older[w]
+                        else:
+                            new.append(w)
                 pieces.update(zip(new, piece_counts(tok, [w.decode("utf-8") for w in new])))
                 each = np.repeat(np.fromiter(map(pieces.__getitem__, words), np.int64, len(words)),
                                  np.frombuffer(n, "<u4"))

@@ -220,6 +220,21 @@ def test_very_long_and_no_texts(docs):
     assert sentencepiece_codec.encode_decode(docs([]), path).count() == 0
 
 
+def test_counts_stay_right_when_the_table_is_full(small, monkeypatch):
+    """In one process: the postings of a chunk, then the bucket with a table of 20 entries."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rows = small.limit(60).collect()
+    batches = [pa.record_batch({"uid": pa.array(range(i, i + 5), pa.int64()), "doc_id": pa.array(range(i, i + 5), pa.int64()),
+                                "text": [r.text for r in rows[i:i + 5]]}) for i in range(0, 60, 5)]
+    monkeypatch.setattr(token_counts, "CHUNK_ROWS", 5)
+    cells = list(token_counts._postings(path, 1)(batches))
+    sums = []
+    for size in (20, 10 ** 9):
+        monkeypatch.setattr(token_counts, "PIECES", size)
+        sums.append([b.column("cell")[0].as_py() for b in token_counts._bucket_sums(path)(cells)])
+    assert sums[0] == sums[1] and len(sums[0]) > 12
+
+
 def test_token_counts_match_the_library(small, docs):
     from tokenizers import Tokenizer
     path = public_tokenizers.path("byte_bpe_50k.json")
