@@ -1 +1 @@
-"""Reusable DataFrame operators: dedupe, per-ticker series, joins, top-k, reshape, quantiles."""
+"""Reusable DataFrame operators: dedupe, per-ticker series, joins, top-k, reshape, unions."""

@@ -1,4 +1,8 @@
-"""Wide (metric x ticker columns) <-> long (one row per date and ticker)."""
+"""Wide (metric x ticker columns) to long (one row per date and ticker).
+
+For a frame at hand, whose columns are in the plan anyway; wide files, whose header is
+data, are read by ``sources.feeds``.
+"""
 
 from __future__ import annotations
 
@@ -40,26 +44,3 @@ def wide_to_long(wide: DataFrame, id_col: str, metrics: Sequence[str],
     ]
     return (wide.select(F.col(id_col), F.explode(F.array(*cells)).alias("_c"))
             .select(id_col, f"_c.{ticker_col}", *[f"_c.{m}" for m in metrics]))
-
-
-def wide_cells_to_long(wide: DataFrame, id_col: str, tickers: Sequence[str], metrics: Sequence[str],
-                       ticker_col: str = "Ticker") -> DataFrame:
-    """The same for a feed whose rows carry one map ``cells`` (ticker -> struct of metrics):
-    a row per id and ticker of the feed's header, NULL metrics where a cell is missing."""
-    return (wide.select(id_col, "cells", F.explode(F.array(*[F.lit(t) for t in tickers])).alias(ticker_col))
-            .select(id_col, ticker_col, F.try_element_at("cells", F.col(ticker_col)).alias("_c"))
-            .select(id_col, ticker_col, *[F.col(f"_c.{m}").alias(m) for m in metrics]))
-
-
-def long_to_cells(long: DataFrame, id_col: str, ticker_col: str, metrics: Sequence[str]) -> DataFrame:
-    """One row per id with the map ``cells``: as wide as the ticker list of the feed."""
-    cell = F.struct(F.col(ticker_col).alias("key"), F.struct(*metrics).alias("value"))
-    return long.groupBy(id_col).agg(F.map_from_entries(F.collect_list(cell)).alias("cells"))
-
-
-def long_to_wide(long: DataFrame, id_col: str, ticker_col: str, metrics: Sequence[str],
-                 tickers: Sequence[str]) -> DataFrame:
-    """Pivot a long table to ``metric|ticker`` columns for a fixed ticker list (one shuffle by id)."""
-    aggs = [F.max(F.when(F.col(ticker_col) == t, F.col(m))).alias(wide_columns(m, t))
-            for m in metrics for t in tickers]
-    return long.where(F.col(ticker_col).isin(list(tickers))).groupBy(id_col).agg(*aggs)

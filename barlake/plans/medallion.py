@@ -10,13 +10,16 @@ in shared storage (the lake root), never on a machine-local disk.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.operators.series import by_ticker
 from barlake.plans import analysis, backtest, ingest as ing, marts, quality, silver
-from barlake.sources import files
+from barlake.sources import files, sheets
+from barlake.sources import news as news_files
 
 
 def table_name(root: str, what: str) -> str:
@@ -32,26 +35,30 @@ class RunCounts:
     """
 
     def __init__(self):
-        self.seen: dict[str, Observation] = {}
+        self.seen: dict[str, tuple[Observation, tuple[str, ...]]] = {}
 
-    def _observed(self, df: DataFrame, name: str, *metrics) -> DataFrame:
-        self.seen[name] = Observation(name)
-        return df.observe(self.seen[name], *metrics)
+    def _observed(self, df: DataFrame, name: str, **metrics) -> DataFrame:
+        seen = Observation(name)
+        self.seen[name] = seen, tuple(metrics)
+        return df.observe(seen, *[c.alias(n) for n, c in metrics.items()])
 
     def rows(self, df: DataFrame, name: str) -> DataFrame:
-        return self._observed(df, name, F.count(F.lit(1)).alias(name))
+        return self._observed(df, name, **{name: F.count(F.lit(1))})
 
     def series(self, df: DataFrame, name: str, tickers: str) -> DataFrame:
         """Rows, and distinct tickers, of a table with one row per (ticker, date)."""
         first = F.lag(F.lit(1)).over(by_ticker()).isNull()
-        return self._observed(df.withColumn("_first", first), name, F.count(F.lit(1)).alias(name),
-                              F.count_if("_first").alias(tickers)).drop("_first")
+        return self._observed(df.withColumn("_first", first), name,
+                              **{name: F.count(F.lit(1)), tickers: F.count_if("_first")}).drop("_first")
 
     def row(self) -> dict[str, int]:
         """The counts of the writes that ran."""
         out: dict[str, int] = {}
-        for seen in self.seen.values():
-            out.update(seen.get)
+        for seen, names in self.seen.values():
+            try:
+                out.update(seen.get)
+            except Py4JJavaError:  # no row could reach the observed node, so it was planned away
+                out.update(dict.fromkeys(names, 0))
         return out
 
 
@@ -117,29 +124,51 @@ def build_gold(spark: SparkSession, raw: DataFrame, tickers: DataFrame, root: st
 def ingest(spark: SparkSession, root: str, *, holdings: DataFrame, membership: DataFrame,
            sector_map: DataFrame, index_rows: DataFrame, screener: DataFrame,
            screens: tuple[str, ...], analyst_index: str, analyst_rating: str,
-           wide_prices: DataFrame, feed_tickers: list[str] | None = None,
-           news: DataFrame | None = None, coverage: DataFrame | None = None,
-           as_of=None) -> dict[str, DataFrame]:
-    """Landed source files -> ticker CSV (K4), long raw prices (K1), news snapshot (K2).
+           long_prices: DataFrame, delivered: DataFrame | None = None,
+           news: Callable[[DataFrame], DataFrame] | None = None) -> dict[str, DataFrame]:
+    """Source tables -> ticker CSV (K4), long raw prices (K1), news snapshot (K2).
 
-    ``wide_prices`` has metric x ticker columns, or, with ``feed_tickers``, a map of cells.
+    ``long_prices``: the unfolded feed.  ``news``: gives the news of the volatile pick.
     """
     root = root.rstrip("/")
-    dim = ing.ticker_dimension(holdings, membership, sector_map, index_rows)
+    dim = ing.ticker_dimension(holdings, membership, sector_map, index_rows, delivered=delivered)
     files.write_tickers_csv(dim, f"{root}/seeds/tickers")
     dim = files.read_tickers_csv(spark, f"{root}/seeds/tickers")
     volatile = ing.volatile_pick(screener, screens)
     analyst = ing.analyst_pick(screener, analyst_index, analyst_rating)
     universe = ing.ingest_universe(dim, volatile, analyst)
-    long = (ing.long_prices(wide_prices, as_of=as_of) if feed_tickers is None
-            else ing.long_prices_of_cells(wide_prices, feed_tickers, as_of=as_of))
     # only tickers of the universe are kept, as the feed is asked for exactly those
-    long = long.join(universe.withColumnRenamed("ticker", "Ticker"), "Ticker", "left_semi")
+    long = long_prices.join(universe.withColumnRenamed("ticker", "Ticker"), "Ticker", "left_semi")
     files.write_table(ing.as_bronze(long), f"{root}/bronze/stock_prices_raw")
     out = {"tickers": dim, "universe": universe,
            "stock_prices_raw": files.read_raw_prices(spark, f"{root}/bronze/stock_prices_raw")}
-    if news is not None:
-        snap = ing.news_snapshot(news, coverage, volatile)
-        if files.write_if_not_empty(snap, f"{root}/bronze/ticker_news_raw"):
-            out["ticker_news_raw"] = files.read_table(spark, f"{root}/bronze/ticker_news_raw")
+    if news is not None and files.write_if_not_empty(news(volatile), f"{root}/bronze/ticker_news_raw"):
+        out["ticker_news_raw"] = files.read_table(spark, f"{root}/bronze/ticker_news_raw")
     return out
+
+
+def ingest_landed(spark: SparkSession, root: str, landed: str, *, screens: tuple[str, ...], analyst_index: str,
+                  analyst_rating: str, as_of, sector_map: DataFrame | None = None,
+                  index_rows: DataFrame | None = None) -> dict[str, DataFrame]:
+    """A whole ingest run from landed files: ``holdings`` (fund sheets), ``membership`` and
+    ``screener`` (header CSV), ``prices`` (wide feed) and ``news`` (a file per ticker) under
+    ``landed``.  What could not be used is written beside the rest: sheets by their reason,
+    tickers by that of their news.  The sector map and the index rows have defaults."""
+    sectors = sector_map if sector_map is not None else ing.default_sector_map(spark)
+    found = sheets.read_sheets(spark, f"{landed}/holdings")
+    extra: dict[str, DataFrame] = {"rejected_sheets": files.write_table(sheets.rejected(found), f"{root}/bronze/rejected_sheets")}
+
+    def of_pick(pick: DataFrame) -> DataFrame:
+        path = f"{landed}/news"
+        lines = news_files.tagged_lines(spark, path, news_files.news_schema(spark, path))
+        extra["news_status"] = files.write_table(news_files.news_status(spark, path, lines, pick), f"{root}/bronze/news_status")
+        return news_files.usable_news(lines, extra["news_status"])
+
+    out = ingest(spark, root, holdings=ing.labelled(sheets.holdings(found), sectors),
+                 membership=files.read_membership(spark, f"{landed}/membership"), sector_map=sectors,
+                 index_rows=index_rows if index_rows is not None else ing.default_index_rows(spark),
+                 screener=files.read_screener(spark, f"{landed}/screener"), screens=screens,
+                 analyst_index=analyst_index, analyst_rating=analyst_rating,
+                 long_prices=ing.long_prices_of_feed(spark, f"{landed}/prices", as_of=as_of),
+                 delivered=sheets.delivered(found), news=of_pick)
+    return {**out, **extra}

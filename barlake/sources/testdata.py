@@ -19,7 +19,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.fixed import SECTOR_MAP, SOURCE_HOLDINGS, SOURCE_MANUAL, STOCK_MARKET
-from barlake.operators.reshape import long_to_cells
 from barlake.plans.ingest import METRICS
 from barlake.sources.feeds import DATE_ROW, METRIC_ROW, TICKER_ROW
 
@@ -219,13 +218,6 @@ def news_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.concat(F.lit("src"), F.floor(F.col("p_size") / 3).cast("string")).alias("source"))
 
 
-def price_feed(silver: DataFrame) -> DataFrame:
-    """Price feed as delivered: one row per date, a cell of all metrics per ticker."""
-    long = silver.select(F.col("date").alias("Date"), F.col("ticker").alias("Ticker"),
-                         *[F.col(m.lower()).alias(m) for m in METRICS])
-    return long_to_cells(long, "Date", "Ticker", METRICS)
-
-
 def given_signals(spark: SparkSession, sf_dir: str, history: DataFrame) -> DataFrame:
     """A signal table from outside: the spikes, a call on every supplier for one day (on
     which many have no bar), and the same under a symbol that has no prices at all."""

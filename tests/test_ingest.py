@@ -1,7 +1,9 @@
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from barlake import schemas
-from barlake.operators.reshape import long_to_wide, wide_to_long
+from barlake.operators.reshape import wide_columns, wide_to_long
 from barlake.plans import ingest
 from tests.conftest import dim, index
 
@@ -46,7 +48,8 @@ def test_wide_to_long_keeps_null_cells_and_window(spark):
         (dt.date(2001, 6, 28), "^A", 5.0, 6.0), (dt.date(2001, 6, 30), "^A", 7.0, 8.0),
         (dt.date(1999, 6, 29), "^A", 9.0, 9.0)],
         "Date date, Ticker string, Open double, Close double")
-    wide = long_to_wide(long, "Date", "Ticker", ["Open", "Close"], ["^A", "^B"])
+    cells = [F.max(F.when(F.col("Ticker") == t, F.col(m))).alias(wide_columns(m, t)) for m in ("Open", "Close") for t in ("^A", "^B")]
+    wide = long.groupBy("Date").agg(*cells)
     assert set(wide.columns) == {"Date", "Open|^A", "Open|^B", "Close|^A", "Close|^B"}
     got = sorted(ingest.long_prices(wide, ("Open", "Close"), dt.date(2001, 6, 30)).collect())
     assert [tuple(r) for r in got] == [

@@ -31,25 +31,37 @@ def test_build_gold_matches_registered_queries(spark, tmp_path):
     assert out["quality_report"].where("failures > 0").count() == 0  # the clean dimension
 
 
-def test_ingest_feeds_silver(spark, tmp_path):
-    root = str(tmp_path / "lake")
-    silver = QUERIES["stg_stock_prices"](spark, SMOKE)
-    dim = td.tickers(spark, SMOKE)
-    header = [r.ticker for r in dim.select("ticker").collect()]
-    out = medallion.ingest(
-        spark, root, holdings=td.holdings(spark, SMOKE), membership=td.membership(spark, SMOKE),
-        sector_map=td.sector_map(spark, SMOKE), index_rows=dim.where("type = 'index'"),
-        screener=td.screener(spark, SMOKE), screens=(td.SCREEN_A, td.SCREEN_B),
-        analyst_index=td.SCREEN_A, analyst_rating=td.STRONG_BUY,
-        wide_prices=td.price_feed(silver), feed_tickers=header,
-        news=td.news(spark, SMOKE), coverage=td.news_coverage(spark, SMOKE), as_of=AS_OF)
-    dim_csv = out["tickers"]
+def land(spark, root, silver, dim):
+    """Every landed source of an ingest run as files."""
+    td.fund_sheets(spark, SMOKE).write.partitionBy("etf").text(f"{root}/holdings")
+    td.member_list(spark, SMOKE).write.option("header", True).csv(f"{root}/membership")
+    td.screener(spark, SMOKE).write.option("header", True).csv(f"{root}/screener")
+    td.feed_files(spark, SMOKE, silver, dim).repartition("block").write.partitionBy("block").text(f"{root}/prices")
+    picked = QUERIES["volatile_pick"](spark, SMOKE).select("ticker").collect()
+    lines = [(r.ticker, f'{{"Title": "t{i}"}}' if i else "{cut off") for i, r in enumerate(picked[:-1])]
+    spark.createDataFrame(lines, "ticker string, value string").write.partitionBy("ticker").text(f"{root}/news")
+    return [r.ticker for r in picked]
+
+
+def test_ingest_from_landed_files_feeds_silver(spark, tmp_path):
+    root, landed = str(tmp_path / "lake"), str(tmp_path / "landed")
+    silver, own = QUERIES["stg_stock_prices"](spark, SMOKE), td.tickers(spark, SMOKE)
+    picked = land(spark, landed, silver, own)
+    out = medallion.ingest_landed(spark, root, landed, screens=(td.SCREEN_A, td.SCREEN_B), analyst_index=td.SCREEN_A,
+                                  analyst_rating=td.STRONG_BUY, as_of=AS_OF, index_rows=own.where("type = 'index'"))
+    dim = out["tickers"]
     # CSV round trip: empty sector / etf of indices come back as NULL
-    assert dim_csv.where("type = 'index' and sector is null and etf is null").count() == 5
+    assert dim.where("type = 'index' and sector is null and etf is null").count() == 5
+    want = QUERIES["landed_dimension"](spark, SMOKE).where("type = 'stock'")
+    assert (sorted(r.ticker for r in dim.where("type = 'stock'").collect()) == sorted(r.ticker for r in want.collect()))
+    assert {r.etf for r in out["rejected_sheets"].collect()} <= {"XLF", "XLV"}
+    assert {r.ticker: r.reason for r in out["news_status"].collect()} == {
+        picked[0]: "malformed line", picked[-1]: "absent or empty", **{t: None for t in picked[1:-1]}}
+    assert sorted(map(tuple, out["ticker_news_raw"].select("Title", "ticker").collect())) == sorted(
+        (f"t{i}", t) for i, t in enumerate(picked) if 0 < i < len(picked) - 1)
     raw = out["stock_prices_raw"]
-    assert raw.where("Date >= date'2001-06-30'").count() == 0
+    assert raw.where("Date >= date'2001-06-30'").count() == 0 and raw.select("Ticker").distinct().count() == 5
     assert raw.schema == files.read_raw_prices(spark, root + "/bronze/stock_prices_raw").schema
-    assert out["ticker_news_raw"].columns == ["doc_id", "text", "lang", "source", "n_chars", "ticker"]
     assert files.write_if_not_empty(raw.limit(0), str(tmp_path / "empty")) is False
     gold = medallion.build_gold(spark, raw, dim, root, AS_OF, td.BENCHMARK, buckets=2)
     assert gold["stg_stock_prices"].count() > 0 and gold["index_performance"].count() == 5

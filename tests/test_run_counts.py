@@ -39,3 +39,10 @@ def test_build_gold_writes_them(spark, tmp_path):
         "raw_rows": td.raw_prices(spark, SMOKE).count(), "silver_rows": silver.count(), "returns": silver.count(),
         "tickers": silver.select(F.countDistinct("ticker")).first()[0], "signals": history.count(),
         "signal_tickers": history.select(F.countDistinct("ticker")).first()[0], "trades": out["backtest_trades"].count()}
+
+
+def test_a_write_without_rows_counts_zero(spark, tmp_path):
+    counts = medallion.RunCounts()
+    none = spark.sql("SELECT 'A' AS ticker, DATE '2024-01-01' AS date WHERE 1 = 0").join(spark.range(0).selectExpr("'A' AS ticker"), "ticker")
+    files.write_by_month(counts.series(none, "rows", "tickers"), str(tmp_path / "t"))
+    assert counts.row() == {"rows": 0, "tickers": 0}
