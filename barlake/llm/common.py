@@ -79,6 +79,13 @@ def without_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     return docs.join(checked_broadcast(dropped, DROPPED_ROWS), F.col(row) == F.col(gone), "left_anti").drop(row)
 
 
+def require_reuse(spark: SparkSession) -> None:
+    """An error where equal exchanges are not reused: two readings of the same chunks would
+    then be two scans, which may cut them differently."""
+    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
+        raise ValueError("spark.sql.exchange.reuse must be on")
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z only (``lower`` would also change other scripts)."""
     return F.translate(c, UPPER, LOWER)

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlake.llm.common import buckets, from_planes, pack, planes, unpack, written
+from barlake.llm.common import buckets, from_planes, pack, planes, require_reuse, unpack, written
 
 ORDER = 3
 LEAST = 2
@@ -218,6 +218,7 @@ def lm_scores(docs: DataFrame, order: int = ORDER, least: int = LEAST, alpha: fl
     """doc_id, n_words, n_matched (words scored by the longest order), n_unigrams (words
     that backed off to their own share), log_score (natural logarithm, summed over the
     words) and mean_score of every row of ``docs`` (doc_id, text)."""
+    require_reuse(docs.sparkSession)
     n = 2 * buckets(docs.sparkSession)
     rows = docs.select(F.monotonically_increasing_id().alias("uid"),
                        F.col("doc_id").cast("bigint").alias("doc_id"), "text")

@@ -64,3 +64,13 @@ def test_a_users_columns_are_no_row_numbers(docs):
     assert kept.where(f"{common.ROW} = 5 and barlake_dropped = 5").count() == 2
     for stage in (corpus_pipeline.keep_quality, corpus_pipeline.replace_personal_data):
         assert stage(None, mine, SMOKE).columns == mine.columns
+
+
+@pytest.mark.parametrize("made", [suffix_dedup.suffix_dedup, lm_scores.lm_scores])
+def test_chunks_that_might_be_cut_twice_are_refused(scratch, docs, made):
+    scratch.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        with pytest.raises(ValueError, match="exchange.reuse"):
+            made(docs([(1, "one two three")]))
+    finally:
+        scratch.conf.unset("spark.sql.exchange.reuse")
