@@ -68,3 +68,17 @@ def test_no_python_evaluation_anywhere(spark):
     for name, fn in QUERIES.items():
         p = plan(fn(spark, SMOKE))
         assert "EvalPython" not in p and "PythonUDF" not in p, name
+
+
+def test_a_landed_feed_is_unfolded_where_it_is_read(spark):
+    p = plan(QUERIES["wide_to_long"](spark, SMOKE))
+    assert shuffles(p) == 0 and "BroadcastHashJoin" in p and len(re.findall(r"FileScan text", p)) == 1
+
+
+def test_a_dated_backtest_reads_its_months(spark):
+    p = plan(QUERIES["dated_backtest"](spark, SMOKE))
+    assert re.search(r"PartitionFilters: \[[^\]]*month#\d+ >= 2000-06", p), p
+
+
+def test_landed_news_is_one_scan_of_the_files(spark):
+    assert len(re.findall(r"FileScan text", plan(QUERIES["landed_news"](spark, SMOKE)))) == 1
