@@ -7,8 +7,8 @@ the shared folder.  Frequencies of the terms over the whole corpus come from the
 Then each window of a test item is looked up, in the chunks that have its rarest term, from
 that term on: positions less the term's offset in the window are intersected list by list.
 A start at which every word of the window stands in its place is a phrase match; one at
-which every word has an occurrence within ``slop`` words of its place is a proximity
-match.  Both depend on the document and the window alone: how rare a term is decides the
+which the window's first word stands, and every other has an occurrence within ``slop``
+words of its place, is a proximity match.  Both depend on the document and the window alone: how rare a term is decides the
 order of the work, and of equally rare ones the first is taken.
 
 Defined results: a null text has no words; an item without words has no window; an item
@@ -143,15 +143,13 @@ def _lookup(windows: list[tuple], slop: int):
                 continue
             rarest = post[terms[0]]
             starts = np.unique(rarest[:, None] - offsets[0] + around)
-            for t, o in zip(terms[1:], offsets[1:]):
-                starts = _within(starts, post[t], o, slop)
+            for t, o in sorted(zip(terms, offsets), key=lambda x: x[1] > 0):  # the first word first
+                starts = _within(starts, post[t], o, slop if o else 0)
                 if not len(starts):
                     break
             if not len(starts):
                 continue
-            # a start may lie before its document, the rarest term's occurrence does not
-            places = rarest[np.searchsorted(rarest, starts + (offsets[0] - slop))]
-            for d in np.unique(np.searchsorted(firsts, places, "right") - 1):
+            for d in np.unique(np.searchsorted(firsts, starts, "right") - 1):
                 near[d].update(names)
             for t, o in zip(terms, offsets):
                 starts = _within(starts, post[t], o, 0)

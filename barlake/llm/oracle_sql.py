@@ -126,7 +126,7 @@ hit AS MATERIALIZED (
 words AS (SELECT rid, count(DISTINCT j) AS n FROM (SELECT rid, unnest(range(i, i + n)) AS j FROM hit) GROUP BY rid),
 items AS (SELECT rid, count(DISTINCT item) AS n, string_agg(DISTINCT item, ',' ORDER BY item) AS l FROM hit GROUP BY rid),
 often AS MATERIALIZED (SELECT w[i] AS term, count(*) AS n FROM pos GROUP BY term),
--- every start within 3 words of a place of the window's least frequent word
+-- every start within 3 words of a place of the window's least frequent word, with its first word there
 seed AS (
   SELECT win, any_value(item) AS one, min_by(j, struct_pack(n := coalesce(n, 0), j := j)) AS j
   FROM (SELECT DISTINCT win, item, unnest(range(0, len(win))) AS j FROM q) x LEFT JOIN often ON term = win[j + 1] GROUP BY win),
@@ -134,7 +134,7 @@ begun AS (
   SELECT DISTINCT rid, w, win, i - j + unnest(range(-3, 4)) AS s FROM pos JOIN seed ON w[i] = win[j + 1]),
 close AS (
   SELECT DISTINCT rid, win FROM begun
-  WHERE len(list_filter(range(0, len(win)), lambda j: s + j + 3 >= 1
+  WHERE s >= 1 AND w[s] = win[1] AND len(list_filter(range(0, len(win)), lambda j: s + j + 3 >= 1
             AND list_contains(w[greatest(s + j - 3, 1):s + j + 3], win[j + 1]))) = len(win)),
 near AS (SELECT rid, count(DISTINCT item) AS n, string_agg(DISTINCT item, ',' ORDER BY item) AS l FROM close JOIN q USING (win) GROUP BY rid)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(words.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items,

@@ -10,7 +10,7 @@ ITEM = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu"
 
 
 def near(docs, items, window=10, slop=3):
-    """Windows with a start at which every word has an occurrence within ``slop`` of its place."""
+    """Windows whose first word stands at a place, and whose others occur within ``slop`` of theirs from there."""
     out = {}
     for k, text in docs:
         words, names = text.split(), set()
@@ -19,7 +19,7 @@ def near(docs, items, window=10, slop=3):
             for i in range(max(1, len(body) - window + 1)):
                 part = body[i:i + window]
                 if any(all(w in words[max(0, s + j - slop):max(0, s + j + slop + 1)] for j, w in enumerate(part))
-                       for s in range(-window - slop, len(words) + slop)):
+                       for s, first in enumerate(words) if first == part[0]):
                     names.add(str(item))
         out[k] = (len(names), hashlib.sha256(",".join(sorted(names)).encode()).hexdigest())
     return out
