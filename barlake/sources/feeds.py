@@ -59,9 +59,11 @@ def unfold(lines: DataFrame, layout: DataFrame, metrics: dict[str, str], keep: C
     def ticker(t: Column) -> Column:
         def cell(name: str, kind: str) -> Column:
             text = F.trim(F.try_element_at("cells", t.getField(name)))
-            # a count may be written with a fraction point
-            number = F.coalesce(text.try_cast(kind), text.try_cast("double").try_cast(kind))
-            return number.alias(name)
+            number = text.try_cast("double")
+            if kind != "double":  # a count may be written with a fraction point
+                number = F.coalesce(text.try_cast(kind), number.try_cast(kind))
+            # most cells of a wide feed may be empty, and parsing "" costs an exception each time
+            return F.when(text != "", number).alias(name)
         return F.struct(t.getField("ticker").alias("Ticker"), *[cell(m, kind) for m, kind in metrics.items()])
 
     return (rows.join(layout, "file").select("Date", F.explode(F.transform("layout", ticker)).alias("x"))

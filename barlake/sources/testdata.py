@@ -273,25 +273,42 @@ def member_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def feed_files(spark: SparkSession, sf_dir: str, silver: DataFrame, dim: DataFrame) -> DataFrame:
     """The price feed as lines of wide files (block, value): every date of Silver with the
-    tickers of the block, at most ``FEED_TICKERS``; the cells of a missing bar are empty."""
+    tickers of the block, at most ``FEED_TICKERS``; the cells of a missing bar are empty.
+
+    Bars are dealt out by block as they are in Silver, and become lines in the task that
+    writes the block; its header rows are lines of the same kind.
+    """
     number = F.substring("ticker", 2, 20).try_cast("bigint")
     placed = dim.select("ticker", F.coalesce(F.floor(number / FEED_TICKERS) + 1, F.lit(0)).alias("block"))
-    blocks = placed.groupBy("block").agg(F.sort_array(F.collect_list("ticker")).alias("tickers"))
-    heads = blocks.select("block", F.explode(F.array(
-        F.concat_ws(",", F.lit(METRIC_ROW), *[F.array_repeat(F.lit(m), F.size("tickers")) for m in METRICS]),
-        F.concat_ws(",", F.lit(TICKER_ROW), F.flatten(F.array_repeat("tickers", len(METRICS)))),
-        F.concat_ws(",", F.lit(DATE_ROW), F.array_repeat(F.lit(""), F.size("tickers") * len(METRICS))))).alias("value"))
-    cells = (silver.join(placed, "ticker").groupBy("block", "date").agg(F.map_from_entries(F.collect_list(F.struct(
-        F.col("ticker").alias("key"), F.struct(*[F.col(m.lower()).alias(m) for m in METRICS]).alias("value")))).alias("cells")))
-    last = placed.agg(F.max("block")).first()[0]
-    days = (silver.select("date").distinct().select("date", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(last or 0).cast("bigint"))).alias("block"))
-            .join(blocks, "block").join(cells, ["block", "date"], "left"))
+    blocks = placed.groupBy("block").agg(F.sort_array(F.collect_list("ticker")).alias("tickers")).select(
+        "block", F.size("tickers").alias("width"), "tickers")
+    places = blocks.select("block", "width", F.posexplode("tickers").alias("place", "ticker"))
+    types = {m: silver.schema[m.lower()].dataType for m in METRICS}
+
+    def cells(rows: DataFrame, first: Column, cell: Column) -> DataFrame:
+        return rows.select("block", "width", first.cast("string").alias("first"), cell.alias("cell"))
+
+    bars = cells(silver.join(places, "ticker"), F.col("date"), F.struct("place", F.struct(
+        F.lit(None).cast("string").alias("ticker"), *[F.col(m.lower()).alias(m) for m in METRICS]).alias("cell")))
+    names = cells(places, F.lit(TICKER_ROW), F.struct("place", F.struct(
+        "ticker", *[F.lit(None).cast(t).alias(m) for m, t in types.items()]).alias("cell")))
+    # the lines that a block must have, whether it has a bar on that date or not
+    firsts = silver.select(F.col("date").cast("string").alias("first")).distinct().unionByName(
+        spark.createDataFrame([(METRIC_ROW,), (DATE_ROW,)], "first string"))
+    every = cells(blocks.crossJoin(firsts), F.col("first"), F.lit(None).cast(bars.schema["cell"].dataType))
+
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lines = (bars.unionByName(names).unionByName(every).repartition(parts, "block").groupBy("block", "width", "first")
+             .agg(F.map_from_entries(F.collect_list("cell")).alias("cells")))
+    full = lines.select("block", "width", "first", F.transform(
+        F.sequence(F.lit(0), F.col("width") - 1), lambda place: F.try_element_at("cells", place)).alias("row"))
 
     def column(metric: str) -> Column:
-        return F.transform("tickers", lambda t: F.coalesce(
-            F.try_element_at("cells", t).getField(metric).cast("string"), F.lit("")))
-    lines = days.select("block", F.concat_ws(",", F.col("date").cast("string"), *[column(m) for m in METRICS]).alias("value"))
-    return heads.unionByName(lines)
+        texts = (F.when(F.col("first") == METRIC_ROW, F.array_repeat(F.lit(metric), F.col("width")))
+                 .when(F.col("first") == TICKER_ROW, F.col("row").getField("ticker"))
+                 .otherwise(F.col("row").getField(metric).cast("array<string>")))
+        return F.array_join(texts, ",", "")
+    return full.select("block", F.concat_ws(",", "first", *[column(m) for m in METRICS]).alias("value"))
 
 
 def news_files(spark: SparkSession, sf_dir: str) -> DataFrame:
