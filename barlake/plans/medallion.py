@@ -82,11 +82,11 @@ def build_gold(spark: SparkSession, raw: DataFrame, tickers: DataFrame, root: st
     """
     root = root.rstrip("/")
     counts = RunCounts()
-    sv = silver.stg_stock_prices(counts.rows(raw, "raw_rows"))
+    sv = silver.dealt_by_ticker(counts.rows(raw, "raw_rows"), buckets, f"{root}/silver")
     s = silver.materialize(counts.rows(sv, "silver_rows"), table_name(root, "silver"), f"{root}/silver", buckets)
     files.register_view(s, "stg_stock_prices")  # K5: Silver is also queryable by name
     out: dict[str, DataFrame] = {"stg_stock_prices": s}
-    calendar = files.write_by_month(s, f"{root}/silver_by_month")
+    calendar = files.write_by_month(s, f"{root}/silver_by_month", tasks=buckets)
     returns = files.write_by_month(counts.series(marts.daily_returns(s), "returns", "tickers"),
                                    f"{root}/gold/daily_returns")
     history = files.write_by_month(counts.series(marts.whale_signals_history(s, tickers), "signals", "signal_tickers"),

@@ -70,31 +70,38 @@ def write_tickers_csv(dim: DataFrame, path: str) -> None:
 
 
 def write_bucketed_table(df: DataFrame, name: str, path: str, key: str,
-                         sort_by: tuple[str, ...], buckets: int) -> DataFrame:
+                         sort_by: tuple[str, ...], buckets: int, dealt: bool = False) -> DataFrame:
     """Materialise a table hash-bucketed by ``key`` and sorted within buckets.
 
     Readers that group, window or join by ``key`` then run without an exchange, and,
     because each bucket is a single sorted file, windows ordered by ``sort_by`` need no
     sort when the session lets bucketed scans report their order.  The table lives in a shared folder, so it also cuts lineage: a lost
     executor re-reads files instead of recomputing the upstream plan.
+
+    ``dealt``: the rows come from ``repartition(buckets, key)``, and are not dealt out again.
     """
     spark = df.sparkSession
     version = f"{name}_{uuid.uuid4().hex}"
 
     # one task per bucket (same hash as the bucket id), so each bucket is one file
     # instead of one file per writing task and bucket; a failed write surfaces
-    (df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(*sort_by)
+    rows = df if dealt else df.repartition(buckets, key)
+    (rows.write.bucketBy(buckets, key).sortBy(*sort_by)
      .option("path", f"{path}/{version}").saveAsTable(version))
     for old in snapshots.publish(spark, path, version):
         spark.sql(f"DROP TABLE IF EXISTS {old}")
     return spark.table(version)
 
 
-def write_by_month(df: DataFrame, path: str) -> DataFrame:
+def write_by_month(df: DataFrame, path: str, tasks: int | None = None) -> DataFrame:
     """Write a dated table partitioned by calendar month and read it back; AQE splits a
-    month that outgrows a task.  ``month_slice`` prunes the scan of such a table."""
+    month that outgrows a task.  ``month_slice`` prunes the scan of such a table.
+
+    ``tasks``: for the copy of a table that is as large as the data.  Its rows are not
+    shuffled: that many tasks at most each write a file a month of what they read."""
     dated = df.withColumn("month", F.date_format("date", "yyyy-MM"))
-    return write_table(dated.hint("rebalance", "month"), path, ("month",))
+    dated = dated.hint("rebalance", "month") if tasks is None else dated.coalesce(tasks)
+    return write_table(dated, path, ("month",))
 
 
 def month_slice(df: DataFrame, first: Column, last: Column) -> DataFrame:

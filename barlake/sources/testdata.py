@@ -74,10 +74,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return r.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _suppliers(spark: SparkSession, sf_dir: str, *supplier_cols: str) -> DataFrame:
+    return table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey", *supplier_cols)
+
+
+def _nations_regions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return (table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"),
+            table(spark, sf_dir, "region").select("r_regionkey", "r_name"))
+
+
 def _supplier_region(spark: SparkSession, sf_dir: str, *supplier_cols: str) -> DataFrame:
-    sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey", *supplier_cols)
-    nat = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    reg = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    sup, (nat, reg) = _suppliers(spark, sf_dir, *supplier_cols), _nations_regions(spark, sf_dir)
     return (sup.join(nat, sup.s_nationkey == nat.n_nationkey)
             .join(reg, nat.n_regionkey == reg.r_regionkey))
 
@@ -90,20 +97,26 @@ def raw_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze ``stock_prices_raw``: Date, Ticker, Open, High, Low, Close, Volume."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate")
-    sr = _supplier_region(spark, sf_dir)
-    base = li.join(sr, li.l_suppkey == sr.s_suppkey)
+    sup, nat, reg = _suppliers(spark, sf_dir), *_nations_regions(spark, sf_dir)
+    # one small table after the other: each has a known size, so that lines are not shuffled
+    # to find out that the tables of a region's suppliers are small
+    base = (li.join(sup, li.l_suppkey == sup.s_suppkey).join(nat, sup.s_nationkey == nat.n_nationkey)
+            .join(reg, nat.n_regionkey == reg.r_regionkey))
     p = F.col("l_extendedprice") / F.col("l_quantity")
-    ticker = F.explode(F.array(F.concat(F.lit("S"), F.col("l_suppkey").cast("string")),
-                               F.concat(F.lit("^"), F.col("r_name"))))
-    return base.select(
-        F.col("l_shipdate").alias("Date"),
-        ticker.alias("Ticker"),
-        p.alias("Open"),
-        (p * (F.lit(1) + F.col("l_tax") / 2)).alias("High"),
-        (p * (F.lit(1) - F.col("l_discount"))).alias("Low"),
-        (p * (F.lit(0.97) + F.col("l_tax"))).alias("Close"),
-        F.floor(F.col("l_quantity") * F.col("l_extendedprice")).cast("bigint").alias("Volume"),
-    )
+
+    def bars(ticker: Column) -> DataFrame:
+        return base.select(
+            F.col("l_shipdate").alias("Date"),
+            ticker.alias("Ticker"),
+            p.alias("Open"),
+            (p * (F.lit(1) + F.col("l_tax") / 2)).alias("High"),
+            (p * (F.lit(1) - F.col("l_discount"))).alias("Low"),
+            (p * (F.lit(0.97) + F.col("l_tax"))).alias("Close"),
+            F.floor(F.col("l_quantity") * F.col("l_extendedprice")).cast("bigint").alias("Volume"),
+        )
+    # tasks of their own for both: the map-side dedupe sorts half as many rows at a time
+    return bars(F.concat(F.lit("S"), F.col("l_suppkey").cast("string"))).unionAll(
+        bars(F.concat(F.lit("^"), F.col("r_name"))))
 
 
 def _market(r_name: Column) -> Column:
